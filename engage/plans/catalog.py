@@ -72,3 +72,54 @@ QUERIES: dict[str, Query] = {
     "user_scatter": _ds(AN.user_scatter),
     "class_distribution": _ds(AN.class_distribution),
 }
+
+
+# ---- recommendation without a model, ML data steps, metrics
+from engage.operators import ml as ML  # noqa: E402
+from engage.operators import recommend as RC  # noqa: E402
+from engage.operators.analytics import display_titles  # noqa: E402
+
+
+def _catalogue(s, d):
+    return RC.ranked_catalogue(FE.news_clean(FX.news(s, d)))
+
+
+def _candidates(s, d):
+    ds = featured(s, d, with_position=True)
+    return RC.candidates(ds, _catalogue(s, d))
+
+
+def _candidate_features(s, d):
+    ds = featured(s, d, with_position=True)
+    cat = _catalogue(s, d)
+    return RC.candidate_features(RC.candidates(ds, cat), ds, cat)
+
+
+def _train_side(s, d):
+    train, _ = ML.stratified_split(featured(s, d, with_position=True))
+    return ML.assemble_rows(train)
+
+
+def _rule_metrics(s, d):
+    _, test = ML.stratified_split(featured(s, d, with_position=True))
+    return ML.model_metrics(ML.rule_score(test))
+
+
+QUERIES.update({
+    "ranked_catalogue": _catalogue,
+    "candidates": _candidates,
+    "candidate_features": _candidate_features,
+    "article_means": lambda s, d: RC.article_means(featured(s, d)),
+    "latest_user_rows": lambda s, d: RC.latest_user_rows(featured(s, d, with_position=True)),
+    "popular_articles": lambda s, d: RC.popular_articles(
+        featured(s, d), FE.news_clean(FX.news(s, d)), 10),
+    "cold_start": lambda s, d: RC.cold_start(
+        FX.customers_as_users(s, d), featured(s, d), FE.news_clean(FX.news(s, d)), 10),
+    "exhausted_users": lambda s, d: RC.exhausted_users(featured(s, d),
+                                                       FE.news_clean(FX.news(s, d))),
+    "short_titles": lambda s, d: display_titles(FE.news_clean(FX.news(s, d)))
+        .select("NewsID", "short_title", "card_title", "category_tag"),
+    "split_counts": lambda s, d: ML.split_counts(featured(s, d, with_position=True)),
+    "scaler_fit": lambda s, d: ML.scaler_frame(_train_side(s, d)),
+    "model_metrics": _rule_metrics,
+})

@@ -273,3 +273,159 @@ SELECT * FROM ue ORDER BY UserID LIMIT 200"""),
 SELECT Click, count(*) AS n, count(*) / (SELECT count(*) FROM ds) AS share
 FROM ds GROUP BY Click ORDER BY Click"""),
 }
+
+
+# ---------------------------------------------------------------- recommender
+CAT = """
+cat AS (
+  SELECT NewsID, Category, Title, TitleWordCount,
+         row_number() OVER (ORDER BY NewsID NULLS FIRST, Category NULLS FIRST,
+                                     Title NULLS FIRST, TitleWordCount NULLS FIRST) AS pos
+  FROM news_clean
+)"""
+
+CANDS = """
+users AS (SELECT DISTINCT UserID FROM ds),
+seen AS (SELECT DISTINCT UserID, NewsID FROM ds),
+unseen AS (
+  SELECT u.UserID, c.pos, c.NewsID FROM users u CROSS JOIN cat c
+  WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.UserID = u.UserID AND s.NewsID = c.NewsID)
+),
+cands AS (
+  SELECT UserID, pos, NewsID, false AS exhausted
+  FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY pos) AS r FROM unseen)
+  WHERE r <= 500
+  UNION ALL
+  SELECT u.UserID, c.pos, c.NewsID, true AS exhausted
+  FROM users u CROSS JOIN cat c
+  WHERE u.UserID NOT IN (SELECT UserID FROM unseen) AND c.pos <= 500
+)"""
+
+LATEST = """
+latest AS (
+  SELECT UserID, user_ctr, preferred_category, activity_encoded, title_len_encoded,
+         top_category_affinity
+  FROM (SELECT *, row_number() OVER (
+          PARTITION BY UserID ORDER BY Time DESC, TRY_CAST(ImpID AS BIGINT) DESC, ImpID DESC,
+                                       ImpPos DESC, preferred_category DESC NULLS LAST) AS r
+        FROM ds)
+  WHERE r = 1
+)"""
+
+AMEANS = """
+am AS (
+  SELECT NewsID, avg(article_ctr) AS mean_article_ctr, avg(popularity_score) AS mean_popularity
+  FROM ds GROUP BY NewsID
+)"""
+
+CAND_FEATURES = """
+cf AS (
+  SELECT c.UserID, c.NewsID, c.pos, k.Category, k.Title,
+         CAST(coalesce(am.mean_article_ctr, 0.1) AS DOUBLE) AS article_ctr,
+         CAST(coalesce(am.mean_popularity, 0.05) AS DOUBLE) AS popularity_score,
+         CAST(l.user_ctr AS DOUBLE) AS user_ctr,
+         CAST(CAST(coalesce(k.Category = l.preferred_category, false) AS INTEGER) AS DOUBLE)
+           AS category_match,
+         CAST(l.activity_encoded AS DOUBLE) AS activity_encoded,
+         CAST(l.title_len_encoded AS DOUBLE) AS title_len_encoded,
+         CAST(l.top_category_affinity AS DOUBLE) AS top_category_affinity,
+         CAST(coalesce(k.TitleWordCount, 8) AS DOUBLE) AS TitleWordCount
+  FROM cands c
+  JOIN cat k ON k.pos = c.pos
+  LEFT JOIN am ON am.NewsID = k.NewsID
+  LEFT JOIN latest l ON l.UserID = c.UserID
+)"""
+
+POP = """
+pop AS (
+  SELECT p.NewsID, coalesce(n.Title, '') AS Title, coalesce(n.Category, '') AS Category,
+         p.score AS click_probability, CAST(p.rank AS INTEGER) AS rank
+  FROM (SELECT NewsID, score, row_number() OVER (ORDER BY score DESC, NewsID) AS rank
+        FROM (SELECT NewsID, CAST(sum(Click) AS DOUBLE) / count(Click) AS score
+              FROM ds GROUP BY NewsID)
+        ORDER BY score DESC, NewsID LIMIT 10) p
+  LEFT JOIN news_clean n ON n.NewsID = p.NewsID
+)"""
+
+SPLIT_TEST = ("substring(md5(concat_ws('|', '42', UserID, NewsID, CAST(Click AS VARCHAR), Time, "
+              "ImpID, CAST(ImpPos AS VARCHAR), preferred_category)), 1, 8) < '33333333'")
+
+FEATS = ["article_ctr", "popularity_score", "user_ctr", "category_match", "activity_encoded",
+         "title_len_encoded", "top_category_affinity", "TitleWordCount"]
+
+TRAIN = f"""
+train AS (
+  SELECT {", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in FEATS)}, Click
+  FROM ds WHERE NOT ({SPLIT_TEST})
+)"""
+
+TEST = f"""
+test AS (
+  SELECT {", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in FEATS)}, Click
+  FROM ds WHERE {SPLIT_TEST}
+)"""
+
+RULE_METRICS = """
+sc AS (
+  SELECT Click, p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred
+  FROM (SELECT Click, s / (1.0 + s) AS p
+        FROM (SELECT Click, 2.0 * article_ctr + 1.5 * user_ctr + 0.5 * category_match
+                            + popularity_score AS s FROM test))
+),
+conf AS (
+  SELECT count(*) FILTER (WHERE Click = 1 AND pred = 1) AS tp,
+         count(*) FILTER (WHERE Click = 0 AND pred = 1) AS fp,
+         count(*) FILTER (WHERE Click = 1 AND pred = 0) AS fn,
+         count(*) FILTER (WHERE Click = 0 AND pred = 0) AS tn
+  FROM sc
+),
+g AS (
+  SELECT p, count(*) FILTER (WHERE Click = 1) AS pos, count(*) FILTER (WHERE Click = 0) AS neg
+  FROM sc GROUP BY p
+),
+auc AS (
+  SELECT sum(pos * (coalesce(nb, 0) + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc
+  FROM (SELECT *, sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                  AS nb FROM g)
+)"""
+
+SQL.update({
+    "ranked_catalogue": _q((NEWS, NEWS_CLEAN, CAT), "SELECT * FROM cat"),
+    "candidates": _q(FEATURED_POS + (CAT, CANDS), "SELECT * FROM cands"),
+    "candidate_features": _q(FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEATURES),
+                             "SELECT * FROM cf"),
+    "article_means": _q(FEATURED + (AMEANS,), "SELECT * FROM am"),
+    "latest_user_rows": _q(FEATURED_POS + (LATEST,), "SELECT * FROM latest"),
+    "popular_articles": _q(FEATURED + (POP,), "SELECT * FROM pop"),
+    "cold_start": _q(FEATURED + (POP,), """
+SELECT u.UserID, p.NewsID, p.Title, p.Category, p.click_probability, p.rank
+FROM (SELECT DISTINCT 'U' || CAST(c_custkey AS VARCHAR) AS UserID FROM customer) u
+CROSS JOIN pop p
+WHERE u.UserID NOT IN (SELECT UserID FROM ds)"""),
+    "exhausted_users": _q(FEATURED, """
+SELECT UserID, count(*) AS seen_articles
+FROM (SELECT DISTINCT UserID, NewsID FROM ds
+      WHERE NewsID IN (SELECT NewsID FROM news_clean))
+GROUP BY UserID
+HAVING count(*) >= (SELECT count(DISTINCT NewsID) FROM news_clean)"""),
+    "short_titles": _q((NEWS, NEWS_CLEAN), """
+SELECT NewsID, substring(Title, 1, 40) || '...' AS short_title,
+       substring(Title, 1, 80) AS card_title, upper(Category) AS category_tag
+FROM news_clean"""),
+    "split_counts": _q(FEATURED_POS, f"""
+SELECT CASE WHEN {SPLIT_TEST} THEN 'test' ELSE 'train' END AS side, Click, count(*) AS n
+FROM ds GROUP BY ALL"""),
+    "scaler_fit": _q(FEATURED_POS + (TRAIN,), " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, avg({c}) AS mean, stddev_pop({c}) AS std FROM train"
+        for c in FEATS)),
+    "model_metrics": _q(FEATURED_POS + (TEST, RULE_METRICS), """
+SELECT round(CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 4) AS accuracy,
+       round((SELECT auc FROM auc), 4) AS auc,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 4)
+         AS f1,
+       round(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END, 4)
+         AS precision,
+       round(CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END, 4)
+         AS recall
+FROM conf"""),
+})
