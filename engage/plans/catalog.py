@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from engage.operators import analytics as AN
 from engage.operators import features as FE
@@ -123,3 +124,22 @@ QUERIES.update({
     "scaler_fit": lambda s, d: ML.scaler_frame(_train_side(s, d)),
     "model_metrics": _rule_metrics,
 })
+
+
+# ---- click stream
+from engage.session import scratch_path  # noqa: E402
+from engage.streaming import events as ST  # noqa: E402
+
+QUERIES.update({
+    "event_values": lambda s, d: FX.event_values(s, d),
+    "message_text": lambda s, d: ST.message_text(
+        FX.event_values(s, d).select(F.col("value").cast("binary").alias("value"))),
+    "parse_events": lambda s, d: ST.parse_events(FX.event_values(s, d)),
+    "stream_events": lambda s, d: ST.stream_table_events(s, d, scratch_path(s, "streams")),
+})
+
+
+# ---- model training, recommendation with a model, clustering (rows-only check)
+from engage.plans import training as TR  # noqa: E402
+
+QUERIES.update(TR.QUERIES)

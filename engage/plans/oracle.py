@@ -429,3 +429,24 @@ SELECT round(CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 4) AS accuracy,
          AS recall
 FROM conf"""),
 })
+
+
+# ---------------------------------------------------------------- click stream
+EVENTS = """
+ev AS (
+  SELECT e.event_id, 'U' || CAST(e.user_id AS VARCHAR) AS UserID,
+         'N' || json_extract_string(e.props, '$.k') AS NewsID,
+         p.p_type AS Category,
+         CASE WHEN e.event_type = 'click' THEN 1 ELSE 0 END AS Click
+  FROM events e
+  LEFT JOIN part p ON CAST(p.p_partkey AS VARCHAR) = json_extract_string(e.props, '$.k')
+)"""
+
+_EV_JSON = ("SELECT event_id, to_json(struct_pack(UserID := UserID, NewsID := NewsID, "
+            "Category := Category, Click := Click)) AS value FROM ev")
+SQL.update({
+    "event_values": _q((EVENTS,), _EV_JSON),
+    "message_text": _q((EVENTS,), f"SELECT value FROM ({_EV_JSON})"),
+    "parse_events": _q((EVENTS,), "SELECT UserID, NewsID, Category, Click FROM ev"),
+    "stream_events": _q((EVENTS,), "SELECT UserID, NewsID, Category, Click FROM ev"),
+})
