@@ -143,3 +143,41 @@ QUERIES.update({
 from engage.plans import training as TR  # noqa: E402
 
 QUERIES.update(TR.QUERIES)
+
+
+# ---- sources and sinks: data written by Spark and read back
+import uuid  # noqa: E402
+
+from engage.sinks import writers as WR  # noqa: E402
+from engage.sources import readers as RD  # noqa: E402
+
+
+def _run_dir(s, what):
+    return scratch_path(s, f"tables/{what}-{uuid.uuid4().hex}")
+
+
+def _tsv_news(s, d):
+    path = _run_dir(s, "news-tsv")
+    WR.write_tsv(FX.news(s, d), path)
+    return RD.read_news(s, path)
+
+
+def _tsv_behaviors(s, d):
+    path = _run_dir(s, "behaviors-tsv")
+    WR.write_tsv(FX.behaviors(s, d), path)
+    return parse_impressions(RD.read_behaviors(s, path))
+
+
+def _stored(s, d):
+    base = _run_dir(s, "serving")
+    WR.save_interactions(FE.featured_projection(featured(s, d)),
+                         FE.news_clean(FX.news(s, d)), base)
+    return base
+
+
+QUERIES.update({
+    "tsv_news": _tsv_news,
+    "tsv_behaviors": _tsv_behaviors,
+    "stored_interactions": lambda s, d: RD.read_table(s, f"{_stored(s, d)}/interactions"),
+    "stored_news": lambda s, d: RD.read_table(s, f"{_stored(s, d)}/news"),
+})

@@ -450,3 +450,15 @@ SQL.update({
     "parse_events": _q((EVENTS,), "SELECT UserID, NewsID, Category, Click FROM ev"),
     "stream_events": _q((EVENTS,), "SELECT UserID, NewsID, Category, Click FROM ev"),
 })
+
+
+SQL.update({
+    "tsv_news": _q((NEWS,), """
+SELECT NewsID, Category, SubCategory, Title, CAST(NULL AS VARCHAR) AS Abstract,
+       CAST(NULL AS VARCHAR) AS URL, CAST(NULL AS VARCHAR) AS TitleEnt,
+       CAST(NULL AS VARCHAR) AS AbsEnt
+FROM news"""),
+    "tsv_behaviors": SQL["parse_impressions"],
+    "stored_interactions": SQL["featured_projection"],
+    "stored_news": SQL["news_clean"],
+})
