@@ -155,10 +155,23 @@ def prepare(ds: DataFrame, balance: str | None = "weight", seed: int = SPLIT_SEE
     return train, test, stats
 
 
+def stable_layout(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Same rows in the same partitions and order on every run.
+
+    Shuffle reads arrive in no fixed order, and the tree learners draw their
+    bootstrap samples per partition, so training input is hash-partitioned
+    on all columns and sorted inside each partition: a fixed seed then gives
+    a fixed model, also after a task is recomputed."""
+    n = n or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    cols = [F.col(c) for c in df.columns]
+    return df.repartition(n, *cols).sortWithinPartitions(*cols)
+
+
 def train_models(train: DataFrame, stats, profile: str = "batch",
                  names: list[str] | None = None) -> dict[str, PipelineModel]:
     """Fit the selected models (default: all three) on ``train``."""
     weighted = "weight" in train.columns
+    train = stable_layout(train)
     n = train.count()
     out = {}
     for name in names or MODEL_ORDER:

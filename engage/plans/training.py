@@ -97,3 +97,13 @@ QUERIES = {
     "cluster_articles": cluster_articles,
     "cluster_sizes": cluster_sizes,
 }
+
+
+def smote_balance(spark, d):
+    """Class counts of the SMOTE-balanced training side."""
+    from pyspark.sql import functions as F
+    train, _, _ = ML.prepare(featured_pos(spark, d), "smote")
+    return train.groupBy(ML.TARGET).agg(F.count("*").alias("n"))
+
+
+QUERIES["smote_balance"] = smote_balance
