@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +21,49 @@ from engage.sources import fixtures as FX
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Session-level store of the derived tables.  The parsed interactions feed
+# four branches of the feature plan and the featured rows feed every
+# analytics query, so each is computed once per (application, data folder)
+# and persisted MEMORY_AND_DISK (a lost block is recomputed from lineage).
+# This stands in for the stored interaction table that the analytics read.
+_STORE: dict[tuple, DataFrame] = {}
+INTER_COLS = ["UserID", "NewsID", "Click", "Time"]
+POS_COLS = ["ImpID", "ImpPos"]
+
+
+def _stored(spark: SparkSession, key: tuple, build) -> DataFrame:
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _STORE:
+        _STORE[k] = build().persist(StorageLevel.MEMORY_AND_DISK)
+    return _STORE[k]
+
+
+def release(spark: SparkSession | None = None) -> None:
+    """Unpersist the stored tables (of one application, or all)."""
+    for k in list(_STORE):
+        if spark is None or k[0] == spark.sparkContext.applicationId:
+            _STORE.pop(k).unpersist()
+
+
 def interactions(spark: SparkSession, d: str, strict: bool = False,
                  with_position: bool = False) -> DataFrame:
-    return parse_impressions(FX.behaviors(spark, d), strict=strict,
-                             with_position=with_position)
+    if strict:
+        inter = parse_impressions(FX.behaviors(spark, d), strict=True, with_position=True)
+    else:
+        inter = _stored(spark, ("inter", d), lambda: parse_impressions(
+            FX.behaviors(spark, d), with_position=True))
+    return inter if with_position else inter.select(*INTER_COLS)
+
+
+def news_clean(spark: SparkSession, d: str) -> DataFrame:
+    return _stored(spark, ("news_clean", d), lambda: FE.news_clean(FX.news(spark, d)))
 
 
 def featured(spark: SparkSession, d: str, ties: str = "all",
              with_position: bool = False) -> DataFrame:
-    return FE.featured_dataset(interactions(spark, d, with_position=with_position),
-                               FX.news(spark, d), ties=ties)
+    ds = _stored(spark, ("featured", d, ties), lambda: FE.featured_dataset(
+        interactions(spark, d, with_position=True), FX.news(spark, d), ties=ties))
+    return ds if with_position else ds.drop(*POS_COLS)
 
 
 def _ds(op) -> Query:
@@ -40,15 +74,15 @@ QUERIES: dict[str, Query] = {
     # ---- parse and features
     "parse_impressions": lambda s, d: interactions(s, d),
     "parse_strict": lambda s, d: interactions(s, d, strict=True),
-    "news_clean": lambda s, d: FE.news_clean(FX.news(s, d)),
+    "news_clean": lambda s, d: news_clean(s, d),
     "article_stats": lambda s, d: FE.article_stats(interactions(s, d)),
     "user_stats": lambda s, d: FE.user_stats(interactions(s, d)),
     "category_affinity": lambda s, d: FE.category_affinity(
-        interactions(s, d), FE.news_clean(FX.news(s, d))),
+        interactions(s, d), news_clean(s, d)),
     "top_category_all": lambda s, d: FE.top_category(FE.category_affinity(
-        interactions(s, d), FE.news_clean(FX.news(s, d))), ties="all"),
+        interactions(s, d), news_clean(s, d)), ties="all"),
     "top_category_first": lambda s, d: FE.top_category(FE.category_affinity(
-        interactions(s, d), FE.news_clean(FX.news(s, d))), ties="first"),
+        interactions(s, d), news_clean(s, d)), ties="first"),
     "featured_dataset": lambda s, d: featured(s, d),
     "featured_dataset_first": lambda s, d: featured(s, d, ties="first"),
     "featured_projection": _ds(FE.featured_projection),
@@ -57,7 +91,7 @@ QUERIES: dict[str, Query] = {
     "overall_ctr": lambda s, d: AN.overall_ctr(interactions(s, d)),
     "platform_stats": _ds(AN.platform_stats),
     "platform_stats_catalogue": lambda s, d: AN.platform_stats_catalogue(
-        featured(s, d), FE.news_clean(FX.news(s, d))),
+        featured(s, d), news_clean(s, d)),
     "category_clicks": _ds(AN.category_clicks),
     "category_ctr": _ds(AN.category_ctr),
     "category_trend": _ds(AN.category_trend),
@@ -82,7 +116,7 @@ from engage.operators.analytics import display_titles  # noqa: E402
 
 
 def _catalogue(s, d):
-    return RC.ranked_catalogue(FE.news_clean(FX.news(s, d)))
+    return RC.ranked_catalogue(news_clean(s, d))
 
 
 def _candidates(s, d):
@@ -113,12 +147,12 @@ QUERIES.update({
     "article_means": lambda s, d: RC.article_means(featured(s, d)),
     "latest_user_rows": lambda s, d: RC.latest_user_rows(featured(s, d, with_position=True)),
     "popular_articles": lambda s, d: RC.popular_articles(
-        featured(s, d), FE.news_clean(FX.news(s, d)), 10),
+        featured(s, d), news_clean(s, d), 10),
     "cold_start": lambda s, d: RC.cold_start(
-        FX.customers_as_users(s, d), featured(s, d), FE.news_clean(FX.news(s, d)), 10),
+        FX.customers_as_users(s, d), featured(s, d), news_clean(s, d), 10),
     "exhausted_users": lambda s, d: RC.exhausted_users(featured(s, d),
-                                                       FE.news_clean(FX.news(s, d))),
-    "short_titles": lambda s, d: display_titles(FE.news_clean(FX.news(s, d)))
+                                                       news_clean(s, d)),
+    "short_titles": lambda s, d: display_titles(news_clean(s, d))
         .select("NewsID", "short_title", "card_title", "category_tag"),
     "split_counts": lambda s, d: ML.split_counts(featured(s, d, with_position=True)),
     "scaler_fit": lambda s, d: ML.scaler_frame(_train_side(s, d)),
@@ -168,16 +202,16 @@ def _tsv_behaviors(s, d):
     return parse_impressions(RD.read_behaviors(s, path))
 
 
-def _stored(s, d):
+def _serving(s, d):
     base = _run_dir(s, "serving")
     WR.save_interactions(FE.featured_projection(featured(s, d)),
-                         FE.news_clean(FX.news(s, d)), base)
+                         news_clean(s, d), base)
     return base
 
 
 QUERIES.update({
     "tsv_news": _tsv_news,
     "tsv_behaviors": _tsv_behaviors,
-    "stored_interactions": lambda s, d: RD.read_table(s, f"{_stored(s, d)}/interactions"),
-    "stored_news": lambda s, d: RD.read_table(s, f"{_stored(s, d)}/news"),
+    "stored_interactions": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/interactions"),
+    "stored_news": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/news"),
 })

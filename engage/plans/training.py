@@ -17,6 +17,11 @@ from engage.operators import ml as ML
 from engage.operators import recommend as RC
 from engage.sources import fixtures as FX
 
+
+def news_clean(spark, d):
+    from engage.plans.catalog import news_clean as nc
+    return nc(spark, d)
+
 _FITTED: dict[tuple, tuple[dict, DataFrame]] = {}
 
 
@@ -61,12 +66,12 @@ def _best_model(spark, d):
 
 def recommend(spark, d):
     ds = featured_pos(spark, d)
-    return RC.recommend_top_n(ds, FE.news_clean(FX.news(spark, d)), _best_model(spark, d), 10)
+    return RC.recommend_top_n(ds, news_clean(spark, d), _best_model(spark, d), 10)
 
 
 def recommend_requested(spark, d):
     ds = featured_pos(spark, d)
-    return RC.recommend_top_n(ds, FE.news_clean(FX.news(spark, d)), _best_model(spark, d), 10,
+    return RC.recommend_top_n(ds, news_clean(spark, d), _best_model(spark, d), 10,
                               users=FX.customers_as_users(spark, d))
 
 
