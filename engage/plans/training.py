@@ -35,10 +35,8 @@ def fitted(spark: SparkSession, d: str, profile: str = "batch",
     key = (spark.sparkContext.applicationId, d, profile, balance)
     if key not in _FITTED:
         train, test, stats = ML.prepare(featured_pos(spark, d), balance)
-        train = train.persist()
         models = ML.train_models(train, stats, profile)
         metrics = ML.evaluate(models, test)
-        train.unpersist()
         _FITTED[key] = (models, metrics)
     return _FITTED[key]
 
