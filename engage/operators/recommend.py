@@ -60,49 +60,58 @@ def latest_user_rows(ds: DataFrame) -> DataFrame:
               .select("UserID", *[F.col(f"u.{c}").alias(c) for c in USER_FIELDS]))
 
 
+def catalogue_features(catalogue: DataFrame, ds: DataFrame) -> DataFrame:
+    """Ranked catalogue with the article statistics a candidate carries
+    (mean stored CTR / popularity, or the defaults for unseen articles)."""
+    return (catalogue.join(article_means(ds), "NewsID", "left")
+                     .select("pos", "NewsID", "Category", "Title", "TitleWordCount",
+                             F.coalesce("mean_article_ctr", F.lit(UNSEEN_ARTICLE_CTR))
+                              .alias("article_ctr"),
+                             F.coalesce("mean_popularity", F.lit(UNSEEN_POPULARITY))
+                              .alias("popularity_score")))
+
+
 def candidates(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
                users: DataFrame | None = None) -> DataFrame:
-    """(UserID, pos, NewsID, exhausted): the candidate catalogue rows per user.
+    """(UserID, exhausted, <catalogue columns>): the candidate catalogue rows
+    per user.
 
-    ``catalogue`` is ``ranked_catalogue(...)``.  ``users`` restricts the
-    job to the given known users (default: every user of ``ds``).
-    ``max_candidates=None`` means every unseen row.
+    ``catalogue`` is ``ranked_catalogue(...)`` (optionally with more columns,
+    e.g. ``catalogue_features``); it is joined once, on ``pos``.  ``users``
+    restricts the job to the given known users (default: every user of
+    ``ds``).  ``max_candidates=None`` means every unseen row.
     """
     seen = ds.select("UserID", "NewsID").distinct()
     if users is not None:
         seen = seen.join(users.select("UserID").distinct(), "UserID", "left_semi")
-    n_cat = catalogue.select(F.count("*")).scalar()
-    cat_ids = catalogue.select("NewsID", "pos")
-    seen_pos = seen.join(cat_ids, "NewsID").select("UserID", "pos")
+    # the catalogue is checkpointed by ranked_catalogue: counting it is cheap,
+    # and the count is one number.
+    n_cat = F.lit(catalogue.count()).cast("long")
+    seen_pos = seen.join(catalogue.select("NewsID", "pos"), "NewsID").select("UserID", "pos")
     known = seen.select("UserID").distinct()
     s = (known.join(seen_pos.groupBy("UserID").agg(F.count("*").alias("s")), "UserID", "left")
               .withColumn("s", F.coalesce("s", F.lit(0))))
-    m = n_cat if max_candidates is None else F.lit(max_candidates)
+    m = n_cat if max_candidates is None else F.lit(max_candidates).cast("long")
     s = s.withColumn("exhausted", F.col("s") >= n_cat)
     # exhausted users get the catalogue head; everyone else m + s positions.
-    bound = F.when(F.col("exhausted"), F.least(m, n_cat)).otherwise(F.least(m + F.col("s"), n_cat))
+    bound = F.least(F.when(F.col("exhausted"), m).otherwise(m + F.col("s")), n_cat)
     per_user = s.filter(bound > 0).select(
-        "UserID", "exhausted", F.explode(F.sequence(F.lit(1).cast("long"),
-                                                    bound.cast("long"))).alias("pos"))
+        "UserID", "exhausted", F.explode(F.sequence(F.lit(1).cast("long"), bound)).alias("pos"))
     unseen = per_user.join(seen_pos, ["UserID", "pos"], "left_anti")
     keep = per_user.filter("exhausted").unionByName(unseen.filter(~F.col("exhausted")))
     if max_candidates is not None:
         w = Window.partitionBy("UserID").orderBy("pos")
         keep = (keep.withColumn("_r", F.row_number().over(w))
                     .filter(F.col("_r") <= max_candidates).drop("_r"))
-    return keep.join(cat_ids, "pos").select("UserID", "pos", "NewsID", "exhausted")
-
-
-def candidate_features(cands: DataFrame, ds: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Feature rows of the candidates (8 model features as double plus
-    NewsID, Category, Title)."""
-    art = (catalogue.join(article_means(ds), "NewsID", "left")
-                    .select("pos", "Category", "Title", "TitleWordCount",
-                            F.coalesce("mean_article_ctr", F.lit(UNSEEN_ARTICLE_CTR))
-                             .alias("article_ctr"),
-                            F.coalesce("mean_popularity", F.lit(UNSEEN_POPULARITY))
-                             .alias("popularity_score")))
-    j = (cands.join(art, "pos").join(latest_user_rows(ds), "UserID", "left"))
+    return keep.join(catalogue, "pos")
+
+
+def candidate_features(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
+                       users: DataFrame | None = None) -> DataFrame:
+    """Feature rows of every user's candidates: the 8 model features as
+    double plus UserID, NewsID, pos, Category, Title."""
+    cands = candidates(ds, catalogue_features(catalogue, ds), max_candidates, users)
+    j = cands.join(latest_user_rows(ds), "UserID", "left")
     feats = {
         "article_ctr": F.col("article_ctr"),
         "popularity_score": F.col("popularity_score"),
@@ -177,9 +186,7 @@ def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
         raise ValueError("n must be in [1, 50]")
     from pyspark.ml.functions import vector_to_array
 
-    cat = ranked_catalogue(news_clean)
-    cands = candidates(ds, cat, max_candidates, users)
-    feats = candidate_features(cands, ds, cat)
+    feats = candidate_features(ds, ranked_catalogue(news_clean), max_candidates, users)
     scored = (model.transform(feats)
                    .withColumn("click_probability",
                                vector_to_array(F.col("probability")).getItem(1)))

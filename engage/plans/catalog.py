@@ -121,13 +121,11 @@ def _catalogue(s, d):
 
 def _candidates(s, d):
     ds = featured(s, d, with_position=True)
-    return RC.candidates(ds, _catalogue(s, d))
+    return RC.candidates(ds, _catalogue(s, d)).select("UserID", "pos", "NewsID", "exhausted")
 
 
 def _candidate_features(s, d):
-    ds = featured(s, d, with_position=True)
-    cat = _catalogue(s, d)
-    return RC.candidate_features(RC.candidates(ds, cat), ds, cat)
+    return RC.candidate_features(featured(s, d, with_position=True), _catalogue(s, d))
 
 
 def _train_side(s, d):
