@@ -198,10 +198,14 @@ def class_distribution(ds: DataFrame) -> DataFrame:
 
 def display_titles(recs: DataFrame) -> DataFrame:
     """Display fields of a recommendation list: 40-character title with an
-    ellipsis, the 80-character card title and the upper-case category."""
-    return recs.withColumns({
+    ellipsis, the 80-character card title, the upper-case category and, when
+    there is a probability, the progress value clamped to at most 1."""
+    cols = {
         "short_title": X.short_title("Title", 40),
         "card_title": F.substring(F.col("Title"), 1, 80),
         "category_tag": F.upper(F.col("Category")),
-    })
+    }
+    if "click_probability" in recs.columns:
+        cols["progress"] = F.least(F.col("click_probability"), F.lit(1.0))
+    return recs.withColumns(cols)
 
