@@ -70,6 +70,14 @@ TEST_HASH_BOUND = "33333333"
 KEY_COLS = ["UserID", "NewsID", "Click", "Time", "ImpID", "ImpPos", "preferred_category"]
 
 
+ROW_KEY = "_k"
+
+
+def row_key(key_cols: list[str] = KEY_COLS, seed: int = SPLIT_SEED):
+    """md5 of the row's identifying columns (and the seed), hex string."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
+
+
 def split_side(key_cols: list[str] = KEY_COLS, seed: int = SPLIT_SEED):
     """True for the test side: a keyed hash of the row's identifying columns.
 
@@ -78,16 +86,15 @@ def split_side(key_cols: list[str] = KEY_COLS, seed: int = SPLIT_SEED):
     when the partitioning changes.  md5 is used because it is computed the
     same way by every SQL engine, which lets the oracle check the split.
     """
-    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
-    return F.substring(F.md5(key), 1, 8) < F.lit(TEST_HASH_BOUND)
+    return F.substring(row_key(key_cols, seed), 1, 8) < F.lit(TEST_HASH_BOUND)
 
 
 def stratified_split(ds: DataFrame, seed: int = SPLIT_SEED,
                      key_cols: list[str] = KEY_COLS) -> tuple[DataFrame, DataFrame]:
-    """(train, test) rows of ``ds`` (all columns kept)."""
-    side = split_side([c for c in key_cols if c in ds.columns], seed)
-    t = ds.withColumn("_test", side)
-    return (t.filter(~F.col("_test")).drop("_test"), t.filter(F.col("_test")).drop("_test"))
+    """(train, test) rows of ``ds`` plus the row key ``_k``."""
+    t = ds.withColumn(ROW_KEY, row_key([c for c in key_cols if c in ds.columns], seed))
+    test = F.substring(F.col(ROW_KEY), 1, 8) < F.lit(TEST_HASH_BOUND)
+    return t.filter(~test), t.filter(test)
 
 
 def fit_scaler(train: DataFrame, cols: list[str] = FEATURE_COLS) -> dict[str, tuple[float, float]]:
@@ -149,7 +156,7 @@ def prepare(ds: DataFrame, balance: str | None = "weight", seed: int = SPLIT_SEE
 
     Returns (train, test, stats); ``train`` may carry ``weight``."""
     train, test = stratified_split(ds, seed)
-    train, test = assemble_rows(train), assemble_rows(test)
+    train, test = assemble_rows(train, [ROW_KEY]), assemble_rows(test, [ROW_KEY])
     stats = fit_scaler(train)
     if balance == "weight":
         train = class_weights(train)
@@ -166,10 +173,12 @@ def stable_layout(df: DataFrame, n: int | None = None) -> DataFrame:
 
     Shuffle reads arrive in no fixed order, and the tree learners draw their
     bootstrap samples per partition, so training input is hash-partitioned
-    on all columns and sorted inside each partition: a fixed seed then gives
-    a fixed model, also after a task is recomputed."""
+    and sorted inside each partition: a fixed seed then gives a fixed model,
+    also after a task is recomputed.  The hash is on the row key ``_k`` when
+    present (unique per row, so many identical feature rows still spread
+    over all partitions), else on all columns."""
     n = n or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    cols = [F.col(c) for c in df.columns]
+    cols = [F.col(ROW_KEY)] if ROW_KEY in df.columns else [F.col(c) for c in df.columns]
     return df.repartition(n, *cols).sortWithinPartitions(*cols)
 
 
