@@ -72,7 +72,7 @@ def catalogue_features(catalogue: DataFrame, ds: DataFrame) -> DataFrame:
 
 
 def candidates(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
-               users: DataFrame | None = None) -> DataFrame:
+               users: DataFrame | None = None, exhausted: str = "catalogue") -> DataFrame:
     """(UserID, exhausted, <catalogue columns>): the candidate catalogue rows
     per user.
 
@@ -80,7 +80,12 @@ def candidates(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None =
     e.g. ``catalogue_features``); it is joined once, on ``pos``.  ``users``
     restricts the job to the given known users (default: every user of
     ``ds``).  ``max_candidates=None`` means every unseen row.
+    ``exhausted="catalogue"`` gives a user who has seen everything the
+    catalogue head again (the API form); ``"empty"`` gives nothing (the
+    dashboard form).
     """
+    if exhausted not in ("catalogue", "empty"):
+        raise ValueError("exhausted must be 'catalogue' or 'empty'")
     seen = ds.select("UserID", "NewsID").distinct()
     if users is not None:
         seen = seen.join(users.select("UserID").distinct(), "UserID", "left_semi")
@@ -98,7 +103,9 @@ def candidates(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None =
     per_user = s.filter(bound > 0).select(
         "UserID", "exhausted", F.explode(F.sequence(F.lit(1).cast("long"), bound)).alias("pos"))
     unseen = per_user.join(seen_pos, ["UserID", "pos"], "left_anti")
-    keep = per_user.filter("exhausted").unionByName(unseen.filter(~F.col("exhausted")))
+    keep = unseen.filter(~F.col("exhausted"))
+    if exhausted == "catalogue":
+        keep = per_user.filter("exhausted").unionByName(keep)
     if max_candidates is not None:
         w = Window.partitionBy("UserID").orderBy("pos")
         keep = (keep.withColumn("_r", F.row_number().over(w))

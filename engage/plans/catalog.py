@@ -213,3 +213,7 @@ QUERIES.update({
     "stored_interactions": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/interactions"),
     "stored_news": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/news"),
 })
+
+
+QUERIES["featured_dashboard"] = lambda s, d: FE.dashboard_featured(
+    interactions(s, d, strict=True), FX.news(s, d))

@@ -462,3 +462,70 @@ FROM news"""),
     "stored_interactions": SQL["featured_projection"],
     "stored_news": SQL["news_clean"],
 })
+
+
+# ---------------------------------------------------------------- dashboard features
+DASH = """
+dcat AS (
+  SELECT NewsID, coalesce(Category, '') AS Category, coalesce(SubCategory, '') AS SubCategory,
+         coalesce(Title, '') AS Title,
+         CAST(len(list_filter(regexp_split_to_array(trim(coalesce(Title, '')), '\\s+'),
+                              lambda w: w <> '')) AS INTEGER) AS TitleWordCount
+  FROM news
+),
+dinter AS (SELECT * FROM inter WHERE NewsID IN (SELECT NewsID FROM dcat)),
+dpop AS (
+  SELECT NewsID, article_ctr, round_even(ln(1 + c) * article_ctr, 4) AS popularity_score
+  FROM (SELECT NewsID, CAST(sum(Click) AS BIGINT) AS c,
+               round_even(CAST(sum(Click) AS DOUBLE) / count(Click), 4) AS article_ctr
+        FROM dinter GROUP BY NewsID)
+),
+dusr AS (
+  SELECT UserID, round_even(CAST(c AS DOUBLE) / n, 4) AS user_ctr,
+         CASE WHEN n > 0 AND n <= 5 THEN 0 WHEN n > 5 AND n <= 15 THEN 1
+              WHEN n > 15 AND n <= 30 THEN 2 WHEN n > 30 AND n <= 9999 THEN 3 END
+           AS activity_encoded
+  FROM (SELECT UserID, count(Click) AS n, CAST(sum(Click) AS BIGINT) AS c
+        FROM dinter GROUP BY UserID)
+),
+dmerged AS (
+  SELECT i.UserID, i.NewsID, i.Click, c.Category
+  FROM dinter i LEFT JOIN (SELECT DISTINCT NewsID, Category FROM dcat) c ON c.NewsID = i.NewsID
+),
+daff AS (
+  SELECT UserID, Category,
+         round_even(CAST(cnt AS DOUBLE) / sum(cnt) OVER (PARTITION BY UserID), 4)
+           AS category_affinity
+  FROM (SELECT UserID, Category, count(*) AS cnt FROM dmerged
+        WHERE Click = 1 AND Category IS NOT NULL GROUP BY UserID, Category)
+),
+dtop AS (
+  SELECT UserID, Category AS preferred_category, category_affinity AS top_category_affinity
+  FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY category_affinity DESC,
+                                     Category ASC NULLS LAST) AS rk FROM daff)
+  WHERE rk = 1
+),
+dds AS (
+  SELECT m.UserID, m.NewsID, m.Click, m.Category,
+         coalesce(p.article_ctr, 0.0) AS article_ctr,
+         coalesce(p.popularity_score, 0.0) AS popularity_score,
+         coalesce(u.user_ctr, 0.0) AS user_ctr,
+         coalesce(u.activity_encoded, 1) AS activity_encoded,
+         t.preferred_category,
+         coalesce(t.top_category_affinity, 0.0) AS top_category_affinity,
+         coalesce(w.TitleWordCount, 8) AS TitleWordCount,
+         coalesce(CAST(m.Category = t.preferred_category AS INTEGER), 0) AS category_match,
+         coalesce(CASE WHEN w.TitleWordCount > 0 AND w.TitleWordCount <= 6 THEN 0
+                       WHEN w.TitleWordCount > 6 AND w.TitleWordCount <= 10 THEN 1
+                       WHEN w.TitleWordCount > 10 AND w.TitleWordCount <= 15 THEN 2
+                       WHEN w.TitleWordCount > 15 AND w.TitleWordCount <= 999 THEN 3 END, 1)
+           AS title_len_encoded
+  FROM dmerged m
+  LEFT JOIN dpop p ON p.NewsID = m.NewsID
+  LEFT JOIN dusr u ON u.UserID = m.UserID
+  LEFT JOIN dtop t ON t.UserID = m.UserID
+  LEFT JOIN (SELECT DISTINCT NewsID, TitleWordCount FROM dcat) w ON w.NewsID = m.NewsID
+)"""
+
+SQL["featured_dashboard"] = _q((NEWS, BEHAVIORS, TOKENS, _inter(strict=True), DASH),
+                               "SELECT * FROM dds")

@@ -77,3 +77,21 @@ def test_properties_on_fixture(spark):
     first = featured(spark, SF_SMALL, ties="first")
     assert first.count() == inter.count()
     assert featured(spark, SF_SMALL).count() >= inter.count()
+
+
+def test_dashboard_variant_edges(spark):
+    inter = _inter(spark, [("U1", "N1", 1, "t"), ("U1", "N2", 0, "t"), ("U1", "N404", 1, "t")])
+    news = spark.createDataFrame(
+        [("N1", None, None, "", None, None, None, None),
+         ("N2", "b", "s", "a  b\tc", None, None, None, None),
+         ("N2", "b", "s", "a  b\tc", None, None, None, None)],
+        "NewsID string, Category string, SubCategory string, Title string, Abstract string, "
+        "URL string, TitleEnt string, AbsEnt string")
+    got = {r.NewsID: r for r in FE.dashboard_featured(inter, news).collect()}
+    # N404 is not in the catalogue: dropped; the duplicate N2 row does not multiply
+    assert sorted(got) == ["N1", "N2"]
+    # empty title: 0 words -> outside the bins -> 1; null category becomes ""
+    assert got["N1"].TitleWordCount == 0 and got["N1"].title_len_encoded == 1
+    assert got["N1"].Category == "" and got["N1"].preferred_category == ""
+    assert got["N2"].TitleWordCount == 3 and got["N2"].title_len_encoded == 0
+    assert got["N1"].category_match == 1 and got["N2"].category_match == 0

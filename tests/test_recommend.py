@@ -46,6 +46,8 @@ def test_candidates_first_unseen_and_exhausted(spark):
                    ("U2", "N1", True), ("U2", "N2", True), ("U2", "N3", True)]
     everything = RC.candidates(ds, cat, max_candidates=None).filter("UserID = 'U1'")
     assert everything.count() == 5
+    empty = RC.candidates(ds, cat, max_candidates=3, exhausted="empty")
+    assert empty.filter("UserID = 'U2'").count() == 0
 
 
 def test_candidates_match_brute_force(spark):
