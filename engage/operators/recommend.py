@@ -44,10 +44,20 @@ def ranked_catalogue(news_clean: DataFrame) -> DataFrame:
     return with_global_position(cat, order, "pos")
 
 
+# Fixed value: exact decimal type for averaging the stored 4-place features.
+MEAN_DECIMAL = "decimal(24,10)"
+
+
 def article_means(ds: DataFrame) -> DataFrame:
-    """Mean stored CTR and popularity per article over the rows."""
-    return ds.groupBy("NewsID").agg(F.avg("article_ctr").alias("mean_article_ctr"),
-                                    F.avg("popularity_score").alias("mean_popularity"))
+    """Mean stored CTR and popularity per article over the rows.
+
+    The stored values have 4 decimal places, so they are averaged as exact
+    decimals: the result does not depend on how the rows are partitioned
+    (a double sum does, in its last bits)."""
+    def mean(c):
+        return F.avg(F.col(c).cast(MEAN_DECIMAL)).cast("double")
+    return ds.groupBy("NewsID").agg(mean("article_ctr").alias("mean_article_ctr"),
+                                    mean("popularity_score").alias("mean_popularity"))
 
 
 def latest_user_rows(ds: DataFrame) -> DataFrame:

@@ -314,7 +314,9 @@ latest AS (
 
 AMEANS = """
 am AS (
-  SELECT NewsID, avg(article_ctr) AS mean_article_ctr, avg(popularity_score) AS mean_popularity
+  SELECT NewsID,
+         CAST(avg(CAST(article_ctr AS DECIMAL(24,10))) AS DOUBLE) AS mean_article_ctr,
+         CAST(avg(CAST(popularity_score AS DECIMAL(24,10))) AS DOUBLE) AS mean_popularity
   FROM ds GROUP BY NewsID
 )"""
 
