@@ -217,3 +217,4 @@ QUERIES.update({
 
 QUERIES["featured_dashboard"] = lambda s, d: FE.dashboard_featured(
     interactions(s, d, strict=True), FX.news(s, d))
+QUERIES["catalogue_duplicates"] = lambda s, d: FE.catalogue_duplicates(FX.news(s, d))

@@ -531,3 +531,5 @@ dds AS (
 
 SQL["featured_dashboard"] = _q((NEWS, BEHAVIORS, TOKENS, _inter(strict=True), DASH),
                                "SELECT * FROM dds")
+SQL["catalogue_duplicates"] = _q((NEWS,), """
+SELECT NewsID, count(*) AS copies FROM news GROUP BY NewsID HAVING count(*) > 1""")
