@@ -197,16 +197,20 @@ def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
     unknown ones get the popular list).
 
     ``model`` is a fitted ``PipelineModel`` whose input is the 8 feature
-    columns and whose output has ``probability``.
+    columns and whose output has ``probability``, or a function that adds
+    ``click_probability`` to the candidate feature rows (any other scorer).
     """
     if n < 1 or n > 50:
         raise ValueError("n must be in [1, 50]")
     from pyspark.ml.functions import vector_to_array
 
     feats = candidate_features(ds, ranked_catalogue(news_clean), max_candidates, users)
-    scored = (model.transform(feats)
-                   .withColumn("click_probability",
-                               vector_to_array(F.col("probability")).getItem(1)))
+    if hasattr(model, "transform"):
+        scored = (model.transform(feats)
+                       .withColumn("click_probability",
+                                   vector_to_array(F.col("probability")).getItem(1)))
+    else:
+        scored = model(feats)
     best = top_n_per_user(scored, n)
     out = best.select("UserID", "NewsID", "Title", "Category", "click_probability", "rank")
     if users is not None:

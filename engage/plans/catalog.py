@@ -218,3 +218,11 @@ QUERIES.update({
 QUERIES["featured_dashboard"] = lambda s, d: FE.dashboard_featured(
     interactions(s, d, strict=True), FX.news(s, d))
 QUERIES["catalogue_duplicates"] = lambda s, d: FE.catalogue_duplicates(FX.news(s, d))
+
+
+def _rule_scorer(feats):
+    return ML.rule_score(feats).withColumn("click_probability", F.col("p"))
+
+
+QUERIES["recommend_rule"] = lambda s, d: RC.recommend_top_n(
+    featured(s, d, with_position=True), news_clean(s, d), _rule_scorer, 10)

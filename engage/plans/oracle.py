@@ -533,3 +533,13 @@ SQL["featured_dashboard"] = _q((NEWS, BEHAVIORS, TOKENS, _inter(strict=True), DA
                                "SELECT * FROM dds")
 SQL["catalogue_duplicates"] = _q((NEWS,), """
 SELECT NewsID, count(*) AS copies FROM news GROUP BY NewsID HAVING count(*) > 1""")
+
+
+SQL["recommend_rule"] = _q(FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEATURES), """
+SELECT UserID, NewsID, Title, Category, round_even(p, 4) AS click_probability,
+       CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY p DESC, NewsID) AS rank
+      FROM (SELECT *, s / (1.0 + s) AS p
+            FROM (SELECT *, 2.0 * article_ctr + 1.5 * user_ctr + 0.5 * category_match
+                            + popularity_score AS s FROM cf)))
+WHERE rank <= 10""")
