@@ -166,7 +166,9 @@ def activity_distribution(ds: DataFrame) -> DataFrame:
     code = X.bounded_bucket("n", X.ACTIVITY_EDGES, X.ACTIVITY_MAX)
     counts = (per_user.select(code.alias("code")).filter(F.col("code").isNotNull())
                       .groupBy("code").agg(F.count("*").alias("users")))
-    labels = spark.createDataFrame(list(enumerate(X.ACTIVITY_LABELS)), "code int, activity string")
+    names = F.array(*[F.lit(x) for x in X.ACTIVITY_LABELS])
+    labels = spark.range(len(X.ACTIVITY_LABELS)).select(
+        F.col("id").cast("int").alias("code"), F.get(names, F.col("id").cast("int")).alias("activity"))
     return (F.broadcast(labels).join(counts, "code", "left")
             .select("activity", F.coalesce("users", F.lit(0)).alias("users"), "code")
             .orderBy("code").drop("code"))
