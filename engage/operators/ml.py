@@ -257,10 +257,6 @@ def rule_score(ds: DataFrame) -> DataFrame:
               .withColumn("pred", (F.col("p") > 0.5).cast("int")))
 
 
-def scaler_table(stats: dict[str, tuple[float, float]]) -> list[tuple[str, float, float]]:
-    return [(c, m, s) for c, (m, s) in stats.items()]
-
-
 def evaluate(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
     """One metrics row per model, with its position in training order."""
     spark = test.sparkSession

@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from engage.functions import expressions as X
 from engage.operators.ordering import with_global_position
-from engage.schemas import (DEFAULT_TITLE_WORDS, FEATURE_COLS, UNSEEN_ARTICLE_CTR,
-                            UNSEEN_POPULARITY)
+from engage.schemas import DEFAULT_TITLE_WORDS, UNSEEN_ARTICLE_CTR, UNSEEN_POPULARITY
 
 USER_FIELDS = ["user_ctr", "preferred_category", "activity_encoded",
                "title_len_encoded", "top_category_affinity"]
@@ -218,7 +217,3 @@ def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
     if round_places is not None:
         out = out.withColumn("click_probability", F.bround("click_probability", round_places))
     return out
-
-
-def feature_columns() -> list[str]:
-    return list(FEATURE_COLS)

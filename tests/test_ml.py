@@ -25,6 +25,8 @@ def test_scaler_is_population_std(spark):
     assert m == 2.5 and abs(s - np.std([1, 2, 3, 4])) < 1e-12
     const = spark.createDataFrame([(5.0,), (5.0,)], "x double")
     assert ML.fit_scaler(const, ["x"])["x"] == (5.0, 1.0)
+    z = ML.scale(df, ML.fit_scaler(df, ["x"])).agg(F.avg("x"), F.stddev_pop("x")).first()
+    assert abs(z[0]) < 1e-12 and abs(z[1] - 1) < 1e-12
 
 
 def test_metrics_match_direct_computation(spark):
