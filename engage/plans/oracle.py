@@ -444,8 +444,8 @@ ev AS (
   LEFT JOIN part p ON CAST(p.p_partkey AS VARCHAR) = json_extract_string(e.props, '$.k')
 )"""
 
-_EV_JSON = ("SELECT event_id, to_json(struct_pack(UserID := UserID, NewsID := NewsID, "
-            "Category := Category, Click := Click)) AS value FROM ev")
+_EV_JSON = ("SELECT event_id, CAST(to_json(struct_pack(UserID := UserID, NewsID := NewsID, "
+            "Category := Category, Click := Click)) AS VARCHAR) AS value FROM ev")
 SQL.update({
     "event_values": _q((EVENTS,), _EV_JSON),
     "message_text": _q((EVENTS,), f"SELECT value FROM ({_EV_JSON})"),

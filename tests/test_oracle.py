@@ -34,6 +34,19 @@ def _canon(cols, rows):
     return sorted("|".join(v(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"StringType()": "VARCHAR", "IntegerType()": "INTEGER", "LongType()": "BIGINT",
+                 "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_types_match_duckdb(spark, con, name):
+    df = C.QUERIES[name](spark, SF_SMALL)
+    spark_types = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType))
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert spark_types == duck_types
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_duckdb(spark, con, name):
     df = C.QUERIES[name](spark, SF_SMALL)
