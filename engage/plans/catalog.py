@@ -2,11 +2,13 @@
 
 Each query derives the click log from the raw test tables (so its work grows
 with them) and then applies one operator of the library.  The DuckDB twins
-live in ``engage.plans.oracle.SQL`` under the same names.
+live in ``engage.plans.oracle.SQL`` under the same names; model-dependent
+queries come from ``engage.plans.training``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -15,8 +17,15 @@ from pyspark.sql import functions as F
 
 from engage.operators import analytics as AN
 from engage.operators import features as FE
+from engage.operators import ml as ML
+from engage.operators import recommend as RC
 from engage.operators.interactions import catalogue_semi_join, parse_impressions
+from engage.plans import training as TR
+from engage.session import scratch_path
+from engage.sinks import writers as WR
 from engage.sources import fixtures as FX
+from engage.sources import readers as RD
+from engage.streaming import events as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +79,62 @@ def _ds(op) -> Query:
     return lambda spark, d: op(featured(spark, d))
 
 
+def _pos(s, d):
+    return featured(s, d, with_position=True)
+
+
+# ---- recommendation helpers
+def _catalogue(s, d):
+    return RC.ranked_catalogue(news_clean(s, d))
+
+
+def _candidates(s, d):
+    return RC.candidates(_pos(s, d), _catalogue(s, d)).select("UserID", "pos", "NewsID",
+                                                              "exhausted")
+
+
+def _candidate_features(s, d):
+    return RC.candidate_features(_pos(s, d), _catalogue(s, d))
+
+
+def _rule_scorer(feats):
+    return ML.rule_score(feats).withColumn("click_probability", F.col("p"))
+
+
+# ---- ML data-step helpers
+def _train_side(s, d):
+    train, _ = ML.stratified_split(_pos(s, d))
+    return ML.assemble_rows(train)
+
+
+def _rule_metrics(s, d):
+    _, test = ML.stratified_split(_pos(s, d))
+    return ML.model_metrics(ML.rule_score(test))
+
+
+# ---- sources and sinks: data written by Spark and read back
+def _run_dir(s, what):
+    return scratch_path(s, f"tables/{what}-{uuid.uuid4().hex}")
+
+
+def _tsv_news(s, d):
+    path = _run_dir(s, "news-tsv")
+    WR.write_tsv(FX.news(s, d), path)
+    return RD.read_news(s, path)
+
+
+def _tsv_behaviors(s, d):
+    path = _run_dir(s, "behaviors-tsv")
+    WR.write_tsv(FX.behaviors(s, d), path)
+    return parse_impressions(RD.read_behaviors(s, path))
+
+
+def _serving(s, d):
+    base = _run_dir(s, "serving")
+    WR.save_interactions(FE.featured_projection(featured(s, d)), news_clean(s, d), base)
+    return base
+
+
 QUERIES: dict[str, Query] = {
     # ---- parse and features
     "parse_impressions": lambda s, d: interactions(s, d),
@@ -86,7 +151,10 @@ QUERIES: dict[str, Query] = {
     "featured_dataset": lambda s, d: featured(s, d),
     "featured_dataset_first": lambda s, d: featured(s, d, ties="first"),
     "featured_projection": _ds(FE.featured_projection),
+    "featured_dashboard": lambda s, d: FE.dashboard_featured(
+        interactions(s, d, strict=True), FX.news(s, d)),
     "catalogue_semi_join": lambda s, d: catalogue_semi_join(interactions(s, d), FX.news(s, d)),
+    "catalogue_duplicates": lambda s, d: FE.catalogue_duplicates(FX.news(s, d)),
     # ---- analytics
     "overall_ctr": lambda s, d: AN.overall_ctr(interactions(s, d)),
     "platform_stats": _ds(AN.platform_stats),
@@ -106,123 +174,36 @@ QUERIES: dict[str, Query] = {
     "user_ctr_histogram": _ds(AN.user_ctr_histogram),
     "user_scatter": _ds(AN.user_scatter),
     "class_distribution": _ds(AN.class_distribution),
-}
-
-
-# ---- recommendation without a model, ML data steps, metrics
-from engage.operators import ml as ML  # noqa: E402
-from engage.operators import recommend as RC  # noqa: E402
-from engage.operators.analytics import display_titles  # noqa: E402
-
-
-def _catalogue(s, d):
-    return RC.ranked_catalogue(news_clean(s, d))
-
-
-def _candidates(s, d):
-    ds = featured(s, d, with_position=True)
-    return RC.candidates(ds, _catalogue(s, d)).select("UserID", "pos", "NewsID", "exhausted")
-
-
-def _candidate_features(s, d):
-    return RC.candidate_features(featured(s, d, with_position=True), _catalogue(s, d))
-
-
-def _train_side(s, d):
-    train, _ = ML.stratified_split(featured(s, d, with_position=True))
-    return ML.assemble_rows(train)
-
-
-def _rule_metrics(s, d):
-    _, test = ML.stratified_split(featured(s, d, with_position=True))
-    return ML.model_metrics(ML.rule_score(test))
-
-
-QUERIES.update({
+    "short_titles": lambda s, d: AN.display_titles(news_clean(s, d))
+        .select("NewsID", "short_title", "card_title", "category_tag"),
+    # ---- recommendation without a model, and with a fixed rule score
     "ranked_catalogue": _catalogue,
     "candidates": _candidates,
     "candidate_features": _candidate_features,
     "article_means": lambda s, d: RC.article_means(featured(s, d)),
-    "latest_user_rows": lambda s, d: RC.latest_user_rows(featured(s, d, with_position=True)),
-    "popular_articles": lambda s, d: RC.popular_articles(
-        featured(s, d), news_clean(s, d), 10),
+    "latest_user_rows": lambda s, d: RC.latest_user_rows(_pos(s, d)),
+    "popular_articles": lambda s, d: RC.popular_articles(featured(s, d), news_clean(s, d), 10),
     "cold_start": lambda s, d: RC.cold_start(
         FX.customers_as_users(s, d), featured(s, d), news_clean(s, d), 10),
-    "exhausted_users": lambda s, d: RC.exhausted_users(featured(s, d),
-                                                       news_clean(s, d)),
-    "short_titles": lambda s, d: display_titles(news_clean(s, d))
-        .select("NewsID", "short_title", "card_title", "category_tag"),
-    "split_counts": lambda s, d: ML.split_counts(featured(s, d, with_position=True)),
+    "exhausted_users": lambda s, d: RC.exhausted_users(featured(s, d), news_clean(s, d)),
+    "recommend_rule": lambda s, d: RC.recommend_top_n(
+        _pos(s, d), news_clean(s, d), _rule_scorer, 10),
+    # ---- ML data steps and metrics
+    "split_counts": lambda s, d: ML.split_counts(_pos(s, d)),
     "scaler_fit": lambda s, d: ML.scaler_frame(_train_side(s, d)),
     "model_metrics": _rule_metrics,
-})
-
-
-# ---- click stream
-from engage.session import scratch_path  # noqa: E402
-from engage.streaming import events as ST  # noqa: E402
-
-QUERIES.update({
+    # ---- click stream
     "event_values": lambda s, d: FX.event_values(s, d),
     "message_text": lambda s, d: ST.message_text(
         FX.event_values(s, d).select(F.col("value").cast("binary").alias("value"))),
     "parse_events": lambda s, d: ST.parse_events(FX.event_values(s, d)),
     "stream_events": lambda s, d: ST.stream_table_events(s, d, scratch_path(s, "streams")),
-})
-
-
-# ---- model training, recommendation with a model, clustering (rows-only check)
-from engage.plans import training as TR  # noqa: E402
-
-QUERIES.update(TR.QUERIES)
-
-
-# ---- sources and sinks: data written by Spark and read back
-import uuid  # noqa: E402
-
-from engage.sinks import writers as WR  # noqa: E402
-from engage.sources import readers as RD  # noqa: E402
-
-
-def _run_dir(s, what):
-    return scratch_path(s, f"tables/{what}-{uuid.uuid4().hex}")
-
-
-def _tsv_news(s, d):
-    path = _run_dir(s, "news-tsv")
-    WR.write_tsv(FX.news(s, d), path)
-    return RD.read_news(s, path)
-
-
-def _tsv_behaviors(s, d):
-    path = _run_dir(s, "behaviors-tsv")
-    WR.write_tsv(FX.behaviors(s, d), path)
-    return parse_impressions(RD.read_behaviors(s, path))
-
-
-def _serving(s, d):
-    base = _run_dir(s, "serving")
-    WR.save_interactions(FE.featured_projection(featured(s, d)),
-                         news_clean(s, d), base)
-    return base
-
-
-QUERIES.update({
+    # ---- sources and sinks
     "tsv_news": _tsv_news,
     "tsv_behaviors": _tsv_behaviors,
     "stored_interactions": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/interactions"),
     "stored_news": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/news"),
-})
-
-
-QUERIES["featured_dashboard"] = lambda s, d: FE.dashboard_featured(
-    interactions(s, d, strict=True), FX.news(s, d))
-QUERIES["catalogue_duplicates"] = lambda s, d: FE.catalogue_duplicates(FX.news(s, d))
-
-
-def _rule_scorer(feats):
-    return ML.rule_score(feats).withColumn("click_probability", F.col("p"))
-
+}
 
-QUERIES["recommend_rule"] = lambda s, d: RC.recommend_top_n(
-    featured(s, d, with_position=True), news_clean(s, d), _rule_scorer, 10)
+# ---- model training, recommendation with a model, clustering (rows-only check)
+QUERIES.update(TR.QUERIES)

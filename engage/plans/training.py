@@ -10,19 +10,26 @@ no data does.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from engage.operators import cluster as CL
-from engage.operators import features as FE
 from engage.operators import ml as ML
 from engage.operators import recommend as RC
 from engage.sources import fixtures as FX
 
+_FITTED: dict[tuple, tuple[dict, DataFrame]] = {}
 
-def news_clean(spark, d):
-    from engage.plans.catalog import news_clean as nc
-    return nc(spark, d)
 
-_FITTED: dict[tuple, tuple[dict, DataFrame]] = {}
+# The stored tables live in ``engage.plans.catalog``, which imports this
+# module; it is imported lazily here.
+def news_clean(spark: SparkSession, d: str) -> DataFrame:
+    from engage.plans.catalog import news_clean as stored_news_clean
+    return stored_news_clean(spark, d)
+
+
+def featured_rows(spark: SparkSession, d: str) -> DataFrame:
+    from engage.plans.catalog import featured
+    return featured(spark, d)
 
 
 def featured_pos(spark: SparkSession, d: str) -> DataFrame:
@@ -74,19 +81,16 @@ def recommend_requested(spark, d):
 
 
 def cluster_rows(spark, d):
-    from engage.plans.catalog import featured
-    return CL.cluster(featured(spark, d))[0].select("UserID", "NewsID", *CL.CLUSTER_COLS,
+    return CL.cluster(featured_rows(spark, d))[0].select("UserID", "NewsID", *CL.CLUSTER_COLS,
                                                     "prediction", "segment")
 
 
 def cluster_articles(spark, d):
-    from engage.plans.catalog import featured
-    return CL.cluster(featured(spark, d), level="article")[0]
+    return CL.cluster(featured_rows(spark, d), level="article")[0]
 
 
 def cluster_sizes(spark, d):
-    from engage.plans.catalog import featured
-    return CL.cluster_sizes(CL.cluster(featured(spark, d))[0])
+    return CL.cluster_sizes(CL.cluster(featured_rows(spark, d))[0])
 
 
 QUERIES = {
@@ -104,7 +108,6 @@ QUERIES = {
 
 def smote_balance(spark, d):
     """Class counts of the SMOTE-balanced training side."""
-    from pyspark.sql import functions as F
     train, _, _ = ML.prepare(featured_pos(spark, d), "smote")
     return train.groupBy(ML.TARGET).agg(F.count("*").alias("n"))
 
