@@ -14,12 +14,23 @@ Semantics of the per-user recommender, applied to every user at once:
 * scored by the model, the ``n`` most probable per user are returned;
   users without any row get the most popular articles instead.
 
-Plan (scale): no users x articles product.  A user who has seen ``s``
-catalogue rows finds its first ``m`` unseen ones among the first ``m + s``
-positions, so each user expands to ``m + s`` positions only; the positions
-are an equi-join with the catalogue.  Per-user limits are ``row_number``
-windows that Spark plans with ``WindowGroupLimit`` (partial limit before the
-shuffle), so a very active user never sends more than ``m`` rows per task.
+Plan (scale): no users x articles product and no per-user expansion beyond
+the answer.  The catalogue is ranked once (``pos``).  A user's distinct seen
+positions, sorted, cut the catalogue into gaps of unseen positions; the gap
+that ends at the seen position ``q`` (rank ``r`` among the user's seen
+positions, previous seen position ``p``) holds ``p+1 .. q-1`` and is preceded
+by exactly ``p - (r - 1)`` unseen positions.  So every gap knows how many of
+its positions belong to the first ``m`` unseen ones, and the generator emits
+exactly those: ``m`` rows per user, no anti join and no limit window over
+expanded rows.  The window that ranks seen positions holds one row per
+distinct (user, catalogue article) pair, de-duplicated map-side before the
+shuffle, so a very active user costs at most one row per catalogue article.
+
+The catalogue side of the position join is broadcast only after its size is
+measured (``sizing``); the generated rows then stay partitioned by user, so
+the join with the one-row-per-user fields and the per-user top-``n`` window
+do not shuffle them again.  The recommender joins titles only after the
+per-user top ``n``.
 """
 
 from __future__ import annotations
@@ -29,6 +40,8 @@ from pyspark.sql import functions as F
 
 from engage.functions import expressions as X
 from engage.operators.ordering import with_global_position
+from engage.operators.sizing import broadcast_if_small, measured_size
+from engage.session import ensure_checkpoint_dir
 from engage.schemas import DEFAULT_TITLE_WORDS, UNSEEN_ARTICLE_CTR, UNSEEN_POPULARITY
 
 USER_FIELDS = ["user_ctr", "preferred_category", "activity_encoded",
@@ -69,11 +82,12 @@ def latest_user_rows(ds: DataFrame) -> DataFrame:
               .select("UserID", *[F.col(f"u.{c}").alias(c) for c in USER_FIELDS]))
 
 
-def catalogue_features(catalogue: DataFrame, ds: DataFrame) -> DataFrame:
+def catalogue_features(catalogue: DataFrame, ds: DataFrame, with_title: bool = True) -> DataFrame:
     """Ranked catalogue with the article statistics a candidate carries
     (mean stored CTR / popularity, or the defaults for unseen articles)."""
+    title = ["Title"] if with_title else []
     return (catalogue.join(article_means(ds), "NewsID", "left")
-                     .select("pos", "NewsID", "Category", "Title", "TitleWordCount",
+                     .select("pos", "NewsID", "Category", *title, "TitleWordCount",
                              F.coalesce("mean_article_ctr", F.lit(UNSEEN_ARTICLE_CTR))
                               .alias("article_ctr"),
                              F.coalesce("mean_popularity", F.lit(UNSEEN_POPULARITY))
@@ -83,51 +97,75 @@ def catalogue_features(catalogue: DataFrame, ds: DataFrame) -> DataFrame:
 def candidates(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
                users: DataFrame | None = None, exhausted: str = "catalogue") -> DataFrame:
     """(UserID, exhausted, <catalogue columns>): the candidate catalogue rows
-    per user.
+    per user.  See ``candidate_positions``."""
+    keep, size = candidate_positions(ds, catalogue, max_candidates, users, exhausted)
+    return keep.join(broadcast_if_small(catalogue, size), "pos")
+
+
+def candidate_positions(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
+                        users: DataFrame | None = None,
+                        exhausted: str = "catalogue") -> tuple[DataFrame, int]:
+    """((UserID, exhausted, pos), measured catalogue bytes): the catalogue
+    positions of every user's candidates.
 
     ``catalogue`` is ``ranked_catalogue(...)`` (optionally with more columns,
-    e.g. ``catalogue_features``); it is joined once, on ``pos``.  ``users``
+    e.g. ``catalogue_features``); only its ``NewsID`` and ``pos`` are read.  ``users``
     restricts the job to the given known users (default: every user of
     ``ds``).  ``max_candidates=None`` means every unseen row.
     ``exhausted="catalogue"`` gives a user who has seen everything the
     catalogue head again (the API form); ``"empty"`` gives nothing (the
-    dashboard form).
+    dashboard form).  ``catalogue`` should be cheap to scan (checkpointed):
+    it is measured once to decide whether it can be broadcast.
     """
     if exhausted not in ("catalogue", "empty"):
         raise ValueError("exhausted must be 'catalogue' or 'empty'")
     seen = ds.select("UserID", "NewsID").distinct()
     if users is not None:
         seen = seen.join(users.select("UserID").distinct(), "UserID", "left_semi")
-    # the catalogue is checkpointed by ranked_catalogue: counting it is cheap,
-    # and the count is one number.
-    n_cat = F.lit(catalogue.count()).cast("long")
-    seen_pos = seen.join(catalogue.select("NewsID", "pos"), "NewsID").select("UserID", "pos")
-    known = seen.select("UserID").distinct()
-    s = (known.join(seen_pos.groupBy("UserID").agg(F.count("*").alias("s")), "UserID", "left")
-              .withColumn("s", F.coalesce("s", F.lit(0))))
-    m = n_cat if max_candidates is None else F.lit(max_candidates).cast("long")
-    s = s.withColumn("exhausted", F.col("s") >= n_cat)
-    # exhausted users get the catalogue head; everyone else m + s positions.
-    bound = F.least(F.when(F.col("exhausted"), m).otherwise(m + F.col("s")), n_cat)
-    per_user = s.filter(bound > 0).select(
-        "UserID", "exhausted", F.explode(F.sequence(F.lit(1).cast("long"), bound)).alias("pos"))
-    unseen = per_user.join(seen_pos, ["UserID", "pos"], "left_anti")
-    keep = unseen.filter(~F.col("exhausted"))
+    # the catalogue is checkpointed: measuring it is one cheap job that
+    # returns two numbers (rows, bytes).
+    rows, size = measured_size(catalogue)
+    n_cat = F.lit(rows).cast("long")
+    m = n_cat if max_candidates is None else F.least(F.lit(max_candidates).cast("long"), n_cat)
+    ids = broadcast_if_small(catalogue.select("NewsID", "pos"), size)
+    seen_pos = seen.join(ids, "NewsID").select("UserID", "pos")
+    # one end marker per known user, after the last position, closes the
+    # user's last gap (and is the only row of a user who saw no catalogue row)
+    ends = seen.select("UserID").distinct().select("UserID", (n_cat + 1).alias("pos"))
+    w = Window.partitionBy("UserID").orderBy("pos")
+    marks = seen_pos.unionByName(ends).select(
+        "UserID", "pos",
+        F.coalesce(F.lag("pos").over(w), F.lit(0).cast("long")).alias("prev"),
+        (F.row_number().over(w) - 1).cast("long").alias("seen_before"))
+    unseen_before = F.col("prev") - F.col("seen_before")
+    start = F.col("prev") + 1
+    take = F.least(F.col("pos") - F.col("prev") - 1, m - unseen_before)
+    # the end marker of a user who has seen every catalogue row
+    full = (F.col("pos") == n_cat + 1) & (F.col("seen_before") == n_cat)
     if exhausted == "catalogue":
-        keep = per_user.filter("exhausted").unionByName(keep)
-    if max_candidates is not None:
-        w = Window.partitionBy("UserID").orderBy("pos")
-        keep = (keep.withColumn("_r", F.row_number().over(w))
-                    .filter(F.col("_r") <= max_candidates).drop("_r"))
-    return keep.join(catalogue, "pos")
+        start = F.when(full, F.lit(1).cast("long")).otherwise(start)
+        take = F.when(full, m).otherwise(take)
+    keep = (marks.filter(take > 0)
+                 .select("UserID", full.alias("exhausted"),
+                         F.explode(F.sequence(start, start + take - 1)).alias("pos")))
+    return keep, size
 
 
 def candidate_features(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
-                       users: DataFrame | None = None) -> DataFrame:
+                       users: DataFrame | None = None, with_title: bool = True) -> DataFrame:
     """Feature rows of every user's candidates: the 8 model features as
-    double plus UserID, NewsID, pos, Category, Title."""
-    cands = candidates(ds, catalogue_features(catalogue, ds), max_candidates, users)
-    j = cands.join(latest_user_rows(ds), "UserID", "left")
+    double plus UserID, NewsID, pos, Category and (``with_title``) Title.
+
+    The catalogue with its article statistics is checkpointed to the shared
+    checkpoint folder (one row per catalogue entry), so the candidate join
+    reads a table of known size and short lineage."""
+    ensure_checkpoint_dir(ds.sparkSession)
+    cat = catalogue_features(catalogue, ds, with_title).checkpoint(eager=True)
+    keep, size = candidate_positions(ds, cat, max_candidates, users)
+    # user fields first (the rows are still narrow and partitioned by user),
+    # then the catalogue columns by the size-checked position join
+    j = (keep.join(latest_user_rows(ds), "UserID", "left")
+             .join(broadcast_if_small(cat, size), "pos"))
     feats = {
         "article_ctr": F.col("article_ctr"),
         "popularity_score": F.col("popularity_score"),
@@ -139,7 +177,8 @@ def candidate_features(ds: DataFrame, catalogue: DataFrame, max_candidates: int
         "top_category_affinity": F.col("top_category_affinity"),
         "TitleWordCount": F.coalesce(F.col("TitleWordCount"), F.lit(DEFAULT_TITLE_WORDS)),
     }
-    return j.select("UserID", "NewsID", "pos", "Category", "Title",
+    title = ["Title"] if with_title else []
+    return j.select("UserID", "NewsID", "pos", "Category", *title,
                     *[v.cast("double").alias(k) for k, v in feats.items()])
 
 
@@ -203,15 +242,19 @@ def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
         raise ValueError("n must be in [1, 50]")
     from pyspark.ml.functions import vector_to_array
 
-    feats = candidate_features(ds, ranked_catalogue(news_clean), max_candidates, users)
+    catalogue = ranked_catalogue(news_clean)
+    feats = candidate_features(ds, catalogue, max_candidates, users, with_title=False)
     if hasattr(model, "transform"):
         scored = (model.transform(feats)
                        .withColumn("click_probability",
                                    vector_to_array(F.col("probability")).getItem(1)))
     else:
         scored = model(feats)
-    best = top_n_per_user(scored, n)
-    out = best.select("UserID", "NewsID", "Title", "Category", "click_probability", "rank")
+    best = top_n_per_user(scored, n).select("UserID", "NewsID", "pos", "Category",
+                                            "click_probability", "rank")
+    # titles are joined to the n best rows per user only
+    out = (best.join(catalogue.select("pos", "Title"), "pos")
+               .select("UserID", "NewsID", "Title", "Category", "click_probability", "rank"))
     if users is not None:
         out = out.unionByName(cold_start(users, ds, news_clean, n))
     if round_places is not None:

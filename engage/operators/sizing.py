@@ -1,0 +1,57 @@
+"""Size-checked broadcast joins.
+
+A join side is broadcast only after its size has been measured: one
+aggregate over the side (meant for a checkpointed table of bounded lineage,
+so the scan is cheap) returns its row count and the bytes of its string
+columns; every other column counts 8 bytes, plus a per-row overhead.  A side
+above the session's ``spark.sql.autoBroadcastJoinThreshold`` (or any side
+when the threshold is negative) is left to a shuffle join, which AQE can
+still turn into a broadcast at run time.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
+
+# Bytes charged per row and per fixed-width column, and the
+# broadcast threshold Spark uses when the setting is absent (10 MiB).
+ROW_OVERHEAD_BYTES = 16
+FIXED_COLUMN_BYTES = 8
+DEFAULT_THRESHOLD = 10 * 1024 * 1024
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (negative = disabled)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    if raw is None:
+        return DEFAULT_THRESHOLD
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(raw))
+    if not m or m.group(2).lower() not in _UNITS:
+        return DEFAULT_THRESHOLD
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated bytes) of ``df`` from one aggregate job."""
+    fields = df.schema.fields
+    var = [f.name for f in fields if isinstance(f.dataType, (StringType, BinaryType))]
+    fixed = FIXED_COLUMN_BYTES * (len(fields) - len(var)) + ROW_OVERHEAD_BYTES
+    text = F.lit(0).cast("long")
+    for c in var:
+        text = text + F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long")
+    r = df.agg(F.count("*").alias("n"), F.sum(text).alias("b")).first()
+    n = int(r["n"])
+    return n, n * fixed + int(r["b"] or 0)
+
+
+def broadcast_if_small(df: DataFrame, size_bytes: int) -> DataFrame:
+    """``broadcast(df)`` when ``size_bytes`` is within the threshold, else ``df``."""
+    limit = broadcast_threshold(df.sparkSession)
+    return F.broadcast(df) if 0 <= size_bytes <= limit else df

@@ -69,3 +69,32 @@ def test_prefix_sums(spark, rows, parts):
         want[float(s)] = acc
         acc += v
     assert got == want
+
+
+# ---- candidate positions (gap generator) against plain Python
+seen_sets = st.dictionaries(st.sampled_from(["U1", "U2", "U3", "U4"]),
+                            st.lists(st.integers(1, 14), max_size=14), min_size=1)
+
+
+@SETTINGS
+@given(seen=seen_sets, m=st.one_of(st.none(), st.integers(0, 16)),
+       mode=st.sampled_from(["catalogue", "empty"]))
+def test_candidate_positions_match_brute_force(spark, seen, m, mode):
+    from engage.operators import recommend as RC
+    n = 12  # catalogue positions 1..12; ids 13, 14 are not in the catalogue
+    cat = spark.createDataFrame([(f"N{i}", i) for i in range(1, n + 1)],
+                                "NewsID string, pos long")
+    ds = spark.createDataFrame([(u, f"N{i}") for u, ids in seen.items() for i in ids] +
+                               [(u, "N99") for u in seen], "UserID string, NewsID string")
+    keep, _ = RC.candidate_positions(ds, cat, m, exhausted=mode)
+    got = sorted((r.UserID, r.pos, r.exhausted) for r in keep.collect())
+    want = []
+    for u, ids in seen.items():
+        seen_pos = {i for i in ids if i <= n}
+        limit = n if m is None else m
+        if len(seen_pos) == n:
+            want += [(u, p, True) for p in range(1, min(limit, n) + 1)] if mode == "catalogue" else []
+        else:
+            want += [(u, p, False) for p in [p for p in range(1, n + 1)
+                                              if p not in seen_pos][:limit]]
+    assert got == sorted(want)

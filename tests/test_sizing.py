@@ -1,0 +1,27 @@
+"""Size-checked broadcast helper."""
+
+from engage.operators.sizing import broadcast_if_small, broadcast_threshold, measured_size
+
+
+def test_measured_size_counts_rows_and_text(spark):
+    df = spark.createDataFrame([("ab", 1), ("cde", 2), (None, 3)], "s string, x long")
+    n, size = measured_size(df)
+    assert n == 3
+    assert size == 3 * (8 + 16) + 5
+
+
+def test_broadcast_only_within_threshold(spark):
+    df = spark.range(10)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+        assert broadcast_threshold(spark) == 1024
+        small = spark.range(5).join(broadcast_if_small(df, 100), "id")
+        big = spark.range(5).join(broadcast_if_small(df, 10_000), "id")
+        assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        off = spark.range(5).join(broadcast_if_small(df, 1), "id")
+        assert "ResolvedHint" not in off._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
