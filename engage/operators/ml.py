@@ -216,6 +216,39 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return s.withColumn("pred", (F.col("p") > 0.5).cast("int"))
 
 
+def linear_probability(model: PipelineModel):
+    """P(click) of a fitted binary logistic regression as one column
+    expression, or None for any other model.
+
+    For a pipeline ending in ``[VectorAssembler, LogisticRegressionModel]``
+    the earlier stages (the scaler projection) are applied as they are and
+    ``p = 1 / (1 + exp(-(w . x + b)))`` is written over the assembler's
+    input columns in order: the model's own formula with its 8 coefficients,
+    evaluated inside whole-stage codegen instead of building a vector and a
+    probability vector per row.  Returns ``f(df) -> df`` adding
+    ``click_probability``."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    stages = list(getattr(model, "stages", []) or [])
+    if len(stages) < 2:
+        return None
+    lr, asm = stages[-1], stages[-2]
+    if not (isinstance(lr, LogisticRegressionModel) and isinstance(asm, VectorAssembler)
+            and lr.numClasses == 2):
+        return None
+    margin = F.lit(0.0)
+    for c, w in zip(asm.getInputCols(), lr.coefficients.toArray().tolist()):
+        margin = margin + F.col(c) * F.lit(float(w))
+    margin = margin + F.lit(float(lr.intercept))
+    head = PipelineModel(stages[:-2])
+
+    def apply(df: DataFrame) -> DataFrame:
+        out = head.transform(df).withColumn("click_probability",
+                                            1.0 / (1.0 + F.exp(-margin)))
+        return out.drop(*asm.getInputCols())
+    return apply
+
+
 def model_metrics(scored: DataFrame, label: str = TARGET, p: str = "p",
                   pred: str = "pred") -> DataFrame:
     """accuracy, auc, f1, precision, recall of class 1 (rounded to 4).

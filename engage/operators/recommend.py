@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engage.functions import expressions as X
+from engage.operators.ml import linear_probability
 from engage.operators.ordering import with_global_position
 from engage.operators.sizing import broadcast_if_small, measured_size
 from engage.session import ensure_checkpoint_dir
@@ -237,6 +238,8 @@ def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
     ``model`` is a fitted ``PipelineModel`` whose input is the 8 feature
     columns and whose output has ``probability``, or a function that adds
     ``click_probability`` to the candidate feature rows (any other scorer).
+    A logistic regression is scored as a column expression
+    (``ml.linear_probability``); other models through ``transform``.
     """
     if n < 1 or n > 50:
         raise ValueError("n must be in [1, 50]")
@@ -244,7 +247,10 @@ def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
 
     catalogue = ranked_catalogue(news_clean)
     feats = candidate_features(ds, catalogue, max_candidates, users, with_title=False)
-    if hasattr(model, "transform"):
+    linear = linear_probability(model) if hasattr(model, "transform") else None
+    if linear is not None:
+        scored = linear(feats)
+    elif hasattr(model, "transform"):
         scored = (model.transform(feats)
                        .withColumn("click_probability",
                                    vector_to_array(F.col("probability")).getItem(1)))

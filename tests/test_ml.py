@@ -85,3 +85,19 @@ def test_smote_balanced_and_bounded(spark):
         lo2, hi2 = out.filter("Click = 1").agg(F.min(c), F.max(c)).first()
         assert lo <= lo2 and hi2 <= hi
     assert (out.subtract(rows).count() > 0)
+
+
+def test_linear_probability_equals_model_transform(spark):
+    from pyspark.ml.functions import vector_to_array
+    ds = featured(spark, SF_SMALL, with_position=True)
+    train, test, stats = ML.prepare(ds)
+    model = ML.train_models(train, stats, names=["Logistic Regression"])["Logistic Regression"]
+    fast = ML.linear_probability(model)
+    assert fast is not None
+    a = fast(test).select(ML.ROW_KEY, "click_probability")
+    b = model.transform(test).select(ML.ROW_KEY, vector_to_array("probability")[1].alias("p"))
+    worst = a.join(b, ML.ROW_KEY).agg(F.max(F.abs(F.col("click_probability") - F.col("p")))).first()[0]
+    assert worst < 1e-12
+    assert a.count() == test.count()
+    rf = ML.train_models(train, stats, names=["Random Forest"])["Random Forest"]
+    assert ML.linear_probability(rf) is None
