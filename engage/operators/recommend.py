@@ -258,8 +258,11 @@ def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
         scored = model(feats)
     best = top_n_per_user(scored, n).select("UserID", "NewsID", "pos", "Category",
                                             "click_probability", "rank")
-    # titles are joined to the n best rows per user only
-    out = (best.join(catalogue.select("pos", "Title"), "pos")
+    # titles are joined to the n best rows per user only.  One popular
+    # article can sit in most users' top n, so the title side is broadcast
+    # when its measured size allows (else AQE splits the skewed position).
+    titles = catalogue.select("pos", "Title")
+    out = (best.join(broadcast_if_small(titles, measured_size(titles)[1]), "pos")
                .select("UserID", "NewsID", "Title", "Category", "click_probability", "rank"))
     if users is not None:
         out = out.unionByName(cold_start(users, ds, news_clean, n))
