@@ -101,3 +101,28 @@ def test_linear_probability_equals_model_transform(spark):
     assert a.count() == test.count()
     rf = ML.train_models(train, stats, names=["Random Forest"])["Random Forest"]
     assert ML.linear_probability(rf) is None
+
+
+def test_smote_tiny_minority_spreads_and_repeats(spark, monkeypatch):
+    """3 minority rows against 4,000 majority rows: exactly the gap is made,
+    the synthetic rows come from several tasks (chunks are shuffled apart,
+    not built in one group), and a second run gives the same rows."""
+    from engage.operators import oversample as OS
+    monkeypatch.setattr(OS, "CHUNK_ROWS", 100)
+    cols = ML.FEATURE_COLS
+    data = [tuple(float((i * 7 + j) % 11) for j in range(len(cols))) + (0, f"a{i}")
+            for i in range(4000)]
+    data += [tuple(float(i + j) for j in range(len(cols))) + (1, f"b{i}") for i in range(3)]
+    rows = spark.createDataFrame(data, ", ".join(f"{c} double" for c in cols)
+                                 + ", Click int, _k string")
+    stats = ML.fit_scaler(rows)
+    out = OS.smote(rows, stats, block_size=64)
+    synth = out.filter(F.col("_k").startswith("smote-"))
+    assert synth.count() == 4000 - 3
+    assert synth.groupBy(F.spark_partition_id()).count().count() > 1
+    lo = [min(float(i + j) for i in range(3)) for j in range(len(cols))]
+    hi = [max(float(i + j) for i in range(3)) for j in range(len(cols))]
+    got = synth.agg(*[F.min(c) for c in cols], *[F.max(c) for c in cols]).first()
+    assert all(lo[j] <= got[j] and got[len(cols) + j] <= hi[j] for j in range(len(cols)))
+    again = OS.smote(rows, stats, block_size=64).filter(F.col("_k").startswith("smote-"))
+    assert synth.exceptAll(again).count() == 0 and again.exceptAll(synth).count() == 0
