@@ -417,6 +417,9 @@ FROM news_clean"""),
     "split_counts": _q(FEATURED_POS, f"""
 SELECT CASE WHEN {SPLIT_TEST} THEN 'test' ELSE 'train' END AS side, Click, count(*) AS n
 FROM ds GROUP BY ALL"""),
+    # SMOTE adds exactly n_majority - n_minority minority rows to the train side
+    "smote_balance": _q(FEATURED_POS + (TRAIN,), """
+SELECT CAST(Click AS INTEGER) AS Click, max(count(*)) OVER () AS n FROM train GROUP BY Click"""),
     "scaler_fit": _q(FEATURED_POS + (TRAIN,), " UNION ALL ".join(
         f"SELECT '{c}' AS feature, avg({c}) AS mean, stddev_pop({c}) AS std FROM train"
         for c in FEATS)),
