@@ -23,9 +23,6 @@ CLUSTER_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # checkpointed tables (ranked catalogue, catalogue features, prefix-sum
-    # ranges) are written per call; remove them once they are unreferenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
