@@ -27,9 +27,11 @@ distinct (user, catalogue article) pair, de-duplicated map-side before the
 shuffle, so a very active user costs at most one row per catalogue article.
 
 The catalogue side of the position join is broadcast only after its size is
-measured (``sizing``); the generated rows then stay partitioned by user, so
-the join with the one-row-per-user fields and the per-user top-``n`` window
-do not shuffle them again.  The recommender joins titles only after the
+measured (``sizing``).  Only the few gap rows per user are shuffled (by user,
+into an explicit partition count, because AQE sizes partitions by input
+bytes and would pack the m-fold expansion into few tasks); the generated
+rows stay partitioned by user, so the join with the one-row-per-user fields
+and the per-user top-``n`` window do not shuffle them again.  The recommender joins titles only after the
 per-user top ``n``.
 """
 
@@ -146,9 +148,16 @@ def candidate_positions(ds: DataFrame, catalogue: DataFrame, max_candidates: int
     if exhausted == "catalogue":
         start = F.when(full, F.lit(1).cast("long")).otherwise(start)
         take = F.when(full, m).otherwise(take)
-    keep = (marks.filter(take > 0)
-                 .select("UserID", full.alias("exhausted"),
-                         F.explode(F.sequence(start, start + take - 1)).alias("pos")))
+    # The gap rows (a few per user) are spread by user over an explicit
+    # partition count before they expand m-fold: the inherited partitioning
+    # was sized by AQE for the input bytes and may be a single partition.
+    parts = max(int(ds.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    gaps = (marks.filter(take > 0)
+                 .select("UserID", full.alias("exhausted"), start.alias("_start"),
+                         take.alias("_take"))
+                 .repartition(parts, "UserID"))
+    keep = gaps.select("UserID", "exhausted", F.explode(F.sequence(
+        F.col("_start"), F.col("_start") + F.col("_take") - 1)).alias("pos"))
     return keep, size
 
 
