@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import chat, counts, decontaminate, huffman, packing, pii, quality, simhash
+from engage.llm import chat, counts, decontaminate, huffman, line_dedup, lm, packing, pii, quality, simhash
 from engage.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "text")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"),
@@ -60,8 +65,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_edited(table(spark, sf_dir, "documents"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_huffman": op1_huffman,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
@@ -69,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_pii": op8_pii,
     "op9_token_counts": op9_token_counts,
+    "op10_language_model": op10_language_model,
 }
