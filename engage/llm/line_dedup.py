@@ -11,13 +11,13 @@ than ``MIN_TOKENS`` distinct words are no evidence of copying and stay.
   are taken to differ where these do.)
 * Lines with equal token sets are one class, which stands for its first line.
 * Two matching sets share a token within their prefixes of
-  ``n * (DEN - NUM) / DEN + 1`` rarest tokens.  Prefix tokens that no other
-  class has are dropped; on the rest, the join applies the length filter, the
-  positional filter (what can still follow the first shared token) and a
-  64-bit parity signature, which bounds the symmetric difference from below.
+  ``n * (DEN - NUM) / DEN + 1`` rarest tokens.  The join on prefix tokens
+  applies the length filter, the positional filter (what can still follow the
+  first shared token) and a 64-bit parity signature, which bounds the
+  symmetric difference from below.
 * A token with more than ``DENSE`` classes is not paired within itself at
-  once: its classes are held against its earliest and its most copied class
-  first, and only those still without a match against all earlier ones.
+  once: its classes without a match are held against its most copied class
+  first, and only those still without one against all others.
 * What is left is verified on the whole token sets.
 
 Defined cases: null and empty texts have no lines and stay as they are; rows
@@ -50,13 +50,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), SPACE), lambda w: w != "")
+    """Lower-case words of a line; a line with plain spaces only is cut without
+    a regular expression."""
+    low = F.lower(line)
+    cut = F.when(low.rlike(r"[\x09-\x0D]"), F.split(low, SPACE)).otherwise(F.split(low, " "))
+    return F.array_remove(cut, "")
 
 
 def rarity(docs: DataFrame) -> Column:
     """Rarity rank of every word bucket, as one constant array of fixed size."""
     size = 1 << RANK_BITS
-    words = docs.select(F.explode(_words(F.col("text").cast("string"))).alias("w"))
+    lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("s"))
+    words = lines.select(F.explode(_words(F.col("s"))).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(size - 1)).cast("int")
     n = dict(map(tuple, words.groupBy(bucket.alias("b")).count().collect()))
     rank = [0] * size
@@ -83,8 +88,10 @@ def _lines(docs: DataFrame, ranks: Column, min_tokens: int) -> DataFrame:
     """Lines that can match, with class key, size, signature and prefix."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = _keyed(docs).select("__d", "__t", F.posexplode(F.split(text, "\n")).alias("line", "s"))
+    # through a generator, so that the filter below does not compute the tokens again
     toks = rows.select(F.struct(F.col("__d").alias("d"), F.col("__t").alias("t"), "line").alias("p"),
-                       _tokens(F.col("s"), ranks).alias("toks")).filter(F.size("toks") >= min_tokens)
+                       F.explode(F.array(_tokens(F.col("s"), ranks))).alias("toks"))
+    toks = toks.filter(F.size("toks") >= min_tokens)
     n = F.size("toks")
     return toks.select(
         "p", F.xxhash64("toks").alias("k1"), F.xxhash64(F.lit(1), "toks").alias("k2"), n.alias("n"),
@@ -92,60 +99,75 @@ def _lines(docs: DataFrame, ranks: Column, min_tokens: int) -> DataFrame:
         F.slice("toks", F.lit(1), F.floor(n * (DEN - NUM) / DEN).cast("int") + 1).alias("prefix"))
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``a, b`` (b the later) of postings that pass all filters."""
-    a = left.select(*[F.col(c).alias(f"a_{c}") for c in ("tok", "p", "n", "sig", "i")])
-    b = right.select(*[F.col(c).alias(f"b_{c}") for c in ("tok", "p", "n", "sig", "i")])
+def _pairs(left: DataFrame, right: DataFrame, order: Column) -> DataFrame:
+    """``a, b`` of postings ``tok, id, n, i, sig`` that pass all filters."""
+    cols = ("tok", "id", "n", "i", "sig")
+    a = left.select(*[F.col(c).alias(f"a_{c}") for c in cols])
+    b = right.select(*[F.col(c).alias(f"b_{c}") for c in cols])
     both = F.col("a_n") + F.col("b_n")
-    on = ((F.col("a_tok") == F.col("b_tok")) & (F.col("a_p") < F.col("b_p"))
+    on = ((F.col("a_tok") == F.col("b_tok")) & order
           & (F.least("a_n", "b_n") * DEN >= F.greatest("a_n", "b_n") * NUM)
           & (F.least(F.col("a_n") - F.col("a_i"), F.col("b_n") - F.col("b_i")) * (NUM + DEN) >= both * NUM)
           & (F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))) * (NUM + DEN) <= both * (DEN - NUM)))
-    return a.join(b, on).select(F.col("a_p").alias("a"), F.col("b_p").alias("b"))
+    least, most = F.least("a_id", "b_id"), F.greatest("a_id", "b_id")
+    return a.join(b, on).select(least.alias("a"), most.alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, ranks: Column) -> DataFrame:
-    """``p``: classes for which a pair holds on the whole token sets."""
-    pairs = staged(pairs.distinct(), "lines-pairs")
-    ends = pairs.select(F.col("a").alias("p")).unionByName(pairs.select(F.col("b").alias("p")))
-    wanted = (ends.select("p.*").groupBy("d", "t").agg(F.collect_set("line").alias("lines")))
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column) -> DataFrame:
+    """``id``: classes for which a pair holds on the whole token sets, and of
+    which they are the later one."""
+    pairs = staged(pairs, "lines-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("e")).distinct()
+    places = ends.join(classes.select("id", "p"), F.col("e") == F.col("id")).select("id", "p.*")
+    wanted = places.groupBy("d", "t").agg(F.collect_list(F.struct("line", "id")).alias("lines"))
     text = F.split(F.col("text").cast("string"), "\n")
     keyed = _keyed(docs.select("doc_id", "text"))
     lines = (keyed.join(wanted, (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t")))
-             .select("d", "t", F.explode("lines").alias("line"), text.alias("all"))
-             .select(F.struct("d", "t", "line").alias("p"), F.get("all", F.col("line")).alias("s")))
-    toks = staged(lines.dropDuplicates(["p"]).select("p", _tokens(F.col("s"), ranks).alias("toks")), "lines-tokens")
-    x = toks.select(F.col("p").alias("xp"), F.col("toks").alias("x"))
-    y = toks.select(F.col("p").alias("yp"), F.col("toks").alias("y"))
-    joined = pairs.join(x, F.col("a") == F.col("xp")).join(y, F.col("b") == F.col("yp"))
+             .select("d", "t", F.explode(F.transform("lines", lambda x: F.struct(
+                 x["line"].alias("line"), x["id"].alias("id"), F.get(text, x["line"]).alias("s")))).alias("x")))
+    toks = lines.select("x.id", F.struct("d", "t", "x.line").alias("p"), _tokens(F.col("x.s"), ranks).alias("toks"))
+    toks = staged(toks.groupBy("id").agg(F.first("p").alias("p"), F.first("toks").alias("toks")), "lines-tokens")
+    x = toks.select(F.col("id").alias("xi"), F.col("p").alias("xp"), F.col("toks").alias("x"))
+    y = toks.select(F.col("id").alias("yi"), F.col("p").alias("yp"), F.col("toks").alias("y"))
+    joined = pairs.join(x, F.col("a") == F.col("xi")).join(y, F.col("b") == F.col("yi"))
     shared = F.size(F.array_intersect("x", "y"))
     holds = shared * (DEN + NUM) >= (F.size("x") + F.size("y")) * NUM
-    return joined.filter(holds).select(F.col("b").alias("p")).distinct()
+    later = F.when(F.col("xp") > F.col("yp"), F.col("a")).otherwise(F.col("b"))
+    return joined.filter(holds).select(later.alias("id")).distinct()
 
 
 def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DENSE) -> DataFrame:
     """``d, t, lines``: the removed lines of each document that loses any."""
     ranks = rarity(docs)
     lines = staged(_lines(docs, ranks, min_tokens), "lines-all")
-    classes = staged(lines.groupBy("k1", "k2").agg(
+    classes = lines.groupBy("k1", "k2").agg(
         F.min("p").alias("p"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("sig").alias("sig"), F.first("prefix").alias("prefix")), "lines-classes")
-    postings = classes.select("p", "n", "sig", "copies", F.posexplode("prefix").alias("i", "tok"))
-    shared = staged(postings.groupBy("tok").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-                    .withColumnRenamed("tok", "s_tok"), "lines-shared")
-    posted = postings.join(shared, F.col("tok") == F.col("s_tok")).drop("s_tok")
-    posted = staged(posted, "lines-posted")
-    few, many = posted.filter(F.col("m") <= dense), posted.filter(F.col("m") > dense)
-    entry = F.struct("p", "n", "sig", "i")
-    heads = many.groupBy("tok").agg(F.min(entry).alias("first"), F.max_by(entry, "copies").alias("hub"))
-    heads = heads.select("tok", F.explode(F.array_distinct(F.array("first", "hub"))).alias("e")).select("tok", "e.*")
-    found = staged(_verified(_pairs(few, few).unionByName(_pairs(heads, many)), docs, ranks), "lines-found")
-    rest = many.join(found.withColumnRenamed("p", "f_p"), F.col("p") == F.col("f_p"), "left_anti")
-    later = _verified(_pairs(many, rest), docs, ranks)
-    matched = found.unionByName(later).distinct().select(F.col("p").alias("m_p"))
-    copied = classes.join(matched, F.col("p") == F.col("m_p"), "left").filter("copies > 1 or m_p is not null")
+        F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
+    # numbered once and written; the numbers stand for the classes from here on
+    classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "lines-classes")
+    posted = classes.select("id", "n", "sig", F.posexplode("prefix").alias("i", "tok"))
+    hot = staged(classes.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
+        F.count(F.lit(1)).alias("m")).filter(F.col("m") > dense).select("h_tok"), "lines-hot")
+    few = posted.join(hot, F.col("tok") == F.col("h_tok"), "left_anti")
+    found = _verified(_pairs(few, few, F.col("a_id") < F.col("b_id")), classes, docs, ranks)
+    if hot.isEmpty():
+        matched = found
+    else:
+        many = classes.select("id", "n", "sig", "copies", F.posexplode("prefix").alias("i", "tok"))
+        many = staged(many.join(hot, F.col("tok") == F.col("h_tok"), "left_semi"), "lines-many")
+        found = staged(found, "lines-found")
+        open_ = many.join(found.withColumnRenamed("id", "f_id"), F.col("id") == F.col("f_id"), "left_anti")
+        entry = F.struct("id", "n", "sig", "i")
+        heads = many.groupBy("tok").agg(F.max_by(entry, "copies").alias("hub"), F.min(entry).alias("first"))
+        heads = heads.select("tok", F.explode(F.array_distinct(F.array("hub", "first"))).alias("e")).select("tok", "e.*")
+        near = staged(_verified(_pairs(heads, open_, F.col("a_id") != F.col("b_id")), classes, docs, ranks), "lines-near")
+        rest = open_.join(near.withColumnRenamed("id", "n_id"), F.col("id") == F.col("n_id"), "left_anti")
+        later = _verified(_pairs(many, rest, F.col("a_id") != F.col("b_id")), classes, docs, ranks)
+        matched = found.unionByName(near).unionByName(later).distinct()
+    matched = matched.select(F.col("id").alias("m_id"))
+    copied = classes.join(matched, F.col("id") == F.col("m_id"), "left").filter("copies > 1 or m_id is not null")
     copied = staged(copied.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("p").alias("first"),
-                                  F.col("m_p").isNotNull().alias("hit")), "lines-copied")
+                                  F.col("m_id").isNotNull().alias("hit")), "lines-copied")
     gone = (lines.select("p", "k1", "k2").join(copied, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")))
             .filter(F.col("hit") | (F.col("p") > F.col("first"))))
     return gone.select("p.*").groupBy("d", "t").agg(F.collect_set("line").alias("gone"))
