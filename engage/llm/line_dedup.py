@@ -113,12 +113,9 @@ def _pairs(left: DataFrame, right: DataFrame, order: Column) -> DataFrame:
     return a.join(b, on).select(least.alias("a"), most.alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column) -> DataFrame:
-    """``id``: classes for which a pair holds on the whole token sets, and of
-    which they are the later one."""
-    pairs = staged(pairs, "lines-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("e")).distinct()
-    places = ends.join(classes.select("id", "p"), F.col("e") == F.col("id")).select("id", "p.*")
+def _token_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column) -> DataFrame:
+    """``id, p, toks`` of the given classes, read from the texts once more."""
+    places = ids.join(classes.select(F.col("id").alias("c_id"), "p"), F.col("id") == F.col("c_id")).select("id", "p.*")
     wanted = places.groupBy("d", "t").agg(F.collect_list(F.struct("line", "id")).alias("lines"))
     text = F.split(F.col("text").cast("string"), "\n")
     keyed = _keyed(docs.select("doc_id", "text"))
@@ -126,7 +123,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Colu
              .select("d", "t", F.explode(F.transform("lines", lambda x: F.struct(
                  x["line"].alias("line"), x["id"].alias("id"), F.get(text, x["line"]).alias("s")))).alias("x")))
     toks = lines.select("x.id", F.struct("d", "t", "x.line").alias("p"), _tokens(F.col("x.s"), ranks).alias("toks"))
-    toks = staged(toks.groupBy("id").agg(F.first("p").alias("p"), F.first("toks").alias("toks")), "lines-tokens")
+    return staged(toks.groupBy("id").agg(F.first("p").alias("p"), F.first("toks").alias("toks")), "lines-tokens")
+
+
+def _verified(pairs: DataFrame, toks: DataFrame) -> DataFrame:
+    """``id``: classes for which a pair holds on the whole token sets, and of
+    which they are the later one."""
     x = toks.select(F.col("id").alias("xi"), F.col("p").alias("xp"), F.col("toks").alias("x"))
     y = toks.select(F.col("id").alias("yi"), F.col("p").alias("yp"), F.col("toks").alias("y"))
     joined = pairs.join(x, F.col("a") == F.col("xi")).join(y, F.col("b") == F.col("yi"))
@@ -149,21 +151,19 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DE
     hot = staged(classes.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
         F.count(F.lit(1)).alias("m")).filter(F.col("m") > dense).select("h_tok"), "lines-hot")
     few = posted.join(hot, F.col("tok") == F.col("h_tok"), "left_anti")
-    found = _verified(_pairs(few, few, F.col("a_id") < F.col("b_id")), classes, docs, ranks)
-    if hot.isEmpty():
-        matched = found
-    else:
-        many = classes.select("id", "n", "sig", "copies", F.posexplode("prefix").alias("i", "tok"))
-        many = staged(many.join(hot, F.col("tok") == F.col("h_tok"), "left_semi"), "lines-many")
-        found = staged(found, "lines-found")
-        open_ = many.join(found.withColumnRenamed("id", "f_id"), F.col("id") == F.col("f_id"), "left_anti")
-        entry = F.struct("id", "n", "sig", "i")
-        heads = many.groupBy("tok").agg(F.max_by(entry, "copies").alias("hub"), F.min(entry).alias("first"))
-        heads = heads.select("tok", F.explode(F.array_distinct(F.array("hub", "first"))).alias("e")).select("tok", "e.*")
-        near = staged(_verified(_pairs(heads, open_, F.col("a_id") != F.col("b_id")), classes, docs, ranks), "lines-near")
-        rest = open_.join(near.withColumnRenamed("id", "n_id"), F.col("id") == F.col("n_id"), "left_anti")
-        later = _verified(_pairs(many, rest, F.col("a_id") != F.col("b_id")), classes, docs, ranks)
-        matched = found.unionByName(near).unionByName(later).distinct()
+    many = classes.select("id", "n", "sig", "copies", F.posexplode("prefix").alias("i", "tok"))
+    many = staged(many.join(hot, F.col("tok") == F.col("h_tok"), "left_semi"), "lines-many")
+    entry = F.struct("id", "n", "sig", "i")
+    heads = many.groupBy("tok").agg(F.max_by(entry, "copies").alias("hub"), F.min(entry).alias("first"))
+    heads = heads.select("tok", F.explode(F.array_distinct(F.array("hub", "first"))).alias("e")).select("tok", "e.*")
+    pairs = staged(_pairs(few, few, F.col("a_id") < F.col("b_id")).unionByName(
+        _pairs(heads, many, F.col("a_id") != F.col("b_id"))).distinct(), "lines-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct()
+    toks = _token_sets(ends, classes, docs, ranks)
+    found = staged(_verified(pairs, toks), "lines-found")
+    rest = many.join(found.withColumnRenamed("id", "f_id"), F.col("id") == F.col("f_id"), "left_anti")
+    later = _verified(_pairs(many, rest, F.col("a_id") != F.col("b_id")), toks)
+    matched = found.unionByName(later).distinct()
     matched = matched.select(F.col("id").alias("m_id"))
     copied = classes.join(matched, F.col("id") == F.col("m_id"), "left").filter("copies > 1 or m_id is not null")
     copied = staged(copied.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("p").alias("first"),
