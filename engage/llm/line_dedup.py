@@ -36,7 +36,7 @@ from engage.llm.common import staged
 
 NUM, DEN = 4, 5                 # similarity of 0.8
 MIN_TOKENS = 5
-DENSE = 64
+DENSE = 512
 RANK_BITS = 14
 SPACE = r"[\x20\x09-\x0D]+"
 NO_ID = -(1 << 63)              # stands for a null id, first in order
@@ -99,43 +99,56 @@ def _lines(docs: DataFrame, ranks: Column, min_tokens: int) -> DataFrame:
         F.slice("toks", F.lit(1), F.floor(n * (DEN - NUM) / DEN).cast("int") + 1).alias("prefix"))
 
 
-def _pairs(left: DataFrame, right: DataFrame, order: Column) -> DataFrame:
-    """``a, b`` of postings ``tok, id, n, i, sig`` that pass all filters."""
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``a, b, far``: postings ``tok, id, n, i, sig`` that pass all filters, the
+    earlier class first, with the signatures' distance."""
     cols = ("tok", "id", "n", "i", "sig")
     a = left.select(*[F.col(c).alias(f"a_{c}") for c in cols])
     b = right.select(*[F.col(c).alias(f"b_{c}") for c in cols])
-    both = F.col("a_n") + F.col("b_n")
-    on = ((F.col("a_tok") == F.col("b_tok")) & order
+    both, far = F.col("a_n") + F.col("b_n"), F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig")))
+    on = ((F.col("a_tok") == F.col("b_tok")) & (F.col("a_id") < F.col("b_id"))
           & (F.least("a_n", "b_n") * DEN >= F.greatest("a_n", "b_n") * NUM)
           & (F.least(F.col("a_n") - F.col("a_i"), F.col("b_n") - F.col("b_i")) * (NUM + DEN) >= both * NUM)
-          & (F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))) * (NUM + DEN) <= both * (DEN - NUM)))
-    least, most = F.least("a_id", "b_id"), F.greatest("a_id", "b_id")
-    return a.join(b, on).select(least.alias("a"), most.alias("b")).distinct()
+          & (far * (NUM + DEN) <= both * (DEN - NUM)))
+    return a.join(b, on).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), far.alias("far")).distinct()
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
 def _token_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column) -> DataFrame:
-    """``id, p, toks`` of the given classes, read from the texts once more."""
+    """``id, toks`` of the given classes, read from the texts once more."""
     places = ids.join(classes.select(F.col("id").alias("c_id"), "p"), F.col("id") == F.col("c_id")).select("id", "p.*")
     wanted = places.groupBy("d", "t").agg(F.collect_list(F.struct("line", "id")).alias("lines"))
     text = F.split(F.col("text").cast("string"), "\n")
     keyed = _keyed(docs.select("doc_id", "text"))
-    lines = (keyed.join(wanted, (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t")))
-             .select("d", "t", F.explode(F.transform("lines", lambda x: F.struct(
-                 x["line"].alias("line"), x["id"].alias("id"), F.get(text, x["line"]).alias("s")))).alias("x")))
-    toks = lines.select("x.id", F.struct("d", "t", "x.line").alias("p"), _tokens(F.col("x.s"), ranks).alias("toks"))
-    return staged(toks.groupBy("id").agg(F.first("p").alias("p"), F.first("toks").alias("toks")), "lines-tokens")
+    cut = (keyed.join(wanted, (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t")))
+           .select("d", "t", "lines", F.explode(F.array(text)).alias("all")))
+    lines = cut.select("d", "t", F.explode(F.transform("lines", lambda x: F.struct(
+        x["line"].alias("line"), x["id"].alias("id"), F.get("all", x["line"]).alias("s")))).alias("x"))
+    toks = lines.select("x.id", _tokens(F.col("x.s"), ranks).alias("toks"))
+    return staged(toks.groupBy("id").agg(F.first("toks").alias("toks")), "lines-tokens")
+
+
+def _holding(pairs: DataFrame, toks: DataFrame) -> DataFrame:
+    """``id``: later classes of the pairs that hold on the whole token sets."""
+    x = toks.select(F.col("id").alias("xi"), F.col("toks").alias("x"))
+    y = toks.select(F.col("id").alias("yi"), F.col("toks").alias("y"))
+    joined = pairs.select("a", "b").join(x, F.col("a") == F.col("xi")).join(y, F.col("b") == F.col("yi"))
+    shared = F.size(F.array_intersect("x", "y"))
+    holds = shared * (DEN + NUM) >= (F.size("x") + F.size("y")) * NUM
+    return joined.filter(holds).select(F.col("b").alias("id")).distinct()
 
 
 def _verified(pairs: DataFrame, toks: DataFrame) -> DataFrame:
-    """``id``: classes for which a pair holds on the whole token sets, and of
-    which they are the later one."""
-    x = toks.select(F.col("id").alias("xi"), F.col("p").alias("xp"), F.col("toks").alias("x"))
-    y = toks.select(F.col("id").alias("yi"), F.col("p").alias("yp"), F.col("toks").alias("y"))
-    joined = pairs.join(x, F.col("a") == F.col("xi")).join(y, F.col("b") == F.col("yi"))
-    shared = F.size(F.array_intersect("x", "y"))
-    holds = shared * (DEN + NUM) >= (F.size("x") + F.size("y")) * NUM
-    later = F.when(F.col("xp") > F.col("yp"), F.col("a")).otherwise(F.col("b"))
-    return joined.filter(holds).select(later.alias("id")).distinct()
+    """``id``: classes with an earlier match.  One is enough, so each class is
+    held against its closest candidate first, and against the others only if
+    that one fails."""
+    best = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select("m.a", "b")
+    found = staged(_holding(best, toks), "lines-closest")
+    others = pairs.join(found, F.col("b") == F.col("id"), "left_anti")
+    return staged(found.unionByName(_holding(others, toks)), "lines-found")
 
 
 def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DENSE) -> DataFrame:
@@ -145,7 +158,8 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DE
     classes = lines.groupBy("k1", "k2").agg(
         F.min("p").alias("p"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
         F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
-    # numbered once and written; the numbers stand for the classes from here on
+    # numbered by place, once, and written; the numbers stand for the classes
+    classes = classes.repartitionByRange("p").sortWithinPartitions("p")
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "lines-classes")
     posted = classes.select("id", "n", "sig", F.posexplode("prefix").alias("i", "tok"))
     hot = staged(classes.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
@@ -156,13 +170,15 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DE
     entry = F.struct("id", "n", "sig", "i")
     heads = many.groupBy("tok").agg(F.max_by(entry, "copies").alias("hub"), F.min(entry).alias("first"))
     heads = heads.select("tok", F.explode(F.array_distinct(F.array("hub", "first"))).alias("e")).select("tok", "e.*")
-    pairs = staged(_pairs(few, few, F.col("a_id") < F.col("b_id")).unionByName(
-        _pairs(heads, many, F.col("a_id") != F.col("b_id"))).distinct(), "lines-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct()
-    toks = _token_sets(ends, classes, docs, ranks)
-    found = staged(_verified(pairs, toks), "lines-found")
+    pairs = staged(_pairs(few, few).unionByName(_pairs(heads, many)).distinct(), "lines-pairs")
+    toks = _token_sets(_ends(pairs), classes, docs, ranks)
+    found = _verified(pairs, toks)
     rest = many.join(found.withColumnRenamed("id", "f_id"), F.col("id") == F.col("f_id"), "left_anti")
-    later = _verified(_pairs(many, rest, F.col("a_id") != F.col("b_id")), toks)
+    pairs = staged(_pairs(many, rest), "lines-rest")
+    later = found.limit(0)
+    if not pairs.isEmpty():
+        new = _ends(pairs).join(toks.select(F.col("id").alias("t_id")), F.col("id") == F.col("t_id"), "left_anti")
+        later = _verified(pairs, toks.unionByName(_token_sets(new, classes, docs, ranks)))
     matched = found.unionByName(later).distinct()
     matched = matched.select(F.col("id").alias("m_id"))
     copied = classes.join(matched, F.col("id") == F.col("m_id"), "left").filter("copies > 1 or m_id is not null")
