@@ -13,7 +13,7 @@ than ``MIN_TOKENS`` distinct words are no evidence of copying and stay.
 * Two matching sets share a token within their prefixes of
   ``n * (DEN - NUM) / DEN + 1`` rarest tokens.  The join on prefix tokens
   applies the length filter, the positional filter (what can still follow the
-  first shared token) and a 64-bit parity signature, which bounds the
+  first shared token) and a 128-bit parity signature, which bounds the
   symmetric difference from below.
 * A token with more than ``DENSE`` classes is not paired within itself at
   once: its classes without a match are held against its most copied class
@@ -79,9 +79,12 @@ def _tokens(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
 
 
-def _signature(toks: Column) -> Column:
-    return F.aggregate(toks, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+def _signature(toks: Column, half: int) -> Column:
+    """Parity of the tokens by 128 slots; the low or the high 64 slots."""
+    one, slot = F.lit(1).cast("long"), lambda x: x.bitwiseAND(F.lit(63)).cast("int")
+    mine = F.filter(toks, lambda x: x.bitwiseAND(F.lit(64)) == F.lit(64 * half))
+    return F.aggregate(mine, F.lit(0).cast("long"),
+                       lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", one, slot(x))))
 
 
 def _lines(docs: DataFrame, ranks: Column, min_tokens: int) -> DataFrame:
@@ -95,17 +98,18 @@ def _lines(docs: DataFrame, ranks: Column, min_tokens: int) -> DataFrame:
     n = F.size("toks")
     return toks.select(
         "p", F.xxhash64("toks").alias("k1"), F.xxhash64(F.lit(1), "toks").alias("k2"), n.alias("n"),
-        _signature(F.col("toks")).alias("sig"),
+        _signature(F.col("toks"), 0).alias("sig"), _signature(F.col("toks"), 1).alias("sig2"),
         F.slice("toks", F.lit(1), F.floor(n * (DEN - NUM) / DEN).cast("int") + 1).alias("prefix"))
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``a, b, far``: postings ``tok, id, n, i, sig`` that pass all filters, the
+    """``a, b, far``: postings ``tok, id, n, i, sig, sig2`` that pass all filters, the
     earlier class first, with the signatures' distance."""
-    cols = ("tok", "id", "n", "i", "sig")
+    cols = ("tok", "id", "n", "i", "sig", "sig2")
     a = left.select(*[F.col(c).alias(f"a_{c}") for c in cols])
     b = right.select(*[F.col(c).alias(f"b_{c}") for c in cols])
-    both, far = F.col("a_n") + F.col("b_n"), F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig")))
+    both = F.col("a_n") + F.col("b_n")
+    far = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("sig", "sig2"))
     on = ((F.col("a_tok") == F.col("b_tok")) & (F.col("a_id") < F.col("b_id"))
           & (F.least("a_n", "b_n") * DEN >= F.greatest("a_n", "b_n") * NUM)
           & (F.least(F.col("a_n") - F.col("a_i"), F.col("b_n") - F.col("b_i")) * (NUM + DEN) >= both * NUM)
@@ -157,17 +161,17 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DE
     lines = staged(_lines(docs, ranks, min_tokens), "lines-all")
     classes = lines.groupBy("k1", "k2").agg(
         F.min("p").alias("p"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
+        F.first("sig").alias("sig"), F.first("sig2").alias("sig2"), F.first("prefix").alias("prefix"))
     # numbered by place, once, and written; the numbers stand for the classes
     classes = classes.repartitionByRange("p").sortWithinPartitions("p")
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "lines-classes")
-    posted = classes.select("id", "n", "sig", F.posexplode("prefix").alias("i", "tok"))
+    posted = classes.select("id", "n", "sig", "sig2", F.posexplode("prefix").alias("i", "tok"))
     hot = staged(classes.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
         F.count(F.lit(1)).alias("m")).filter(F.col("m") > dense).select("h_tok"), "lines-hot")
     few = posted.join(hot, F.col("tok") == F.col("h_tok"), "left_anti")
-    many = classes.select("id", "n", "sig", "copies", F.posexplode("prefix").alias("i", "tok"))
+    many = classes.select("id", "n", "sig", "sig2", "copies", F.posexplode("prefix").alias("i", "tok"))
     many = staged(many.join(hot, F.col("tok") == F.col("h_tok"), "left_semi"), "lines-many")
-    entry = F.struct("id", "n", "sig", "i")
+    entry = F.struct("id", "n", "sig", "sig2", "i")
     heads = many.groupBy("tok").agg(F.max_by(entry, "copies").alias("hub"), F.min(entry).alias("first"))
     heads = heads.select("tok", F.explode(F.array_distinct(F.array("hub", "first"))).alias("e")).select("tok", "e.*")
     pairs = staged(_pairs(few, few).unionByName(_pairs(heads, many)).distinct(), "lines-pairs")
