@@ -14,7 +14,8 @@ import re
 
 import numpy as np
 
-CACHE = 400_000                 # chunks kept by a worker
+CACHE = 500_000                 # chunks of a generation; a worker keeps two
+SLICE = 2_000_000               # characters cut into chunks at a time
 CUT = re.compile(r" (?=\S)(?<=\S )")
 END_ID = 0
 
@@ -35,6 +36,7 @@ class Encoder:
         self.size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}       # chunks after a space, without it
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
@@ -42,15 +44,29 @@ class Encoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``dtype``."""
+        out, first, chars = [], 0, 0
+        for i, t in enumerate(texts):
+            chars += len(t)
+            if chars >= SLICE:
+                out += self._encode_slice(texts[first:i + 1])
+                first, chars = i + 1, 0
+        return out + self._encode_slice(texts[first:])
+
+    def _encode_slice(self, texts: list[str]) -> list[bytes]:
         cut = [CUT.split(t) for t in texts]
         rest: set[str] = set()
         for c in cut:
             rest.update(c[1:])
-        new = rest - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known = {x: self.known[x] for x in rest - new}     # what is in use stays
-        listed = list(new)
-        self.known.update(zip(listed, self._encode([" " + x for x in listed]), strict=True))
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known     # what is not met again goes
+        new = []
+        for x in rest - self.known.keys():
+            got = self.older.get(x)
+            if got is None:
+                new.append(x)
+            else:
+                self.known[x] = got
+        self.known.update(zip(new, self._encode([" " + x for x in new]), strict=True))
         heads = self._encode([c[0] for c in cut])
         look = self.known.__getitem__
         return [h + b"".join(map(look, c[1:])) for h, c in zip(heads, cut, strict=True)]
