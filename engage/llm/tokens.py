@@ -33,13 +33,16 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        #: for a space and ASCII letters, which are one pre-token as they stand
+        self.bare = Tokenizer.from_file(path)
+        self.bare.pre_tokenizer = None
         self.size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}       # chunks after a space, without it
         self.older: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+    def _encode(self, texts: list[str], tok=None) -> list[bytes]:
+        got = (tok or self.tok).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in got]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
@@ -66,7 +69,11 @@ class Encoder:
                 new.append(x)
             else:
                 self.known[x] = got
-        self.known.update(zip(new, self._encode([" " + x for x in new]), strict=True))
+        plain = [x for x in new if x.isascii() and x.isalpha()]
+        mixed = [x for x in new if not (x.isascii() and x.isalpha())]
+        # "\u0120" is the byte alphabet's letter for a space
+        self.known.update(zip(plain, self._encode(["\u0120" + x for x in plain], self.bare), strict=True))
+        self.known.update(zip(mixed, self._encode([" " + x for x in mixed]), strict=True))
         heads = self._encode([c[0] for c in cut])
         look = self.known.__getitem__
         return [h + b"".join(map(look, c[1:])) for h, c in zip(heads, cut, strict=True)]
