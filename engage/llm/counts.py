@@ -48,11 +48,11 @@ class PieceCounts:
         self.known: dict[str, int] = {}
 
     def of(self, pieces: list[str]) -> list[int]:
-        new = list(set(pieces) - self.known.keys())
+        new = [x for x in set(pieces) if x not in self.known]
         if len(self.known) + len(new) > CACHE:
             use = set(pieces)
             self.known = {x: n for x, n in self.known.items() if x in use}
-            new = list(use - self.known.keys())
+            new = [x for x in use if x not in self.known]
         if new:
             got = self.enc.tok.encode_batch_fast(new, add_special_tokens=False)
             self.known.update(zip(new, (len(e.ids) for e in got), strict=True))

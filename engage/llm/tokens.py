@@ -63,7 +63,9 @@ class Encoder:
         if len(self.known) > CACHE:
             self.known, self.older = {}, self.known     # what is not met again goes
         new = []
-        for x in rest - self.known.keys():
+        for x in rest:
+            if x in self.known:
+                continue
             got = self.older.get(x)
             if got is None:
                 new.append(x)
