@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from engage.operators.ordering import with_prefix_sums
 from engage.schemas import FEATURE_COLS, TARGET
+from engage.sources.readers import exists
 
 # Model settings of the batch trainer and of the dashboard
 # trainer, the split and the seeds.
@@ -281,13 +282,11 @@ def model_metrics(scored: DataFrame, label: str = TARGET, p: str = "p",
 
 
 def rule_score(ds: DataFrame) -> DataFrame:
-    """A fixed, model-free click score for checking the metric code:
-    ``s = 2 article_ctr + 1.5 user_ctr + 0.5 category_match + popularity``,
-    ``p = s / (1 + s)`` (monotone in ``s``), ``pred = p > 0.5``."""
-    s = (2.0 * F.col("article_ctr") + 1.5 * F.col("user_ctr")
-         + 0.5 * F.col("category_match") + F.col("popularity_score"))
-    return (ds.withColumn("p", s / (1.0 + s))
-              .withColumn("pred", (F.col("p") > 0.5).cast("int")))
+    """A fixed, model-free click score for checking the metric code: the mean
+    of the article's rate, the user's rate and the user's category affinity,
+    a click from 0.4 on."""
+    p = (F.col("article_ctr") + F.col("user_ctr") + F.col("top_category_affinity")) / 3.0
+    return ds.withColumn("p", p).withColumn("pred", (F.col("p") > 0.4).cast("int"))
 
 
 def evaluate(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
@@ -339,11 +338,11 @@ def load_or_train(path: str, ds: DataFrame, profile: str = "batch",
                   names: list[str] | None = None) -> tuple[PipelineModel, DataFrame | None]:
     """Load the saved best model, or train, evaluate, save and return it.
 
-    Returns (model, metrics) where metrics is None when loaded."""
-    try:
+    Returns (model, metrics) where metrics is None when loaded.  Only a path
+    that does not exist counts as "no model": a broken folder raises, and is
+    not overwritten."""
+    if exists(ds.sparkSession, path):
         return load_model(path), None
-    except Exception:  # noqa: BLE001 - no saved model yet
-        pass
     train, test, stats = prepare(ds, balance)
     models = train_models(train, stats, profile, names)
     metrics = evaluate(models, test)

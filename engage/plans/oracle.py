@@ -369,10 +369,8 @@ test AS (
 
 RULE_METRICS = """
 sc AS (
-  SELECT Click, p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred
-  FROM (SELECT Click, s / (1.0 + s) AS p
-        FROM (SELECT Click, 2.0 * article_ctr + 1.5 * user_ctr + 0.5 * category_match
-                            + popularity_score AS s FROM test))
+  SELECT Click, p, CASE WHEN p > 0.4 THEN 1 ELSE 0 END AS pred
+  FROM (SELECT Click, (article_ctr + user_ctr + top_category_affinity) / 3.0 AS p FROM test)
 ),
 conf AS (
   SELECT count(*) FILTER (WHERE Click = 1 AND pred = 1) AS tp,
@@ -542,7 +540,5 @@ SQL["recommend_rule"] = _q(FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEAT
 SELECT UserID, NewsID, Title, Category, round_even(p, 4) AS click_probability,
        CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY p DESC, NewsID) AS rank
-      FROM (SELECT *, s / (1.0 + s) AS p
-            FROM (SELECT *, 2.0 * article_ctr + 1.5 * user_ctr + 0.5 * category_match
-                            + popularity_score AS s FROM cf)))
+      FROM (SELECT *, (article_ctr + user_ctr + top_category_affinity) / 3.0 AS p FROM cf))
 WHERE rank <= 10""")

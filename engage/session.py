@@ -44,11 +44,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (tests, the local bench) a scratch folder is made.
+    On a cluster that setting points at shared storage and is used as is; a
+    cluster without it is an error, as a machine-local folder would be lost
+    with its machine.  A scratch folder is made for a local master only.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         path = tempfile.mkdtemp(prefix="engage-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -56,38 +56,66 @@ def save_interactions(projection: DataFrame, news_clean: DataFrame, base: str,
     write_table(news_clean, f"{base.rstrip('/')}/news", sort_by=["NewsID"], buckets=buckets)
 
 
-def replace_keyed(new: DataFrame, path: str, key: str = "UserID", buckets: int = 64,
-                  stamp: bool = True) -> None:
-    """Replace all rows of the keys present in ``new`` (delete + insert).
+def _bucket_count(spark: SparkSession, path: str) -> int:
+    """The bucket count stored beside a keyed table."""
+    return spark.read.parquet(f"{path.rstrip('/')}_buckets").first()["buckets"]
+
 
-    The table is partitioned by ``bucket = pmod(xxhash64(key), buckets)``;
-    only buckets touched by ``new`` are read and rewritten (dynamic partition
-    overwrite).  The merged buckets are first written to a staging folder
-    under the shared checkpoint directory, then copied in.
+def replace_keyed(new: DataFrame, path: str, key: str = "UserID", buckets: int = 64,
+                  stamp: bool = True, keys: DataFrame | None = None) -> None:
+    """Replace all rows of the keys in ``keys`` (those of ``new`` by default)
+    by the rows of ``new``; a key in ``keys`` without new rows is emptied.
+
+    The table is partitioned by ``bucket = pmod(xxhash64(key), buckets)``; the
+    count is stored with it and must not change.  The new rows are computed
+    once, into a staging folder; only touched buckets are read and rewritten,
+    and the staging folders are removed at the end.  Nothing to replace is not
+    an error.
     """
     spark = new.sparkSession
     rows = new.withColumn("timestamp", F.current_timestamp()) if stamp else new
     rows = rows.withColumn(BUCKET, bucket_of(key, buckets))
-    if not exists(spark, path):
-        rows.write.partitionBy(BUCKET).parquet(path)
-        return
-    touched = rows.select(BUCKET).distinct()
-    existing = spark.read.parquet(path).join(F.broadcast(touched), BUCKET, "left_semi")
-    kept = existing.join(rows.select(key).distinct(), key, "left_anti")
-    merged = kept.unionByName(rows, allowMissingColumns=True)
-    stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    merged.write.partitionBy(BUCKET).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-
-
-def cached_recommendations(spark: SparkSession, path: str, user: str,
-                           buckets: int = 64) -> DataFrame:
+    stages = [scratch_path(spark, f"stage-{uuid.uuid4().hex}") for _ in range(2)]
+    try:
+        rows.write.parquet(stages[0])
+        rows = spark.read.schema(rows.schema).parquet(stages[0])
+        names = (keys.select(key) if keys is not None else rows.select(key)).distinct()
+        if not exists(spark, path):
+            spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(
+                f"{path.rstrip('/')}_buckets")
+            rows.repartition(buckets, BUCKET).write.partitionBy(BUCKET).parquet(path)
+            return
+        if _bucket_count(spark, path) != buckets:
+            raise ValueError(f"{path} has {_bucket_count(spark, path)} buckets, not {buckets}")
+        # one row per bucket at most
+        touched = names.select(bucket_of(key, buckets).alias(BUCKET)).distinct()
+        old = spark.read.parquet(path)
+        existing = old.join(F.broadcast(touched), BUCKET, "left_semi")
+        merged = existing.join(names, key, "left_anti").unionByName(rows, allowMissingColumns=True)
+        merged.write.parquet(stages[1])
+        merged = spark.read.schema(merged.schema).parquet(stages[1])
+        gone = {r[0] for r in touched.collect()} - {r[0] for r in merged.select(BUCKET).distinct().collect()}
+        (merged.repartition(buckets, BUCKET).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+        for b in gone:                              # all rows of the bucket went
+            remove(spark, f"{path.rstrip('/')}/{BUCKET}={b}")
+    finally:
+        for s in stages:
+            remove(spark, s)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this module wrote."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def cached_recommendations(spark: SparkSession, path: str, user: str) -> DataFrame:
     """A user's stored recommendations, most probable first.  The bucket
-    predicate prunes to one partition folder."""
+    predicate, with the table's own bucket count, prunes to one folder."""
     df = spark.read.parquet(path)
-    return (df.filter((F.col(BUCKET) == bucket_of(F.lit(user), buckets))
-                      & (F.col("UserID") == user))
+    at = bucket_of(F.lit(user), _bucket_count(spark, path))
+    return (df.filter((F.col(BUCKET) == at) & (F.col("UserID") == user))
               .orderBy(F.col("click_probability").desc(), F.col("NewsID")))
 
 

@@ -66,3 +66,13 @@ def test_csv_reader_and_json_rows(spark, tmp_path):
     assert back.collect() == df.collect()
     assert WR.to_json_rows(df).first().value == '{"UserID":"U1","ctr":0.5}'
     assert ST.events_to_json(df).first().value == '{"UserID":"U1","ctr":0.5}'
+
+
+def test_broken_model_folder_raises_and_stays(spark, tmp_path):
+    import pytest
+    broken = tmp_path / "models" / "click_predictor"
+    broken.mkdir(parents=True)
+    (broken / "part").write_text("half")
+    with pytest.raises(Exception):
+        ML.load_or_train(str(broken), spark.range(1))
+    assert (broken / "part").read_text() == "half"

@@ -18,7 +18,7 @@ def test_replace_keyed(spark, tmp_path):
     WR.replace_keyed(_recs(spark, [("U1", "N9", 0.5)]), path, buckets=4)
     got = rows(spark.read.parquet(path).select("UserID", "NewsID"))
     assert got == [("U1", "N9"), ("U2", "N3")]
-    one = WR.cached_recommendations(spark, path, "U2", buckets=4)
+    one = WR.cached_recommendations(spark, path, "U2")
     assert [r.NewsID for r in one.collect()] == ["N3"]
     assert "timestamp" in one.columns
 
@@ -56,3 +56,16 @@ def test_model_results_roundtrip(spark, tmp_path):
     back = RD.read_model_results(spark, str(tmp_path / "mr"))
     assert back.columns == ["model", "accuracy", "auc"]
     assert spark.read.parquet(str(tmp_path / "mr")).filter(F.col("timestamp").isNull()).count() == 0
+
+
+def test_replace_keyed_handles_empty_merges_and_emptied_users(spark, tmp_path):
+    path = str(tmp_path / "recs")
+    WR.replace_keyed(_recs(spark, [("U1", "N1", 0.9), ("U2", "N2", 0.8)]), path, buckets=16)
+    none = _recs(spark, [("U1", "N1", 0.9)]).limit(0)
+    WR.replace_keyed(none, path, buckets=16)
+    assert spark.read.parquet(path).count() == 2
+    WR.replace_keyed(none, path, buckets=16, keys=spark.createDataFrame([("U1",)], "UserID string"))
+    assert [r.UserID for r in spark.read.parquet(path).collect()] == ["U2"]
+    assert WR.cached_recommendations(spark, path, "U2").count() == 1
+    with pytest.raises(ValueError):
+        WR.replace_keyed(none, path, buckets=8)
