@@ -2,9 +2,11 @@
 
 A byte-level BPE cuts a text into pre-tokens and encodes each on its own.  A
 plain space between two characters that are not white space always starts a
-pre-token, so a text cut there into chunks encodes to the chunks' ids one
-after the other.  The chunks' ids are kept in a bounded table per worker, and
-only new chunks go to the tokenizer.
+pre-token, and a line feed between two such characters is one, so a text cut
+before them into chunks encodes to the chunks' ids one after the other.  (A
+text with other runs of white space at a cut is cut at its plain spaces only.)
+The chunks' ids are kept in a bounded table per worker, and only new chunks go
+to the tokenizer.
 """
 
 from __future__ import annotations
@@ -20,6 +22,11 @@ CUT = re.compile(r" (?=\S)(?<=\S )")
 END_ID = 0
 
 
+def whole(chunk: str) -> bool:
+    """Whether a chunk was cut from its neighbours where a text may be cut."""
+    return chunk != "" and not chunk[-1].isspace() and not chunk[chunk[0] == "\n"].isspace()
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -38,7 +45,7 @@ class Encoder:
         self.bare.pre_tokenizer = None
         self.size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}       # chunks after a space, without it
+        self.known: dict[str, bytes] = {}       # chunks by their text, without a space before it
         self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str], tok=None) -> list[bytes]:
@@ -56,26 +63,29 @@ class Encoder:
         return out + self._encode_slice(texts[first:])
 
     def _encode_slice(self, texts: list[str]) -> list[bytes]:
-        cut = [CUT.split(t) for t in texts]
-        rest: set[str] = set()
-        for c in cut:
-            rest.update(c[1:])
+        cut = [t.replace("\n", " \n").split(" ") for t in texts]
+        rest = set().union(*cut)
         if len(self.known) > CACHE:
             self.known, self.older = {}, self.known     # what is not met again goes
-        new = []
-        for x in rest:
-            if x in self.known:
-                continue
-            got = self.older.get(x)
-            if got is None:
-                new.append(x)
-            else:
-                self.known[x] = got
+        new = rest.difference(self.known)
+        broken = {x for x in new if not whole(x)}
+        if broken:
+            for i, t in enumerate(texts):
+                if not broken.isdisjoint(cut[i]):
+                    cut[i] = c = CUT.split(t)
+                    if len(c) > 1 and not whole(c[-1]):
+                        c[-2:] = [f"{c[-2]} {c[-1]}"]   # a chunk that ends its text is kept apart by its space
+                    new.update(c[1:])
+            new = new.difference(broken, self.known)
+        again = new.intersection(self.older)
+        self.known.update((x, self.older[x]) for x in again)
+        new -= again
         plain = [x for x in new if x.isascii() and x.isalpha()]
         mixed = [x for x in new if not (x.isascii() and x.isalpha())]
+        starts = [x if x[0] == "\n" else " " + x for x in mixed]
         # "\u0120" is the byte alphabet's letter for a space
         self.known.update(zip(plain, self._encode(["\u0120" + x for x in plain], self.bare), strict=True))
-        self.known.update(zip(mixed, self._encode([" " + x for x in mixed]), strict=True))
+        self.known.update(zip(mixed, self._encode(starts), strict=True))
         heads = self._encode([c[0] for c in cut])
         look = self.known.__getitem__
         return [h + b"".join(map(look, c[1:])) for h, c in zip(heads, cut, strict=True)]

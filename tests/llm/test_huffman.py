@@ -1,4 +1,5 @@
 import heapq
+import random
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from tokenizers import Tokenizer
 import cases
 from engage.llm import huffman as H
 from engage.llm.common import new_path
-from engage.llm.tokens import default_tokenizer
+from engage.llm.tokens import Encoder, default_tokenizer
 
 
 def brute(rows):
@@ -77,3 +78,14 @@ def test_codes_are_a_prefix_code_and_pack_unpacks():
         ids = rng.choice(np.flatnonzero(lengths), n)
         offsets, bits = coder.pack(ids)
         assert (coder.unpack(bits, offsets, n) == ids).all()
+
+
+def test_chunks_encode_like_whole_texts():
+    parts = ["a", "b", "Z", " ", "  ", "\n", "\n\n", "\t", "\u2003", "\x1f", "'s", "é", "1", ".", "<|endoftext|>",
+             "\r", "word", " x y ", "\u3000"]
+    draw = random.Random(1)
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(20_000)]
+    enc = Encoder(default_tokenizer())
+    got = [ids for i in range(0, len(texts), 500) for ids in enc.encode_batch(texts[i:i + 500])]
+    want = enc.tok.encode_batch_fast(texts, add_special_tokens=False)
+    assert got == [np.array(e.ids, enc.dtype).tobytes() for e in want]
