@@ -12,22 +12,24 @@ from __future__ import annotations
 # ---------------------------------------------------------------- fixtures
 NEWS = """
 news AS (
-  SELECT 'N' || CAST(p.p_partkey AS VARCHAR) AS NewsID,
-         CASE WHEN p.p_partkey % 50 = 0 THEN NULL ELSE p.p_type END AS Category,
+  SELECT 'N' || CAST(p.p_partkey AS VARCHAR) AS NewsID, p.p_type AS Category,
          p.p_brand AS SubCategory,
          split_part(d.text, chr(10), 1) AS Title
   FROM part p LEFT JOIN documents d ON d.doc_id = p.p_partkey
-  WHERE p.p_partkey % 40 <> 1
+  UNION ALL
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR), NULL, NULL, NULL FROM supplier
 )"""
 
 BEHAVIORS = """
 li_imp AS (
   SELECT l_orderkey,
-         string_agg(CASE WHEN l_partkey % 97 = 0 THEN 'N' || CAST(l_partkey AS VARCHAR)
-                         ELSE 'N' || CAST(l_partkey AS VARCHAR) || '-' ||
-                              CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END END,
-                    ' ' ORDER BY l_linenumber, l_partkey, l_returnflag) AS Impressions
-  FROM lineitem GROUP BY l_orderkey
+         string_agg('N' || CAST(l_partkey AS VARCHAR) || flag
+                    || CASE WHEN l_partkey % 40 = 1 THEN ' X' || CAST(l_suppkey AS VARCHAR) || flag ELSE '' END
+                    || CASE WHEN l_partkey % 50 = 0 THEN ' S' || CAST(l_suppkey AS VARCHAR) || flag ELSE '' END
+                    || CASE WHEN l_partkey % 97 = 0 THEN ' N' || CAST(l_partkey AS VARCHAR) ELSE '' END,
+                    ' ' ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS Impressions
+  FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN '-1' ELSE '-0' END AS flag FROM lineitem)
+  GROUP BY l_orderkey
 ),
 behaviors AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS ImpID,

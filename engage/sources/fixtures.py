@@ -8,15 +8,16 @@ its input tables: no driver round trip, no fixed-size input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the fixture mapping: every 40th part (remainder 1) is left
-# out of the catalogue so that some interactions have no article, every 50th
-# part gets no category, and the token of every 97th part has no click flag.
-DROP_FROM_CATALOGUE_MOD = 40
-DROP_FROM_CATALOGUE_REM = 1
-NULL_CATEGORY_MOD = 50
+# Fixed values of the fixture mapping: a line of every 40th part (remainder 1)
+# also shows an article that is in no catalogue, a line of every 50th part also
+# shows a supplier's page (which has no category), and a line of every 97th
+# part also holds a token without click flag.  They add rows and cut none.
+ORPHAN_MOD = 40
+ORPHAN_REM = 1
+PAGE_MOD = 50
 MALFORMED_TOKEN_MOD = 97
 CLICK_RETURNFLAG = "R"
 
@@ -25,27 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def news_from_tables(part: DataFrame, documents: DataFrame) -> DataFrame:
-    """News catalogue in the 8-column news layout.
-
-    The title is the first line of the part's document; only that line is
-    carried through the join, never the whole text.
-    """
-    titles = documents.select(
-        F.col("doc_id"),
-        F.substring_index(F.col("text"), "\n", 1).alias("Title"))
-    p = part.filter(F.pmod(F.col("p_partkey"), F.lit(DROP_FROM_CATALOGUE_MOD))
-                    != DROP_FROM_CATALOGUE_REM)
-    joined = p.join(titles, p.p_partkey == titles.doc_id, "left")
+def news_from_tables(part: DataFrame, documents: DataFrame, supplier: DataFrame) -> DataFrame:
+    """News catalogue in the 8-column news layout: every part, with the first
+    line of its document as title, and every supplier's page, which has neither
+    category nor title."""
     null = F.lit(None).cast("string")
-    return joined.select(
+    texts = documents.select("doc_id", F.substring_index(F.col("text"), "\n", 1).alias("Title"))
+    joined = part.join(texts, part.p_partkey == texts.doc_id, "left")
+    articles = joined.select(
         F.concat(F.lit("N"), F.col("p_partkey").cast("string")).alias("NewsID"),
-        F.when(F.pmod(F.col("p_partkey"), F.lit(NULL_CATEGORY_MOD)) == 0, null)
-         .otherwise(F.col("p_type")).alias("Category"),
-        F.col("p_brand").alias("SubCategory"),
-        F.col("Title"),
-        null.alias("Abstract"), null.alias("URL"),
-        null.alias("TitleEnt"), null.alias("AbsEnt"))
+        F.col("p_type").alias("Category"), F.col("p_brand").alias("SubCategory"), "Title",
+        null.alias("Abstract"), null.alias("URL"), null.alias("TitleEnt"), null.alias("AbsEnt"))
+    pages = supplier.select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("NewsID"),
+        *[null.alias(c) for c in articles.columns[1:]])
+    return articles.unionByName(pages)
 
 
 def behaviors_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -56,15 +51,19 @@ def behaviors_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     hash-partitioned on the order key, so the join with ``orders`` only
     shuffles ``orders``.
     """
-    tok = F.when(F.pmod(F.col("l_partkey"), F.lit(MALFORMED_TOKEN_MOD)) == 0,
-                 F.concat(F.lit("N"), F.col("l_partkey").cast("string"))
-                 ).otherwise(F.concat(
-                     F.lit("N"), F.col("l_partkey").cast("string"), F.lit("-"),
-                     F.when(F.col("l_returnflag") == CLICK_RETURNFLAG, F.lit("1"))
-                      .otherwise(F.lit("0"))))
+    def when(mod: int, rem: int, *parts: Column) -> Column:
+        return F.when(F.pmod(F.col("l_partkey"), F.lit(mod)) == rem, F.concat(*parts))
+
+    part, supp = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    flag = F.when(F.col("l_returnflag") == CLICK_RETURNFLAG, F.lit("-1")).otherwise(F.lit("-0"))
+    tok = F.concat_ws(
+        " ", F.concat(F.lit("N"), part, flag),
+        when(ORPHAN_MOD, ORPHAN_REM, F.lit("X"), supp, flag),
+        when(PAGE_MOD, 0, F.lit("S"), supp, flag),
+        when(MALFORMED_TOKEN_MOD, 0, F.lit("N"), part))
     per_order = (lineitem
                  .select("l_orderkey",
-                         F.struct("l_linenumber", "l_partkey", "l_returnflag",
+                         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
                                   tok.alias("tok")).alias("t"))
                  .groupBy("l_orderkey")
                  .agg(F.array_join(
@@ -96,7 +95,7 @@ def event_values_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return news_from_tables(table(spark, sf_dir, "part"), table(spark, sf_dir, "documents"))
+    return news_from_tables(*(table(spark, sf_dir, t) for t in ("part", "documents", "supplier")))
 
 
 def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
