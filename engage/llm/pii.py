@@ -113,7 +113,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     """Spans of the wider patterns that overlap no base span or one another."""
     found = []
     low = text.lower()
-    if "at" in low and ("dot" in low or "[at]" in low or "(at)" in low):
+    if " at " in low or "[at]" in low or "(at)" in low:     # every match holds one of them
         found += [(0, *m.span()) for m in HIDDEN_EMAIL.finditer(text)]
     found += [(3, *m.span()) for m in LOCAL_PHONE.finditer(text)]
     found += [(4, *m.span()) for m in SECRET.finditer(text)]

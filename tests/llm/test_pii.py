@@ -75,5 +75,18 @@ def test_held_out_accuracy_on_planted_spans(spark):
     assert right / len(rows) > 0.95
 
 
+def test_plain_at_is_proposed_whatever_else_the_text_holds():
+    for t in ("write to jane at example.com", "an anecdote: write to jane AT example.com", "mail jane(at)example.com"):
+        assert [t[s:e].lower() for k, s, e in P.candidates(t, []) if k == 0] == [
+            P.HIDDEN_EMAIL.search(t)[0].lower()], t
+
+
+def test_votes_tell_plain_at_from_prose(spark):
+    rows = [(i, f"please write to jane{i} at example{i}.com soon" if i % 2 else f"they met at noon{i}. then all went home")
+            for i in range(200)]
+    out = P.pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all((r.n_added > 0) == (r.doc_id % 2 == 1) for r in out)
+
+
 def test_empty_table(spark):
     assert P.pii(cases.no_documents(spark)).collect() == []
