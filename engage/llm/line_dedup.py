@@ -3,13 +3,15 @@
 The tokens of a line are its distinct lower-case words.  Two lines match at a
 Jaccard similarity of ``NUM / DEN`` (0.8) or more.  A line is removed when an
 earlier line of the corpus (by document, then line) matches it; lines of fewer
-than ``MIN_TOKENS`` distinct words are no evidence of copying and stay.
+than ``MIN_TOKENS`` distinct words (those without any) stay.
 
 * Tokens become longs whose high bits are the rarity rank of a hash bucket of
   words, so that sorting the longs orders a line's tokens by rarity.  The rank
   table has a fixed size.  (A token keeps 63 bits of its 64-bit hash; words
   are taken to differ where these do.)
 * Lines with equal token sets are one class, which stands for its first line.
+  Sets of fewer than ``DEN`` words match equal ones only, so their classes
+  take no part in the join.
 * Two matching sets share a token within their prefixes of
   ``n * (DEN - NUM) / DEN + 1`` rarest tokens.  The join on prefix tokens
   applies the length filter, the positional filter (what can still follow the
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from engage.llm.common import staged
 
 NUM, DEN = 4, 5                 # similarity of 0.8
-MIN_TOKENS = 5
+MIN_TOKENS = 1
 DENSE = 512
 RANK_BITS = 14
 SPACE = r"[\x20\x09-\x0D]+"
@@ -165,11 +167,12 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DE
     # numbered by place, once, and written; the numbers stand for the classes
     classes = classes.repartitionByRange("p").sortWithinPartitions("p")
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "lines-classes")
-    posted = classes.select("id", "n", "sig", "sig2", F.posexplode("prefix").alias("i", "tok"))
-    hot = staged(classes.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
+    joined = classes.filter(F.col("n") >= DEN)
+    posted = joined.select("id", "n", "sig", "sig2", F.posexplode("prefix").alias("i", "tok"))
+    hot = staged(joined.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
         F.count(F.lit(1)).alias("m")).filter(F.col("m") > dense).select("h_tok"), "lines-hot")
     few = posted.join(hot, F.col("tok") == F.col("h_tok"), "left_anti")
-    many = classes.select("id", "n", "sig", "sig2", "copies", F.posexplode("prefix").alias("i", "tok"))
+    many = joined.select("id", "n", "sig", "sig2", "copies", F.posexplode("prefix").alias("i", "tok"))
     many = staged(many.join(hot, F.col("tok") == F.col("h_tok"), "left_semi"), "lines-many")
     entry = F.struct("id", "n", "sig", "sig2", "i")
     heads = many.groupBy("tok").agg(F.max_by(entry, "copies").alias("hub"), F.min(entry).alias("first"))

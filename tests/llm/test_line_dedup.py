@@ -87,6 +87,14 @@ def test_documents_keep_columns_and_drop_emptied_rows(spark):
     assert all(r.n_lines == "n" and r.n_removed == 5 for r in rows)
 
 
+def test_copies_of_lines_of_few_words_go(spark):
+    rows = [(1, "see more\nla " + "la li " * 40 + "\n \none two three four"), (2, "More  see\n" + "li la " * 30 + "\n \nkept"),
+            (3, "one two three\none two three four")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in L.dedup_lines(docs).collect())
+    assert got == [(1, rows[0][1], 0), (2, " \nkept", 2), (3, "one two three", 1)]
+
+
 def test_plan_has_no_python(spark):
     plan = L.dedup_lines(cases.documents(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
