@@ -21,4 +21,45 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id""",
+    "op11_url_filter": r"""
+WITH cut AS (
+  SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS sep FROM pages),
+parts AS (
+  SELECT page_id, CASE WHEN sep > 0 THEN substr(url, sep + 3) ELSE '' END AS rest,
+         translate(CASE WHEN sep > 0 THEN substr(url, sep + 3) ELSE url END,
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s
+  FROM cut),
+split AS (
+  SELECT page_id, s,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts),
+ruled AS (
+  SELECT page_id, s, host, path,
+         CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+              WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+              WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+              WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+              WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM split),
+tried(pattern, regex) AS (VALUES
+  ('||spam-farm.', '^([^/?#]*[.])?spam-farm[.]'), ('cheap-pills.', 'cheap-pills[.]'), ('-pills.', '-pills[.]'),
+  ('^viagra^', '[^a-z0-9_.%-]viagra([^a-z0-9_.%-]|$)'), ('^casino^', '[^a-z0-9_.%-]casino([^a-z0-9_.%-]|$)'),
+  ('^poker^', '[^a-z0-9_.%-]poker([^a-z0-9_.%-]|$)'), ('^betting^', '[^a-z0-9_.%-]betting([^a-z0-9_.%-]|$)'),
+  ('^porn^', '[^a-z0-9_.%-]porn([^a-z0-9_.%-]|$)'), ('^xxx^', '[^a-z0-9_.%-]xxx([^a-z0-9_.%-]|$)'),
+  ('^escort^', '[^a-z0-9_.%-]escort([^a-z0-9_.%-]|$)'), ('^torrent^', '[^a-z0-9_.%-]torrent([^a-z0-9_.%-]|$)'),
+  ('^warez^', '[^a-z0-9_.%-]warez([^a-z0-9_.%-]|$)'), ('||ads.', '^([^/?#]*[.])?ads[.]'),
+  ('||adserver.', '^([^/?#]*[.])?adserver[.]'), ('^adclick^', '[^a-z0-9_.%-]adclick([^a-z0-9_.%-]|$)'),
+  ('^popunder^', '[^a-z0-9_.%-]popunder([^a-z0-9_.%-]|$)'),
+  ('/track/*/pixel^', '(?s)/track/.*/pixel([^a-z0-9_.%-]|$)'),
+  ('^payday^*^loan^', '(?s)[^a-z0-9_.%-]payday[^a-z0-9_.%-].*[^a-z0-9_.%-]loan([^a-z0-9_.%-]|$)'),
+  ('link-farm', 'link-farm'), ('free-followers', 'free-followers'), ('.exe|', '[.]exe$'), ('.apk|', '[.]apk$'),
+  ('.torrent|', '[.]torrent$'), ('@@||example.org/en/9*.html|', '(?s)^([^/?#]*[.])?example[.]org/en/9.*[.]html$'))
+SELECT page_id, host, path, rule, pattern,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN pattern IS NULL OR starts_with(pattern, '@@') THEN 'allow' ELSE 'block' END AS verdict
+FROM (SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN
+         (SELECT first(pattern ORDER BY CASE WHEN starts_with(pattern, '@@') THEN 0 ELSE 1 END, -length(pattern), pattern)
+          FROM tried WHERE regexp_matches(s, regex)) END AS pattern FROM ruled)""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import chat, counts, decontaminate, huffman, line_dedup, lm, packing, pii, quality, simhash
+from engage.llm import chat, counts, decontaminate, huffman, line_dedup, lm, packing, pii, quality, simhash, urlfilter
 from engage.llm.common import table
 
 
@@ -69,6 +69,11 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages"), urlfilter.rules_table(spark)).select(
+        "page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_huffman": op1_huffman,
     "op2_line_dedup": op2_line_dedup,
@@ -80,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_token_counts": op9_token_counts,
     "op10_language_model": op10_language_model,
+    "op11_url_filter": op11_url_filter,
 }

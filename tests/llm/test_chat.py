@@ -2,7 +2,7 @@ import hashlib
 
 import pytest
 
-import cases
+import llm_cases as cases
 from engage.llm import chat as C
 from engage.llm.common import new_path
 from engage.llm.queries import conversations

@@ -2,7 +2,7 @@ import random
 
 from tokenizers import Tokenizer
 
-import cases
+import llm_cases as cases
 from engage.llm import counts as C
 from engage.llm.tokens import default_tokenizer
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-import cases
+import llm_cases as cases
 from engage.llm import decontaminate as D
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-import cases
+import llm_cases as cases
 from engage.llm import huffman as H
 from engage.llm.common import new_path
 from engage.llm.tokens import Encoder, default_tokenizer

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-import cases
+import llm_cases as cases
 from engage.llm import line_dedup as L
 
 

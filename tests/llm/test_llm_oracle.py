@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-import cases
+import llm_cases as cases
 from engage.llm.oracle import SQL
 from engage.llm.queries import QUERIES
 
@@ -9,7 +9,7 @@ from engage.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "benchmark"):
+    for t in ("documents", "conversations", "benchmark", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{cases.SF_SMALL}/{t}.parquet')")
     res = con.execute(SQL[name])
     cols = sorted(c[0] for c in res.description)

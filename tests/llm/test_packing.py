@@ -1,6 +1,6 @@
 import numpy as np
 
-import cases
+import llm_cases as cases
 from engage.llm import packing as P
 from engage.llm.tokens import default_tokenizer
 

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-import cases
+import llm_cases as cases
 from engage.llm import pii as P
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",

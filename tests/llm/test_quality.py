@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-import cases
+import llm_cases as cases
 from engage.llm import quality as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-import cases
+import llm_cases as cases
 from engage.llm import simhash as S
 from engage.llm.components import connected_components
 
