@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engage.llm import chat, counts, decontaminate, huffman, line_dedup, lm, packing, pii, quality, simhash, urlfilter
+from engage.llm import (audit, chat, counts, decontaminate, huffman, line_dedup, lm, packing, pii, quality, search,
+                        simhash, urlfilter)
 from engage.llm.common import table
 
 
@@ -74,6 +75,15 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.build_index(table(spark, sf_dir, "documents"))
+    return search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_huffman": op1_huffman,
     "op2_line_dedup": op2_line_dedup,
@@ -86,4 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_language_model": op10_language_model,
     "op11_url_filter": op11_url_filter,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_filter_audit": op13_filter_audit,
 }
