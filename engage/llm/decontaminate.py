@@ -7,13 +7,17 @@ least ``m + 1 - q * (k + 1)`` of the item's q-grams with it, and their
 diagonals (place in the text less place in the item) span at most ``k``.
 Shared q-grams are counted in bands of ``2 * (k + 1)`` diagonals, overlapping
 by half, so the diagonals of a match lie in one band whole; bands that reach
-the bound are verified by a banded edit-distance alignment.  ``k`` is lowered
-for short items until the bound is positive; items of fewer than
-``MIN_CHARS`` characters are too short to be evidence and match nothing.
+the bound are verified by a banded edit-distance alignment.  Each item has the
+largest ``q`` up to ``Q`` that keeps its bound positive.
 
-The benchmark is a query set: it comes to the tasks in blocks of at most
-``BLOCK_CHARS`` characters, one pass over the texts each, so neither the
-driver nor a task holds more of it than a block.  Texts are never shuffled.
+Items of fewer than ``MIN_CHARS`` characters are matched without edits, and
+only as whole words: where white space or an end of the text stands on both
+sides (a few letters inside other words are no evidence).
+
+The benchmark is a query set: it comes through the driver to the tasks in
+blocks of at most ``BLOCK_CHARS`` characters (one item at least).  Each block
+is one pass over the texts, and what it found is staged before the next block
+is read, so the driver and a task hold one block.  Texts are never shuffled.
 
 Defined cases: null and empty texts and items match nothing; repeated rows
 are judged each; null ids stay; an empty benchmark marks nothing.
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engage.llm.common import id_and_bytes, map_batches
+from engage.llm.common import id_and_bytes, map_batches, staged
 
 Q = 10
 MAX_EDIT = 0.08
@@ -105,21 +109,20 @@ def alignment(item: np.ndarray, region: np.ndarray, k: int) -> tuple[int, int, i
     return (int(dist[end]), int(begin[end]), end) if dist[end] <= k else None
 
 
-class Index:
-    """q-grams of a block of benchmark items."""
+class Grams:
+    """q-grams of the items that share one ``q``: ``(item_id, text, k)``."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
-        self.items = [(i, t, points(t)) for i, t in ((i, normalised(t or "")) for i, t in items)
-                      if len(t) >= MIN_CHARS]
+    def __init__(self, items: list[tuple[int | None, str, int]], q: int):
+        self.q = q
+        self.items = [(i, t, points(t)) for i, t, _ in items]
         m = np.array([len(p) for _, _, p in self.items], np.int64)
         self.longest = int(m.max(initial=0))
-        # the bound m + 1 - Q * (k + 1) is at least 1
-        self.k = np.minimum((m * MAX_EDIT).astype(np.int64), m // Q - 1)
-        self.bound = m + 1 - Q * (self.k + 1)
-        grams = [gram_hashes(p) for _, _, p in self.items]
-        flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
+        self.k = np.array([k for _, _, k in items], np.int64)
+        self.bound = m + 1 - q * (self.k + 1)
+        grams = [gram_hashes(p, q) for _, _, p in self.items]
+        flat = np.concatenate(grams)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
+        place = np.concatenate([np.arange(len(g)) for g in grams])
         order = np.argsort(flat, kind="stable")
         self.gram, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.item, self.place = item[order].astype(np.int64), place[order].astype(np.int64)
@@ -130,12 +133,8 @@ class Index:
     def _slot(h: np.ndarray) -> np.ndarray:
         return (h * MULTIPLIER) >> np.uint64(64 - SLOTS)
 
-    def matches(self, text: str) -> list[tuple]:
-        """``(item_id, start, end, edits)`` of the best match of each leaked item."""
-        if not self.items or len(text) < MIN_CHARS:
-            return []
-        codes = points(text)
-        h = gram_hashes(codes)
+    def matches(self, text: str, codes: np.ndarray) -> list[tuple]:
+        h = gram_hashes(codes, self.q)
         at = np.flatnonzero(self.filter[self._slot(h)])
         found = np.searchsorted(self.gram, h[at])
         found[found == len(self.gram)] = 0
@@ -159,11 +158,47 @@ class Index:
             item_id, plain, p = self.items[i]
             k = int(self.k[i])
             lo, hi = max(0, b * (k + 1) - k), min(len(codes), (b + 2) * (k + 1) + len(p) + k)
-            exact = text.find(plain, lo, hi)
-            got = (0, exact - lo, exact - lo + len(p)) if exact >= 0 else alignment(p, codes[lo:hi], k)
+            if len(p) < MIN_CHARS:
+                exact = whole_words(text, plain, lo, hi)
+                got = (0, exact - lo, exact - lo + len(p)) if exact >= 0 else None
+            else:
+                exact = text.find(plain, lo, hi)
+                got = (0, exact - lo, exact - lo + len(p)) if exact >= 0 else alignment(p, codes[lo:hi], k)
             if got and (i not in best or (got[0], lo + got[1]) < (best[i][3], best[i][1])):
                 best[i] = (item_id, lo + got[1], lo + got[2], got[0])
-        return sorted(best.values(), key=lambda r: (r[0] is not None, r))
+        return list(best.values())
+
+
+def whole_words(text: str, plain: str, lo: int, hi: int) -> int:
+    """First place of ``plain`` in ``text[lo:hi]`` between white space or the
+    ends of the text (-1: none)."""
+    at = text.find(plain, lo, hi)
+    while at >= 0:
+        end = at + len(plain)
+        if (at == 0 or text[at - 1] == " ") and (end == len(text) or text[end] == " "):
+            return at
+        at = text.find(plain, at + 1, hi)
+    return -1
+
+
+class Index:
+    """A block of benchmark items, by their ``q``."""
+
+    def __init__(self, items: list[tuple[int | None, str]]):
+        by_q: dict[int, list] = {}
+        for item_id, text in items:
+            plain = normalised(text or "")
+            m = len(plain)
+            if m:
+                k = int(m * MAX_EDIT + 1e-9) if m >= MIN_CHARS else 0
+                by_q.setdefault(min(Q, m // (k + 1)), []).append((item_id, plain, k))
+        self.parts = [Grams(group, q) for q, group in sorted(by_q.items())]
+
+    def matches(self, text: str) -> list[tuple]:
+        """``(item_id, start, end, edits)`` of the best match of each leaked item."""
+        codes = points(text)
+        found = [m for part in self.parts if len(codes) >= part.q for m in part.matches(text, codes)]
+        return sorted(found, key=lambda r: (r[0] is not None, r))
 
 
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
@@ -199,22 +234,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
     """``doc_id, matches`` for every row of ``docs``: the leaked items with the
     region of the normalised text and its edits, by item id."""
     rows = id_and_bytes(docs).withColumn("matches", F.lit(None).cast(MATCH))
-    for items in blocks(benchmark, block_chars):
+    for n, items in enumerate(blocks(benchmark, block_chars)):
         find = _finder(items)
 
         def run(batch: pa.RecordBatch, find=find) -> pa.RecordBatch:
             new = [(a or []) + b for a, b in zip(batch.column("matches").to_pylist(), find(batch), strict=True)]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"),
                                                pa.array(new, MATCHES_TYPE)], names=["doc_id", "text", "matches"])
-        rows = map_batches(rows, run, f"doc_id long, text binary, matches {MATCH}")
+        rows = map_batches(staged(rows, "leaks") if n else rows, run, f"doc_id long, text binary, matches {MATCH}")
     return rows.select("doc_id", F.array_sort(F.coalesce("matches", F.array().cast(MATCH))).alias("matches"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents without a leak, with all their columns."""
     out = docs
-    for items in blocks(benchmark, block_chars):
+    for n, items in enumerate(blocks(benchmark, block_chars)):
         find = _finder(items)
+        out = staged(out, "clean") if n else out
 
         def run(batch: pa.RecordBatch, find=find) -> pa.RecordBatch:
             text = pa.RecordBatch.from_arrays([batch.column("__text")], names=["text"])

@@ -10,8 +10,9 @@ than ``MIN_TOKENS`` distinct words (those without any) stay.
   table has a fixed size.  (A token keeps 63 bits of its 64-bit hash; words
   are taken to differ where these do.)
 * Lines with equal token sets are one class, which stands for its first line.
-  Sets of fewer than ``DEN`` words match equal ones only, so their classes
-  take no part in the join.
+  Sets of fewer than ``NUM / (DEN - NUM)`` words match equal ones only (a set
+  of four lies at 4/5 of a set of five), so their classes take no part in the
+  join.
 * Two matching sets share a token within their prefixes of
   ``n * (DEN - NUM) / DEN + 1`` rarest tokens.  The join on prefix tokens
   applies the length filter, the positional filter (what can still follow the
@@ -167,7 +168,7 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DE
     # numbered by place, once, and written; the numbers stand for the classes
     classes = classes.repartitionByRange("p").sortWithinPartitions("p")
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "lines-classes")
-    joined = classes.filter(F.col("n") >= DEN)
+    joined = classes.filter(F.col("n") * (DEN - NUM) >= NUM)
     posted = joined.select("id", "n", "sig", "sig2", F.posexplode("prefix").alias("i", "tok"))
     hot = staged(joined.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
         F.count(F.lit(1)).alias("m")).filter(F.col("m") > dense).select("h_tok"), "lines-hot")

@@ -23,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,13 +116,14 @@ def pack_lengths(lengths: DataFrame, sizes: tuple[int, ...] = SIZES, pool: int =
     pieces = staged(pieces.withColumn("row", F.monotonically_increasing_id()), "packing-pieces")
     pools = max(1, -(-pieces.count() // pool))
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["n_tokens", "row"], ascending=[False, True], ignore_index=True)
-        frame["bin"], frame["offset"], frame["bin_size"] = pack(frame["n_tokens"].to_numpy(), sizes)
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
-        return frame[[f.split()[0] for f in PACKED.split(", ")]]
+    def run(rows):
+        # in Arrow, where a null id beside large ones leaves them whole
+        rows = rows.sort_by([("n_tokens", "descending"), ("row", "ascending")])
+        for name, column in zip(("bin", "offset", "bin_size"), pack(rows["n_tokens"].to_numpy(), sizes), strict=True):
+            rows = rows.append_column(name, pa.array(column, pa.int64()))
+        return rows.select([f.split()[0] for f in PACKED.split(", ")])
     dealt = pieces.withColumn("pool", F.pmod(F.xxhash64("row"), F.lit(pools)))
-    return dealt.groupBy("pool").applyInPandas(run, PACKED)
+    return dealt.groupBy("pool").applyInArrow(run, PACKED)
 
 
 def pack_documents(docs: DataFrame, sizes: tuple[int, ...] = SIZES, tokenizer: str | None = None,

@@ -126,38 +126,38 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, dense: int = DENSE) -> DataF
 
 
 def components(marked: DataFrame) -> DataFrame:
-    """``fp, component_id`` of staged rows ``doc_id, fp``."""
+    """``fp, root, component_id`` of staged rows ``doc_id, fp``; the root
+    fingerprint names the component."""
     classes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
     roots = connected_components(links(classes.select("fp")))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     rooted = staged(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return staged(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
+    return staged(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
 
 
 def simhash_groups(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """``doc_id, fp, component_id`` for each row of ``docs``."""
     marked = staged(fingerprints(docs, k), "simhash-fp")
-    of = components(marked).withColumnRenamed("fp", "__fp")
+    of = components(marked).select(F.col("fp").alias("__fp"), "component_id")
     return marked.join(of, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
 def keep_first(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """One row of each component: the one with the component's id.
+    """One row of each component: the one with the smallest id (null ids come
+    last), of rows that share it the one with the smallest row hash.
 
-    Of rows that repeat that id, the one with the smallest row hash stays.  A
-    component whose ids are all null keeps its row with the smallest hash.
+    The rows are numbered and written once; all joins run on numbers and
+    fingerprints, and the rows that go leave by one anti join on the number.
     """
-    whole = docs.withColumn("__row", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    marked = staged(fingerprints(whole, k, ("__row",)), "simhash-fp")
-    of = components(marked.select("doc_id", "fp")).withColumnRenamed("fp", "__fp")
-    kept = (marked.join(of, F.col("fp") == F.col("__fp"))
-            .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    group = F.when(F.col("component_id").isNull(), F.col("fp"))
-    kept = (kept.groupBy(F.col("component_id").alias("__id"), group.alias("__group"))
-            .agg(F.min("__row").alias("__first")).select("__id", "__first").distinct())
-    chosen = whole.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                        & (F.col("__row") == F.col("__first")), "left_semi")
-    # equal rows are left only where whole rows repeat
-    return chosen.dropDuplicates(["doc_id", "__row"]).select(*docs.columns)
+    whole = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    hashed = whole.withColumn("__hash", F.xxhash64(*[F.col(c) for c in docs.columns]))
+    marked = staged(fingerprints(hashed, k, ("__row", "__hash")), "simhash-fp")
+    of = components(marked.select("doc_id", "fp")).select(F.col("fp").alias("__fp"), "root")
+    rooted = staged(marked.join(of, F.col("fp") == F.col("__fp"))
+                    .select("root", "doc_id", "__hash", "__row"), "simhash-rooted")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row")
+    kept = staged(rooted.groupBy("root").agg(F.min(order)["__row"].alias("__row")).select("__row"), "simhash-kept")
+    gone = staged(rooted.select("__row").join(kept, "__row", "left_anti"), "simhash-gone")
+    return whole.join(gone, "__row", "left_anti").select(*docs.columns)

@@ -5,6 +5,8 @@ plain space between two characters that are not white space always starts a
 pre-token, and a line feed between two such characters is one, so a text cut
 before them into chunks encodes to the chunks' ids one after the other.  (A
 text with other runs of white space at a cut is cut at its plain spaces only.)
+Special tokens in a text (as ``<|endoftext|>``) become their ids, as the
+library does by default; they hold no white space, so no cut goes through one.
 The chunks' ids are kept in a bounded table per worker, and only new chunks go
 to the tokenizer.
 """
@@ -39,11 +41,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         #: for a space and ASCII letters, which are one pre-token as they stand
         self.bare = Tokenizer.from_file(path)
         self.bare.pre_tokenizer = None
         self.size = self.tok.get_vocab_size()
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        if any(c.isspace() for t in special for c in t):
+            raise ValueError("a special token with white space could be cut")
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}       # chunks by their text, without a space before it
         self.older: dict[str, bytes] = {}

@@ -42,9 +42,9 @@ def test_matches_equal_brute_force():
         k = int(len(plain) * D.MAX_EDIT)
         text = D.normalised(f"{filler(rng.randrange(20))} {mutate(rng, plain, rng.randrange(0, 2 * k + 3))} {filler(10)}")
         got = {m[0]: m for m in index.matches(text)}
-        for (j, p, pts), kk in zip(index.items, index.k):
+        for j, p in items:
             e = edits(p, text)
-            assert (j in got) == (e <= kk), (j, e, kk)
+            assert (j in got) == (e <= budget(p)), (j, e, p)
             if j in got:
                 some += 1
                 assert got[j][3] == e
@@ -52,6 +52,42 @@ def test_matches_equal_brute_force():
     assert some > 20
 
 
+def budget(item):
+    """The rule as stated, not as the index holds it."""
+    return len(item) * 8 // 100
+
+
+def test_items_of_every_length_are_found_at_their_whole_budget():
+    rng = random.Random(6)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    for m in range(20, 64):
+        item = draw(m)
+        index = D.Index([(1, item)])
+        for trial in range(12):
+            text = draw(30) + mutate(rng, item, trial % 4 + budget(item) - 1) + draw(30)
+            e = edits(item, text)
+            got = index.matches(text)
+            assert bool(got) == (e <= budget(item)) and (not got or got[0][3] == e), (item, text)
+
+
+def test_short_items_match_whole_words_only():
+    rng = random.Random(7)
+    items = [(i, D.normalised(" ".join("".join(rng.choice("ab") for _ in range(rng.randint(1, 4)))
+                                       for _ in range(rng.randint(1, 4))))) for i in range(60)]
+    index = D.Index(items)
+    seen = 0
+    for _ in range(300):
+        text = D.normalised(" ".join("".join(rng.choice("ab") for _ in range(rng.randint(1, 4)))
+                                     for _ in range(rng.randint(0, 12))))
+        got = {m[0]: m for m in index.matches(text)}
+        for j, p in items:
+            if len(p) < 20:
+                assert (j in got) == (f" {p} " in f" {text} "), (p, text)
+                seen += j in got
+                assert j not in got or text[got[j][1]:got[j][2]] == p and got[j][3] == 0
+    assert seen > 100
+
+
 def test_alignment_equals_plain_program():
     rng = random.Random(5)
     for _ in range(200):

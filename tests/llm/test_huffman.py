@@ -14,7 +14,6 @@ from engage.llm.tokens import Encoder, default_tokenizer
 
 def brute(rows):
     tok = Tokenizer.from_file(default_tokenizer())
-    tok.encode_special_tokens = True
     out, start = [], 0
     enc = [(d, tok.encode(t or "", add_special_tokens=False).ids + [0]) for d, t in rows]
     for d, ids in sorted(enc, key=lambda x: (x[0] is not None, x[0] or 0, len(x[1]), np.array(x[1], "<u2").tobytes())):
@@ -30,6 +29,13 @@ def test_round_trip_equals_brute_force(spark, which):
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_special_tokens_in_a_text_are_their_ids(spark):
+    rows = [(1, "hello <|endoftext|> world"), (2, "<|endoftext|>"), (3, "a\n<|endoftext|>b <|endoftext|")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, H.round_trip(docs).collect()), key=lambda r: r[1])
+    assert got == brute(rows) and got[0][2] == 5
+
+
 def test_empty_table(spark):
     assert H.round_trip(cases.no_documents(spark)).collect() == []
 
@@ -87,5 +93,6 @@ def test_chunks_encode_like_whole_texts():
     texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(20_000)]
     enc = Encoder(default_tokenizer())
     got = [ids for i in range(0, len(texts), 500) for ids in enc.encode_batch(texts[i:i + 500])]
-    want = enc.tok.encode_batch_fast(texts, add_special_tokens=False)
+    plain = Tokenizer.from_file(default_tokenizer())
+    want = [plain.encode(t, add_special_tokens=False) for t in texts]
     assert got == [np.array(e.ids, enc.dtype).tobytes() for e in want]

@@ -95,6 +95,22 @@ def test_copies_of_lines_of_few_words_go(spark):
     assert got == [(1, rows[0][1], 0), (2, " \nkept", 2), (3, "one two three", 1)]
 
 
+def test_four_words_match_five(spark):
+    rows = [(1, "alpha beta gamma delta\nzeta eta theta iota kappa"), (2, "alpha beta gamma delta epsilon"),
+            (3, "eta zeta iota theta\none two three"), (4, "one two three four"), (5, "delta beta alpha gamma epsilon x")]
+    left = check(spark, rows, 64)
+    assert [n for _, _, n in left] == [0, 1, 1, 0, 1]
+
+
+def test_short_lines_equal_brute_force(spark):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(9)]
+    rows = [(d, "\n".join(" ".join(rng.choices(vocab, k=rng.randint(0, 7))) for _ in range(rng.randint(0, 3))))
+            for d in range(120)]
+    for dense in (2, 512):
+        check(spark, rows, dense)
+
+
 def test_plan_has_no_python(spark):
     plan = L.dedup_lines(cases.documents(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

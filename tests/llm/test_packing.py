@@ -68,5 +68,13 @@ def test_pack_documents_places_every_token_once(spark):
                 assert at == r.n_tokens
 
 
+def test_large_ids_beside_a_null_id_stay_whole(spark):
+    big = (1 << 60) + 1
+    docs = spark.createDataFrame([(big, "some words"), (None, "other words"), (big + 2, None), (big, "x")],
+                                 "doc_id long, text string")
+    got = sorted(str(r.doc_id) for r in P.pack_documents(docs, pool=100).collect())
+    assert got == sorted(map(str, [big, None, big + 2, big]))
+
+
 def test_empty_table(spark):
     assert P.pack_documents(cases.no_documents(spark)).collect() == []

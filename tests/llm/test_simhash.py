@@ -98,13 +98,33 @@ def test_components_of_a_chain_and_a_star(spark):
 
 def test_keep_first_keeps_one_row_of_each_group(spark):
     docs = cases.documents(spark)
-    groups = S.simhash_groups(docs).collect()
     kept = S.keep_first(docs)
     assert kept.columns == docs.columns
     rows = kept.collect()
-    ids = {(r.component_id, r.fp if r.component_id is None else None) for r in groups}
-    assert len(rows) == len(ids)
-    assert {r.doc_id for r in rows} == {i for i, _ in ids}
+    roots = brute_roots({brute_fp(r.text) for r in docs.collect()})
+    of = {}
+    for r in docs.collect():
+        of.setdefault(roots[brute_fp(r.text)], []).append(r.doc_id)
+    assert len(rows) == len(of)
+    want = [min((i for i in ids if i is not None), default=None) for ids in of.values()]
+    assert sorted(str(r.doc_id) for r in rows) == sorted(map(str, want))
+    assert {roots[brute_fp(r.text)] for r in rows} == set(of)
+
+
+def test_repeated_and_null_ids_lose_no_group(spark):
+    a, b = cases.BASE, "quite another text of its own with some words"
+    assert bin(brute_fp(a) ^ brute_fp(b)).count("1") > 2
+    rows = [(1, a), (1, b), (2, a), (3, b)]
+    got = S.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted([(1, a), (1, b)])
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+    base = rng.choices(words, k=3000)
+    near = next(" ".join(x) for x in (base[:i] + ["new"] + base[i + 1:] for i in range(3000))
+                if 0 < bin(brute_fp(" ".join(x)) ^ brute_fp(" ".join(base))).count("1") <= 2)
+    rows = [(None, " ".join(base)), (None, near), (None, a), (7, a)]
+    got = S.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 2 and (7, a) in map(tuple, got) and (None, a) not in map(tuple, got)
 
 
 def test_empty_table(spark):
