@@ -271,7 +271,8 @@ def failure_masks(docs: DataFrame, part: str = "lang", slice_bytes: int = SLICE_
                                           names=[*batch.schema.names, "range"])
     dealt = map_batches(terminals.select("slice", "terminal", "min_id", "text"), deal,
                         "slice long, terminal int, min_id long, text binary, range int")
-    least = (dealt.repartition(len(starts), "range").sortWithinPartitions("range")
+    # one range a partition
+    least = (dealt.repartitionById(len(starts), "range").sortWithinPartitions("range")
              .mapInArrow(_merged, "slice long, terminal int, least long"))
     copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)).cast("int")
     return rows.join(least, ["slice", "terminal"]).select(
