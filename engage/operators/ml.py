@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from engage.operators.ordering import with_prefix_sums
+from engage.operators.retrieval import ARTICLE_FEATURES, LinearOrder, TreeOrder
 from engage.schemas import FEATURE_COLS, TARGET
 from engage.sources.readers import exists
 
@@ -217,17 +218,17 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return s.withColumn("pred", (F.col("p") > 0.5).cast("int"))
 
 
-def linear_probability(model: PipelineModel):
-    """P(click) of a fitted binary logistic regression as one column
-    expression, or None for any other model.
+def linear_order(model: PipelineModel) -> LinearOrder | None:
+    """A fitted binary logistic regression as column expressions, or None for
+    any other model.
 
     For a pipeline ending in ``[VectorAssembler, LogisticRegressionModel]``
     the earlier stages (the scaler projection) are applied as they are and
-    ``p = 1 / (1 + exp(-(w . x + b)))`` is written over the assembler's
-    input columns in order: the model's own formula with its 8 coefficients,
-    evaluated inside whole-stage codegen instead of building a vector and a
-    probability vector per row.  Returns ``f(df) -> df`` adding
-    ``click_probability``."""
+    ``p = 1 / (1 + exp(-(w . x + b)))`` is written over the assembler's input
+    columns: the model's own formula with its 8 coefficients, evaluated inside
+    whole-stage codegen instead of building a vector and a probability vector
+    per row.  The article features are summed first, so the probability never
+    falls as their part of the sum grows."""
     from pyspark.ml.classification import LogisticRegressionModel
 
     stages = list(getattr(model, "stages", []) or [])
@@ -237,17 +238,40 @@ def linear_probability(model: PipelineModel):
     if not (isinstance(lr, LogisticRegressionModel) and isinstance(asm, VectorAssembler)
             and lr.numClasses == 2):
         return None
-    margin = F.lit(0.0)
-    for c, w in zip(asm.getInputCols(), lr.coefficients.toArray().tolist()):
-        margin = margin + F.col(c) * F.lit(float(w))
+    weights = dict(zip(asm.getInputCols(), map(float, lr.coefficients.toArray().tolist()), strict=True))
+    of_article = [f"{c}__s" for c in ARTICLE_FEATURES]
+    part = sum((F.col(c) * F.lit(weights[c]) for c in of_article), F.lit(0.0))
+    margin = sum((F.col(c) * F.lit(w) for c, w in weights.items() if c not in of_article), part)
     margin = margin + F.lit(float(lr.intercept))
     head = PipelineModel(stages[:-2])
 
-    def apply(df: DataFrame) -> DataFrame:
-        out = head.transform(df).withColumn("click_probability",
-                                            1.0 / (1.0 + F.exp(-margin)))
-        return out.drop(*asm.getInputCols())
-    return apply
+    def add_part(df: DataFrame) -> DataFrame:
+        rest = {c: F.lit(0.0) for c in FEATURE_COLS if c not in ARTICLE_FEATURES}
+        return head.transform(df.withColumns(rest)).withColumn("_part", part).select(*df.columns, "_part")
+
+    def score(df: DataFrame) -> DataFrame:
+        return (head.transform(df).withColumn("click_probability", 1.0 / (1.0 + F.exp(-margin)))
+                .drop(*asm.getInputCols()))
+    return LinearOrder(add_part, score)
+
+
+def linear_probability(model: PipelineModel):
+    """The scoring function of ``linear_order``, or None."""
+    order = linear_order(model)
+    return order and order.score
+
+
+def scoring_order(model: PipelineModel | LinearOrder | TreeOrder) -> LinearOrder | TreeOrder:
+    """How a model orders articles: as it is given, a logistic regression by
+    its linear form, a forest or boosted trees by their cells."""
+    if isinstance(model, LinearOrder | TreeOrder):
+        return model
+    linear = linear_order(model)
+    if linear is not None:
+        return linear
+    if hasattr(model.stages[-1], "trees"):
+        return TreeOrder(model)
+    raise ValueError("the model is neither linear nor made of trees; give a LinearOrder")
 
 
 def model_metrics(scored: DataFrame, label: str = TARGET, p: str = "p",
@@ -289,6 +313,12 @@ def rule_score(ds: DataFrame) -> DataFrame:
     return ds.withColumn("p", p).withColumn("pred", (F.col("p") > 0.4).cast("int"))
 
 
+def rule_order() -> LinearOrder:
+    """The rule score as a recommender's scorer."""
+    return LinearOrder(lambda df: df.withColumn("_part", F.col("article_ctr")),
+                       lambda df: rule_score(df).withColumn("click_probability", F.col("p")))
+
+
 def evaluate(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
     """One metrics row per model, with its position in training order."""
     spark = test.sparkSession

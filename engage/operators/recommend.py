@@ -2,37 +2,22 @@
 
 Semantics of the per-user recommender, applied to every user at once:
 
-* candidates are the first ``max_candidates`` catalogue rows (catalogue order
-  = ``NewsID``) whose article the user has not seen; a user who has seen the
-  whole catalogue gets the whole catalogue again;
+* candidates are all catalogue rows (catalogue order = ``NewsID``) whose
+  article the user has not seen; a user who has seen the whole catalogue gets
+  the whole catalogue again;
 * features of a candidate: the mean stored ``article_ctr`` /
   ``popularity_score`` of the article (0.1 / 0.05 if it was never shown),
   the user fields of the user's latest row (latest = largest
-  ``(Time, ImpID, ImpPos, preferred_category)``), whether the candidate's
-  category equals the user's preferred category, and the candidate's own
-  ``TitleWordCount``;
-* scored by the model, the ``n`` most probable per user are returned;
-  users without any row get the most popular articles instead.
-
-Plan (scale): no users x articles product and no per-user expansion beyond
-the answer.  The catalogue is ranked once (``pos``).  A user's distinct seen
-positions, sorted, cut the catalogue into gaps of unseen positions; the gap
-that ends at the seen position ``q`` (rank ``r`` among the user's seen
-positions, previous seen position ``p``) holds ``p+1 .. q-1`` and is preceded
-by exactly ``p - (r - 1)`` unseen positions.  So every gap knows how many of
-its positions belong to the first ``m`` unseen ones, and the generator emits
-exactly those: ``m`` rows per user, no anti join and no limit window over
-expanded rows.  The window that ranks seen positions holds one row per
-distinct (user, catalogue article) pair, de-duplicated map-side before the
-shuffle, so a very active user costs at most one row per catalogue article.
-
-The catalogue side of the position join is broadcast only after its size is
-measured (``sizing``).  Only the few gap rows per user are shuffled (by user,
-into an explicit partition count, because AQE sizes partitions by input
-bytes and would pack the m-fold expansion into few tasks); the generated
-rows stay partitioned by user, so the join with the one-row-per-user fields
-and the per-user top-``n`` window do not shuffle them again.  The recommender joins titles only after the
-per-user top ``n``.
+  ``(Time, ImpID, ImpPos, preferred_category)``; missing ones are 0), whether
+  the candidate's category equals the user's preferred category, and the
+  candidate's own ``TitleWordCount``;
+* scored by the model, the ``n`` most probable per user are returned (equal
+  ones in catalogue order); users without any row get the most popular
+  articles instead.
+
+The ``n`` best of the whole catalogue are found exactly without a table of
+pairs: see ``retrieval``.  What a user has not seen as a whole is given as
+position ranges (``unseen_ranges``): at most one range more than articles seen.
 """
 
 from __future__ import annotations
@@ -41,11 +26,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engage.functions import expressions as X
-from engage.operators.ml import linear_probability
+from engage.operators.ml import scoring_order
 from engage.operators.ordering import with_global_position
-from engage.operators.sizing import broadcast_if_small, measured_size
-from engage.session import ensure_checkpoint_dir
-from engage.schemas import DEFAULT_TITLE_WORDS, UNSEEN_ARTICLE_CTR, UNSEEN_POPULARITY
+from engage.operators.retrieval import (ARTICLE_FEATURES, BLOCK, OWN, USER_FEATURES, LinearOrder, gaps, shortlist,
+                                        with_place)
+from engage.schemas import DEFAULT_TITLE_WORDS, FEATURE_COLS, UNSEEN_ARTICLE_CTR, UNSEEN_POPULARITY
 
 USER_FIELDS = ["user_ctr", "preferred_category", "activity_encoded",
                "title_len_encoded", "top_category_affinity"]
@@ -97,99 +82,82 @@ def catalogue_features(catalogue: DataFrame, ds: DataFrame, with_title: bool = T
                               .alias("popularity_score")))
 
 
-def candidates(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
-               users: DataFrame | None = None, exhausted: str = "catalogue") -> DataFrame:
-    """(UserID, exhausted, <catalogue columns>): the candidate catalogue rows
-    per user.  See ``candidate_positions``."""
-    keep, size = candidate_positions(ds, catalogue, max_candidates, users, exhausted)
-    return keep.join(broadcast_if_small(catalogue, size), "pos")
-
-
-def candidate_positions(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
-                        users: DataFrame | None = None,
-                        exhausted: str = "catalogue") -> tuple[DataFrame, int]:
-    """((UserID, exhausted, pos), measured catalogue bytes): the catalogue
-    positions of every user's candidates.
-
-    ``catalogue`` is ``ranked_catalogue(...)`` (optionally with more columns,
-    e.g. ``catalogue_features``); only its ``NewsID`` and ``pos`` are read.  ``users``
-    restricts the job to the given known users (default: every user of
-    ``ds``).  ``max_candidates=None`` means every unseen row.
-    ``exhausted="catalogue"`` gives a user who has seen everything the
-    catalogue head again (the API form); ``"empty"`` gives nothing (the
-    dashboard form).  ``catalogue`` should be cheap to scan (checkpointed):
-    it is measured once to decide whether it can be broadcast.
+def seen_positions(ds: DataFrame, catalogue: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """``UserID, pos, Category`` of the catalogue rows each user has seen."""
+    seen = ds.select("UserID", "NewsID").distinct()
+    if users is not None:
+        seen = seen.join(users.select("UserID").distinct(), "UserID", "left_semi")
+    return seen.join(catalogue.select("NewsID", "pos", "Category"), "NewsID").drop("NewsID")
+
+
+def unseen_ranges(ds: DataFrame, catalogue: DataFrame, users: DataFrame | None = None,
+                  exhausted: str = "catalogue") -> DataFrame:
+    """``UserID, exhausted, first_pos, last_pos, before``: the catalogue
+    positions that each user has not seen, as ranges; ``before`` counts the
+    unseen positions ahead of the range.
+
+    ``users`` restricts the job to the given known users (default: every user
+    of ``ds``).  ``exhausted="catalogue"`` gives a user who has seen everything
+    the whole catalogue again (the API form); ``"empty"`` gives nothing (the
+    dashboard form).
     """
     if exhausted not in ("catalogue", "empty"):
         raise ValueError("exhausted must be 'catalogue' or 'empty'")
-    seen = ds.select("UserID", "NewsID").distinct()
+    known = ds.select("UserID").distinct()
     if users is not None:
-        seen = seen.join(users.select("UserID").distinct(), "UserID", "left_semi")
-    # the catalogue is checkpointed: measuring it is one cheap job that
-    # returns two numbers (rows, bytes).
-    rows, size = measured_size(catalogue)
-    n_cat = F.lit(rows).cast("long")
-    m = n_cat if max_candidates is None else F.least(F.lit(max_candidates).cast("long"), n_cat)
-    ids = broadcast_if_small(catalogue.select("NewsID", "pos"), size)
-    seen_pos = seen.join(ids, "NewsID").select("UserID", "pos")
-    # one end marker per known user, after the last position, closes the
-    # user's last gap (and is the only row of a user who saw no catalogue row)
-    ends = seen.select("UserID").distinct().select("UserID", (n_cat + 1).alias("pos"))
-    w = Window.partitionBy("UserID").orderBy("pos")
-    marks = seen_pos.unionByName(ends).select(
-        "UserID", "pos",
-        F.coalesce(F.lag("pos").over(w), F.lit(0).cast("long")).alias("prev"),
-        (F.row_number().over(w) - 1).cast("long").alias("seen_before"))
-    unseen_before = F.col("prev") - F.col("seen_before")
-    start = F.col("prev") + 1
-    take = F.least(F.col("pos") - F.col("prev") - 1, m - unseen_before)
-    # the end marker of a user who has seen every catalogue row
-    full = (F.col("pos") == n_cat + 1) & (F.col("seen_before") == n_cat)
-    if exhausted == "catalogue":
-        start = F.when(full, F.lit(1).cast("long")).otherwise(start)
-        take = F.when(full, m).otherwise(take)
-    # The gap rows (a few per user) are spread by user over an explicit
-    # partition count before they expand m-fold: the inherited partitioning
-    # was sized by AQE for the input bytes and may be a single partition.
-    parts = max(int(ds.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    gaps = (marks.filter(take > 0)
-                 .select("UserID", full.alias("exhausted"), start.alias("_start"),
-                         take.alias("_take"))
-                 .repartition(parts, "UserID"))
-    keep = gaps.select("UserID", "exhausted", F.explode(F.sequence(
-        F.col("_start"), F.col("_start") + F.col("_take") - 1)).alias("pos"))
-    return keep, size
-
-
-def candidate_features(ds: DataFrame, catalogue: DataFrame, max_candidates: int | None = 500,
-                       users: DataFrame | None = None, with_title: bool = True) -> DataFrame:
-    """Feature rows of every user's candidates: the 8 model features as
-    double plus UserID, NewsID, pos, Category and (``with_title``) Title.
-
-    The catalogue with its article statistics is checkpointed to the shared
-    checkpoint folder (one row per catalogue entry), so the candidate join
-    reads a table of known size and short lineage."""
-    ensure_checkpoint_dir(ds.sparkSession)
-    cat = catalogue_features(catalogue, ds, with_title).checkpoint(eager=True)
-    keep, size = candidate_positions(ds, cat, max_candidates, users)
-    # user fields first (the rows are still narrow and partitioned by user),
-    # then the catalogue columns by the size-checked position join
-    j = (keep.join(latest_user_rows(ds), "UserID", "left")
-             .join(broadcast_if_small(cat, size), "pos"))
-    feats = {
-        "article_ctr": F.col("article_ctr"),
-        "popularity_score": F.col("popularity_score"),
-        "user_ctr": F.col("user_ctr"),
-        "category_match": F.coalesce(F.col("Category") == F.col("preferred_category"),
-                                     F.lit(False)).cast("int"),
-        "activity_encoded": F.col("activity_encoded"),
-        "title_len_encoded": F.col("title_len_encoded"),
-        "top_category_affinity": F.col("top_category_affinity"),
-        "TitleWordCount": F.coalesce(F.col("TitleWordCount"), F.lit(DEFAULT_TITLE_WORDS)),
-    }
-    title = ["Title"] if with_title else []
-    return j.select("UserID", "NewsID", "pos", "Category", *title,
-                    *[v.cast("double").alias(k) for k, v in feats.items()])
+        known = known.join(users.select("UserID").distinct(), "UserID", "left_semi")
+    total = catalogue.agg(F.max("pos")).scalar()
+    marks = with_place(seen_positions(ds, catalogue, users).select("UserID", F.col("pos").alias("at")),
+                       ["UserID"], [F.col("at")], "place")
+    found = gaps(marks, ["UserID"], known.select("UserID", F.coalesce(total, F.lit(0)).cast("long").alias("n")))
+    ranges = found.select("UserID", F.lit(False).alias("exhausted"), F.col("start").alias("first_pos"),
+                          (F.col("start") + F.col("size") - 1).alias("last_pos"), "before")
+    if exhausted == "empty":
+        return ranges
+    full = (marks.groupBy("UserID").agg(F.count(F.lit(1)).alias("n_seen")).filter(F.col("n_seen") >= total)
+            .select("UserID", F.lit(True).alias("exhausted"), F.lit(1).cast("long").alias("first_pos"),
+                    F.col("n_seen").alias("last_pos"), F.lit(0).cast("long").alias("before")))
+    return ranges.unionByName(full)
+
+
+def first_unseen(ds: DataFrame, catalogue: DataFrame, max_candidates: int, users: DataFrame | None = None,
+                 exhausted: str = "catalogue") -> DataFrame:
+    """``UserID, exhausted`` and catalogue columns of each user's first
+    ``max_candidates`` unseen rows in catalogue order (the shortened candidate
+    list of an interactive request).  Ranges meet the catalogue in blocks, so
+    the generated rows are not shuffled."""
+    ranges = unseen_ranges(ds, catalogue, users, exhausted).filter(F.col("before") < max_candidates)
+    last = F.least("last_pos", F.col("first_pos") + max_candidates - F.col("before") - 1)
+    block = lambda c: F.expr(f"({c} - 1) div {BLOCK}")
+    rows = ranges.withColumn("last_pos", last).withColumn(
+        "block", F.explode(F.sequence(block("first_pos"), block("last_pos"))))
+    blocks = (catalogue.withColumn("block", block("pos")).groupBy("block")
+              .agg(F.collect_list(F.struct(*catalogue.columns)).alias("entries")))
+    wanted = F.filter("entries", lambda e: e["pos"].between(F.col("first_pos"), F.col("last_pos")))
+    return rows.join(blocks, "block").select("UserID", "exhausted", F.explode(wanted).alias("e")).select(
+        "UserID", "exhausted", "e.*")
+
+
+def candidate_features(ds: DataFrame, catalogue: DataFrame, model, n: int = 10,
+                       users: DataFrame | None = None) -> DataFrame:
+    """The candidates that can be among the ``n`` best of each user, from the
+    whole catalogue: the first ``n`` unseen articles of the preferred category
+    and of all others, in the order of the model's score.  The 8 model
+    features as double, and ``UserID``, ``NewsID``, ``pos``, ``Category``,
+    ``exhausted``, ``_part`` and ``k`` (the probability, for tree models)."""
+    def filled(c: str, default: float = 0.0):
+        return F.coalesce(F.col(c).cast("double"), F.lit(default)).alias(c)
+    articles = catalogue_features(catalogue, ds, with_title=False).select(
+        "pos", "NewsID", "Category", "article_ctr", "popularity_score",
+        filled("TitleWordCount", float(DEFAULT_TITLE_WORDS)))
+    rows = latest_user_rows(ds)
+    if users is not None:
+        rows = rows.join(users.select("UserID").distinct(), "UserID", "left_semi")
+    rows = rows.select("UserID", "preferred_category", *[filled(c) for c in USER_FEATURES])
+    found = shortlist(rows, seen_positions(ds, catalogue, users), articles, scoring_order(model), n)
+    match = (F.col("side") == OWN).cast("double").alias("category_match")
+    return found.select("UserID", "NewsID", "pos", "Category", "exhausted", "_part", "k",
+                        *[match if c == "category_match" else F.col(c) for c in FEATURE_COLS])
 
 
 def popular_articles(ds: DataFrame, news_clean: DataFrame, k: int = 10) -> DataFrame:
@@ -232,46 +200,32 @@ def exhausted_users(ds: DataFrame, news_clean: DataFrame) -> DataFrame:
 
 
 def top_n_per_user(scored: DataFrame, n: int = 10, prob: str = "click_probability") -> DataFrame:
-    """The ``n`` most probable rows per user (ties: smaller NewsID first)."""
-    w = Window.partitionBy("UserID").orderBy(F.col(prob).desc(), F.col("NewsID"))
-    return (scored.withColumn("rank", F.row_number().over(w))
-                  .filter(F.col("rank") <= n))
+    """The ``n`` most probable rows per user (ties: the larger article part,
+    then catalogue order)."""
+    w = Window.partitionBy("UserID").orderBy(F.col(prob).desc(), F.col("_part").desc(), F.col("pos"))
+    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
 def recommend_top_n(ds: DataFrame, news_clean: DataFrame, model, n: int = 10,
-                    users: DataFrame | None = None, max_candidates: int | None = 500,
-                    round_places: int | None = 4) -> DataFrame:
-    """Recommendations for every known user (or the requested ``users``;
-    unknown ones get the popular list).
-
-    ``model`` is a fitted ``PipelineModel`` whose input is the 8 feature
-    columns and whose output has ``probability``, or a function that adds
-    ``click_probability`` to the candidate feature rows (any other scorer).
-    A logistic regression is scored as a column expression
-    (``ml.linear_probability``); other models through ``transform``.
+                    users: DataFrame | None = None, round_places: int | None = 4) -> DataFrame:
+    """Recommendations from the whole catalogue for every known user (or the
+    requested ``users``; unknown ones get the popular list).
+
+    ``model`` is a fitted ``PipelineModel`` (logistic regression, random
+    forest or boosted trees over the 8 feature columns) or a ``LinearOrder``
+    (any score that grows with an article part).  A linear model is scored as
+    a column expression; the probabilities of a tree model come with its cells.
     """
     if n < 1 or n > 50:
         raise ValueError("n must be in [1, 50]")
-    from pyspark.ml.functions import vector_to_array
-
+    order = scoring_order(model)
     catalogue = ranked_catalogue(news_clean)
-    feats = candidate_features(ds, catalogue, max_candidates, users, with_title=False)
-    linear = linear_probability(model) if hasattr(model, "transform") else None
-    if linear is not None:
-        scored = linear(feats)
-    elif hasattr(model, "transform"):
-        scored = (model.transform(feats)
-                       .withColumn("click_probability",
-                                   vector_to_array(F.col("probability")).getItem(1)))
-    else:
-        scored = model(feats)
-    best = top_n_per_user(scored, n).select("UserID", "NewsID", "pos", "Category",
-                                            "click_probability", "rank")
-    # titles are joined to the n best rows per user only.  One popular
-    # article can sit in most users' top n, so the title side is broadcast
-    # when its measured size allows (else AQE splits the skewed position).
-    titles = catalogue.select("pos", "Title")
-    out = (best.join(broadcast_if_small(titles, measured_size(titles)[1]), "pos")
+    feats = candidate_features(ds, catalogue, order, n, users)
+    scored = (order.score(feats) if isinstance(order, LinearOrder)
+              else feats.withColumn("click_probability", F.col("k")))
+    best = top_n_per_user(scored, n).select("UserID", "pos", "Category", "click_probability", "rank")
+    # titles are joined to the n best rows per user only
+    out = (best.join(catalogue.select("pos", "NewsID", "Title"), "pos")
                .select("UserID", "NewsID", "Title", "Category", "click_probability", "rank"))
     if users is not None:
         out = out.unionByName(cold_start(users, ds, news_clean, n))

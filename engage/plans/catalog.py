@@ -88,17 +88,12 @@ def _catalogue(s, d):
     return RC.ranked_catalogue(news_clean(s, d))
 
 
-def _candidates(s, d):
-    return RC.candidates(_pos(s, d), _catalogue(s, d)).select("UserID", "pos", "NewsID",
-                                                              "exhausted")
-
-
 def _candidate_features(s, d):
-    return RC.candidate_features(_pos(s, d), _catalogue(s, d))
+    return RC.candidate_features(_pos(s, d), _catalogue(s, d), ML.rule_order()).drop("_part", "k")
 
 
-def _rule_scorer(feats):
-    return ML.rule_score(feats).withColumn("click_probability", F.col("p"))
+def _unseen_ranges(s, d):
+    return RC.unseen_ranges(_pos(s, d), _catalogue(s, d))
 
 
 # ---- ML data-step helpers
@@ -178,7 +173,8 @@ QUERIES: dict[str, Query] = {
         .select("NewsID", "short_title", "card_title", "category_tag"),
     # ---- recommendation without a model, and with a fixed rule score
     "ranked_catalogue": _catalogue,
-    "candidates": _candidates,
+    "unseen_ranges": _unseen_ranges,
+    "candidates": lambda s, d: _candidate_features(s, d).select("UserID", "pos", "NewsID", "exhausted"),
     "candidate_features": _candidate_features,
     "article_means": lambda s, d: RC.article_means(featured(s, d)),
     "latest_user_rows": lambda s, d: RC.latest_user_rows(_pos(s, d)),
@@ -187,7 +183,7 @@ QUERIES: dict[str, Query] = {
         FX.customers_as_users(s, d), featured(s, d), news_clean(s, d), 10),
     "exhausted_users": lambda s, d: RC.exhausted_users(featured(s, d), news_clean(s, d)),
     "recommend_rule": lambda s, d: RC.recommend_top_n(
-        _pos(s, d), news_clean(s, d), _rule_scorer, 10),
+        _pos(s, d), news_clean(s, d), ML.rule_order(), 10),
     # ---- ML data steps and metrics
     "split_counts": lambda s, d: ML.split_counts(_pos(s, d)),
     "scaler_fit": lambda s, d: ML.scaler_frame(_train_side(s, d)),

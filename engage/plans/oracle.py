@@ -294,13 +294,11 @@ unseen AS (
   WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.UserID = u.UserID AND s.NewsID = c.NewsID)
 ),
 cands AS (
-  SELECT UserID, pos, NewsID, false AS exhausted
-  FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY pos) AS r FROM unseen)
-  WHERE r <= 500
+  SELECT UserID, pos, NewsID, false AS exhausted FROM unseen
   UNION ALL
   SELECT u.UserID, c.pos, c.NewsID, true AS exhausted
   FROM users u CROSS JOIN cat c
-  WHERE u.UserID NOT IN (SELECT UserID FROM unseen) AND c.pos <= 500
+  WHERE u.UserID NOT IN (SELECT UserID FROM unseen)
 )"""
 
 LATEST = """
@@ -322,22 +320,28 @@ am AS (
   FROM ds GROUP BY NewsID
 )"""
 
+# every unseen pair with its features, and the first 10 of either match
 CAND_FEATURES = """
 cf AS (
-  SELECT c.UserID, c.NewsID, c.pos, k.Category, k.Title,
+  SELECT c.UserID, c.NewsID, c.pos, c.exhausted, k.Category, k.Title,
          CAST(coalesce(am.mean_article_ctr, 0.1) AS DOUBLE) AS article_ctr,
          CAST(coalesce(am.mean_popularity, 0.05) AS DOUBLE) AS popularity_score,
-         CAST(l.user_ctr AS DOUBLE) AS user_ctr,
+         CAST(coalesce(l.user_ctr, 0) AS DOUBLE) AS user_ctr,
          CAST(CAST(coalesce(k.Category = l.preferred_category, false) AS INTEGER) AS DOUBLE)
            AS category_match,
-         CAST(l.activity_encoded AS DOUBLE) AS activity_encoded,
-         CAST(l.title_len_encoded AS DOUBLE) AS title_len_encoded,
-         CAST(l.top_category_affinity AS DOUBLE) AS top_category_affinity,
+         CAST(coalesce(l.activity_encoded, 0) AS DOUBLE) AS activity_encoded,
+         CAST(coalesce(l.title_len_encoded, 0) AS DOUBLE) AS title_len_encoded,
+         CAST(coalesce(l.top_category_affinity, 0) AS DOUBLE) AS top_category_affinity,
          CAST(coalesce(k.TitleWordCount, 8) AS DOUBLE) AS TitleWordCount
   FROM cands c
   JOIN cat k ON k.pos = c.pos
   LEFT JOIN am ON am.NewsID = k.NewsID
   LEFT JOIN latest l ON l.UserID = c.UserID
+),
+shortlist AS (
+  SELECT * EXCLUDE (r, Title) FROM (
+    SELECT *, row_number() OVER (PARTITION BY UserID, category_match ORDER BY article_ctr DESC, pos) AS r FROM cf)
+  WHERE r <= 10
 )"""
 
 POP = """
@@ -393,9 +397,14 @@ auc AS (
 
 SQL.update({
     "ranked_catalogue": _q((NEWS, NEWS_CLEAN, CAT), "SELECT * FROM cat"),
-    "candidates": _q(FEATURED_POS + (CAT, CANDS), "SELECT * FROM cands"),
+    "unseen_ranges": _q(FEATURED_POS + (CAT, CANDS), """
+SELECT UserID, exhausted, min(pos) AS first_pos, max(pos) AS last_pos, min(r) - 1 AS before
+FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY pos) AS r FROM cands)
+GROUP BY UserID, exhausted, pos - r"""),
+    "candidates": _q(FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEATURES),
+                     "SELECT UserID, pos, NewsID, exhausted FROM shortlist"),
     "candidate_features": _q(FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEATURES),
-                             "SELECT * FROM cf"),
+                             "SELECT * FROM shortlist"),
     "article_means": _q(FEATURED + (AMEANS,), "SELECT * FROM am"),
     "latest_user_rows": _q(FEATURED_POS + (LATEST,), "SELECT * FROM latest"),
     "popular_articles": _q(FEATURED + (POP,), "SELECT * FROM pop"),
@@ -541,6 +550,6 @@ SELECT NewsID, count(*) AS copies FROM news GROUP BY NewsID HAVING count(*) > 1"
 SQL["recommend_rule"] = _q(FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEATURES), """
 SELECT UserID, NewsID, Title, Category, round_even(p, 4) AS click_probability,
        CAST(rank AS INTEGER) AS rank
-FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY p DESC, NewsID) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY p DESC, pos) AS rank
       FROM (SELECT *, (article_ctr + user_ctr + top_category_affinity) / 3.0 AS p FROM cf))
 WHERE rank <= 10""")

@@ -44,19 +44,3 @@ def test_scans_are_pruned(spark):
     assert "o_totalprice" not in plan
     news = _plan(FX.news(spark, SF_SMALL))
     assert "p_retailprice" not in news and "n_chars" not in news
-
-
-def test_candidate_rows_are_not_shuffled(spark):
-    """The generated candidate rows (``explode`` of the gap sequences) reach
-    the output without an exchange: no Exchange has a Generate below it."""
-    plan = C.QUERIES["candidate_features"](spark, SF_SMALL)._jdf.queryExecution() \
-        .executedPlan().toString()
-    lines = plan.splitlines()
-    gen = [i for i, ln in enumerate(lines) if "Generate explode(sequence" in ln]
-    assert gen
-    depth = lambda ln: len(ln) - len(ln.lstrip(" :+-"))
-    for i, ln in enumerate(lines):
-        if "Exchange" in ln:
-            below = [g for g in gen if g > i and depth(lines[g]) > depth(ln)
-                     and all(depth(lines[k]) > depth(ln) for k in range(i + 1, g + 1))]
-            assert not below, ln
