@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold on a cluster as well as in local mode.  Shuffle
 # parallelism is left to the cluster; AQE sizes and coalesces partitions and
@@ -64,3 +65,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for staged tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back:
+    a short lineage that survives a lost executor, and a size Spark knows."""
+    path = scratch_path(df.sparkSession, f"staged/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
