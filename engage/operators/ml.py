@@ -1,7 +1,7 @@
 """Click-prediction models with Spark MLlib.
 
-* split: stratified 80/20 by a keyed hash of the row (each class split by
-  the same hash bound), so a row never changes side when the partitioning
+* split: stratified 80/20, each class at the quantile of its own row hashes,
+  so the shares are exact and a row never changes side when the partitioning
   changes;
 * scaler: centre and divide by the *population* standard deviation (std 0
   divides by 1), fitted on the training side only, expressed as a
@@ -11,13 +11,15 @@
 * metrics of class 1 at the 0.5 cut and an exact AUC (ties count 1/2),
   computed from grouped scores with a distributed prefix sum.
 
-Class balance: ``balance="weight"`` gives each class half of the total
-weight (``weightCol``); ``balance="smote"`` adds synthetic minority rows
-(``engage.operators.oversample``); ``None`` trains on the raw rows.
+Class balance: ``balance="smote"`` (the default) adds synthetic minority rows
+(``engage.operators.oversample``); ``balance="weight"`` gives each class half
+of the total weight (``weightCol``); ``None`` trains on the raw rows.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 import os
 
 from pyspark import StorageLevel
@@ -31,12 +33,11 @@ from pyspark.sql import functions as F
 
 from engage.operators.ordering import with_prefix_sums
 from engage.operators.retrieval import ARTICLE_FEATURES, LinearOrder, TreeOrder
-from engage.schemas import FEATURE_COLS, TARGET
+from engage.schemas import FEATURE_COLS, ROW_KEY, TARGET
 from engage.sources.readers import exists
 
 # Model settings of the batch trainer and of the dashboard
 # trainer, the split and the seeds.
-TEST_FRACTION = 0.2
 SPLIT_SEED = 42
 PROFILES = {
     "batch": {
@@ -66,36 +67,64 @@ def assemble_rows(ds: DataFrame, keep: list[str] = ()) -> DataFrame:
                      F.col(TARGET).cast("int").alias(TARGET), *keep)
 
 
-# Fixed value: rows whose key hash (first 8 hex digits of md5) is below this
-# are the test side; 0x33333333 / 2**32 = 0.2.
-TEST_HASH_BOUND = "33333333"
+# Columns that identify a row of the featured dataset.
 KEY_COLS = ["UserID", "NewsID", "Click", "Time", "ImpID", "ImpPos", "preferred_category"]
-
-
-ROW_KEY = "_k"
+DIGITS = 4                      # hex digits of the key settled in a pass: 65,536 buckets a class
 
 
 def row_key(key_cols: list[str] = KEY_COLS, seed: int = SPLIT_SEED):
-    """md5 of the row's identifying columns (and the seed), hex string."""
+    """md5 of the row's identifying columns (and the seed), hex string: spread
+    evenly, the same in every SQL engine and however the rows are cut."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
 
 
-def split_side(key_cols: list[str] = KEY_COLS, seed: int = SPLIT_SEED):
-    """True for the test side: a keyed hash of the row's identifying columns.
+def split_cuts(keyed: DataFrame, tenths: int = 2) -> dict:
+    """Per class the key of its last test row: the key at place ``round(n *
+    tenths / 10)`` in key order (None for a class without a test row).
 
-    Each class is split by the same hash threshold, so both classes keep the
-    20 % share (stratified like ``sampleBy``) and a row never changes side
-    when the partitioning changes.  md5 is used because it is computed the
-    same way by every SQL engine, which lets the oracle check the split.
+    The place is found digit group by digit group: each pass counts the keys
+    of the one bucket per class that holds the place by their next ``DIGITS``
+    digits, so no pass sorts rows and two rows come to the driver.
     """
-    return F.substring(row_key(key_cols, seed), 1, 8) < F.lit(TEST_HASH_BOUND)
+    wanted = {r[TARGET]: (r["n"] * tenths + 5) // 10
+              for r in keyed.groupBy(TARGET).agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = {c: ("", q) for c, q in wanted.items() if q}            # key prefix, place among its keys
+    for upto in range(DIGITS, 32 + 1, DIGITS):
+        inside = [F.col(TARGET).eqNullSafe(F.lit(c)) & F.col(ROW_KEY).startswith(p) for c, (p, _) in found.items()]
+        if not inside:
+            break
+        counts = (keyed.filter(functools.reduce(operator.or_, inside))
+                  .groupBy(TARGET, F.substring(ROW_KEY, 1, upto).alias("prefix")).agg(F.count(F.lit(1)).alias("n")))
+        # at most 65,536 buckets a class
+        to = F.sum("n").over(Window.partitionBy(TARGET).orderBy("prefix"))
+        place = functools.reduce(lambda e, c: F.when(F.col(TARGET).eqNullSafe(F.lit(c)), found[c][1]).otherwise(e),
+                                 found, F.lit(0))
+        at = counts.withColumn("to", to).filter((F.col("to") >= place) & (F.col("to") - F.col("n") < place)).collect()
+        found = {r[TARGET]: (r["prefix"], found[r[TARGET]][1] - (r["to"] - r["n"])) for r in at}
+    return {c: found[c][0] if c in found else None for c in wanted}
+
+
+def _keyed(ds: DataFrame, seed: int, key_cols: list[str] | None) -> DataFrame:
+    cols = KEY_COLS if key_cols is None else key_cols
+    missing = [c for c in cols if c not in ds.columns]
+    if missing:
+        raise ValueError(f"no columns {missing}: name the columns that identify a row in key_cols")
+    return ds.withColumn(ROW_KEY, row_key(cols, seed))
+
+
+def _is_test(cuts: dict):
+    sides = [F.col(TARGET).eqNullSafe(F.lit(c)) & (F.col(ROW_KEY) <= cut) for c, cut in cuts.items() if cut]
+    return functools.reduce(operator.or_, sides, F.lit(False))
 
 
 def stratified_split(ds: DataFrame, seed: int = SPLIT_SEED,
-                     key_cols: list[str] = KEY_COLS) -> tuple[DataFrame, DataFrame]:
-    """(train, test) rows of ``ds`` plus the row key ``_k``."""
-    t = ds.withColumn(ROW_KEY, row_key([c for c in key_cols if c in ds.columns], seed))
-    test = F.substring(F.col(ROW_KEY), 1, 8) < F.lit(TEST_HASH_BOUND)
+                     key_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows of ``ds`` plus the row key ``_k``: of every class the
+    fifth of its rows with the smallest keys is the test side (to the row, as
+    long as keys differ).  ``key_cols`` identify a row (default ``KEY_COLS``,
+    which must all be there)."""
+    t = _keyed(ds, seed, key_cols)
+    test = _is_test(split_cuts(t))
     return t.filter(~test), t.filter(test)
 
 
@@ -122,12 +151,12 @@ def scale(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def class_weights(train: DataFrame) -> DataFrame:
-    """``weight`` column: each class carries half of the total weight.
-    The class counts are a 2-row aggregate, joined by broadcast."""
-    n = train.groupBy(TARGET).agg(F.count("*").alias("_n"))
-    tot = train.select(F.count("*")).scalar()
-    return (train.join(F.broadcast(n), TARGET)
-                 .withColumn("weight", tot / (2.0 * F.col("_n"))).drop("_n"))
+    """``weight`` column: each class carries half of the total weight (the
+    class counts are two numbers, so the weights are literals)."""
+    n = {r[TARGET]: r["n"] for r in train.groupBy(TARGET).agg(F.count("*").alias("n")).collect()}
+    weight = functools.reduce(lambda e, c: F.when(F.col(TARGET).eqNullSafe(F.lit(c)), sum(n.values()) / (2.0 * n[c]))
+                              .otherwise(e), n, F.lit(0.0))
+    return train.withColumn("weight", weight)
 
 
 def _estimator(name: str, params: dict, n_train: int, weighted: bool):
@@ -153,7 +182,7 @@ def build_pipeline(stats, estimator) -> Pipeline:
     return Pipeline(stages=[scaler_stage(stats), assembler, estimator])
 
 
-def prepare(ds: DataFrame, balance: str | None = "weight", seed: int = SPLIT_SEED):
+def prepare(ds: DataFrame, balance: str | None = "smote", seed: int = SPLIT_SEED):
     """Split, fit the scaler on train and balance the training side.
 
     Returns (train, test, stats); ``train`` may carry ``weight``."""
@@ -181,7 +210,8 @@ def stable_layout(df: DataFrame, n: int | None = None) -> DataFrame:
     over all partitions), else on all columns."""
     n = n or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     cols = [F.col(ROW_KEY)] if ROW_KEY in df.columns else [F.col(c) for c in df.columns]
-    return df.repartition(n, *cols).sortWithinPartitions(*cols)
+    spread = F.xxhash64(*cols)
+    return df.repartition(n, spread).sortWithinPartitions(spread, *cols)
 
 
 def train_models(train: DataFrame, stats, profile: str = "batch",
@@ -364,7 +394,7 @@ def load_model(path: str) -> PipelineModel:
 
 
 def load_or_train(path: str, ds: DataFrame, profile: str = "batch",
-                  balance: str | None = "weight",
+                  balance: str | None = "smote",
                   names: list[str] | None = None) -> tuple[PipelineModel, DataFrame | None]:
     """Load the saved best model, or train, evaluate, save and return it.
 
@@ -396,6 +426,6 @@ def scaler_frame(train: DataFrame, cols: list[str] = FEATURE_COLS) -> DataFrame:
 
 def split_counts(ds: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
     """Rows per (side, Click): the split's class balance."""
-    side = F.when(split_side([c for c in KEY_COLS if c in ds.columns], seed),
-                  F.lit("test")).otherwise(F.lit("train"))
-    return ds.groupBy(side.alias("side"), F.col(TARGET)).agg(F.count("*").alias("n"))
+    keyed = _keyed(ds, seed, None)
+    side = F.when(_is_test(split_cuts(keyed)), F.lit("test")).otherwise(F.lit("train"))
+    return keyed.groupBy(side.alias("side"), F.col(TARGET)).agg(F.count("*").alias("n"))

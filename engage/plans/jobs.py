@@ -54,7 +54,7 @@ def feature_job(spark: SparkSession, news_paths, behavior_paths, out: str,
 
 
 def train_job(spark: SparkSession, data: str, models: str, profile: str = "batch",
-              balance: str | None = "weight") -> DataFrame:
+              balance: str | None = "smote") -> DataFrame:
     """Train the three models, save the best one, store and return metrics."""
     ds = RD.read_table(spark, f"{data.rstrip('/')}/featured_dataset")
     train, test, stats = ML.prepare(ds, balance)
@@ -105,7 +105,7 @@ def main(argv=None) -> None:
     t.add_argument("--data", required=True)
     t.add_argument("--models", required=True)
     t.add_argument("--profile", default="batch", choices=["batch", "dashboard"])
-    t.add_argument("--balance", default="weight", choices=["weight", "smote", "none"])
+    t.add_argument("--balance", default="smote", choices=["weight", "smote", "none"])
     r = sub.add_parser("recommend")
     r.add_argument("--data", required=True)
     r.add_argument("--models", required=True)

@@ -355,8 +355,23 @@ pop AS (
   LEFT JOIN news_clean n ON n.NewsID = p.NewsID
 )"""
 
-SPLIT_TEST = ("substring(md5(concat_ws('|', '42', UserID, NewsID, CAST(Click AS VARCHAR), Time, "
-              "ImpID, CAST(ImpPos AS VARCHAR), preferred_category)), 1, 8) < '33333333'")
+# test side of a class: its round(n / 5) rows with the smallest keys
+SPLIT = """
+keyed AS (
+  SELECT *, md5(concat_ws('|', '42', UserID, NewsID, CAST(Click AS VARCHAR), Time,
+                          ImpID, CAST(ImpPos AS VARCHAR), preferred_category)) AS k
+  FROM ds
+),
+cuts AS (
+  SELECT Click, max(k) AS cut FROM (
+    SELECT Click, k, row_number() OVER (PARTITION BY Click ORDER BY k) AS r,
+           count(*) OVER (PARTITION BY Click) AS n FROM keyed)
+  WHERE r <= (2 * n + 5) // 10 GROUP BY Click
+),
+sided AS (
+  SELECT keyed.*, coalesce(k <= cut, false) AS is_test
+  FROM keyed LEFT JOIN cuts ON keyed.Click IS NOT DISTINCT FROM cuts.Click
+)"""
 
 FEATS = ["article_ctr", "popularity_score", "user_ctr", "category_match", "activity_encoded",
          "title_len_encoded", "top_category_affinity", "TitleWordCount"]
@@ -364,13 +379,13 @@ FEATS = ["article_ctr", "popularity_score", "user_ctr", "category_match", "activ
 TRAIN = f"""
 train AS (
   SELECT {", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in FEATS)}, Click
-  FROM ds WHERE NOT ({SPLIT_TEST})
+  FROM sided WHERE NOT is_test
 )"""
 
 TEST = f"""
 test AS (
   SELECT {", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in FEATS)}, Click
-  FROM ds WHERE {SPLIT_TEST}
+  FROM sided WHERE is_test
 )"""
 
 RULE_METRICS = """
@@ -423,16 +438,16 @@ HAVING count(*) >= (SELECT count(DISTINCT NewsID) FROM news_clean)"""),
 SELECT NewsID, substring(Title, 1, 40) || '...' AS short_title,
        substring(Title, 1, 80) AS card_title, upper(Category) AS category_tag
 FROM news_clean"""),
-    "split_counts": _q(FEATURED_POS, f"""
-SELECT CASE WHEN {SPLIT_TEST} THEN 'test' ELSE 'train' END AS side, Click, count(*) AS n
-FROM ds GROUP BY ALL"""),
+    "split_counts": _q(FEATURED_POS + (SPLIT,), """
+SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS side, Click, count(*) AS n
+FROM sided GROUP BY ALL"""),
     # SMOTE adds exactly n_majority - n_minority minority rows to the train side
-    "smote_balance": _q(FEATURED_POS + (TRAIN,), """
+    "smote_balance": _q(FEATURED_POS + (SPLIT, TRAIN), """
 SELECT CAST(Click AS INTEGER) AS Click, max(count(*)) OVER () AS n FROM train GROUP BY Click"""),
-    "scaler_fit": _q(FEATURED_POS + (TRAIN,), " UNION ALL ".join(
+    "scaler_fit": _q(FEATURED_POS + (SPLIT, TRAIN), " UNION ALL ".join(
         f"SELECT '{c}' AS feature, avg({c}) AS mean, stddev_pop({c}) AS std FROM train"
         for c in FEATS)),
-    "model_metrics": _q(FEATURED_POS + (TEST, RULE_METRICS), """
+    "model_metrics": _q(FEATURED_POS + (SPLIT, TEST, RULE_METRICS), """
 SELECT round(CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 4) AS accuracy,
        round((SELECT auc FROM auc), 4) AS auc,
        round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 4)

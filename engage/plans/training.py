@@ -38,7 +38,7 @@ def featured_pos(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fitted(spark: SparkSession, d: str, profile: str = "batch",
-           balance: str | None = "weight"):
+           balance: str | None = "smote"):
     key = (spark.sparkContext.applicationId, d, profile, balance)
     if key not in _FITTED:
         train, test, stats = ML.prepare(featured_pos(spark, d), balance)
@@ -112,4 +112,10 @@ def smote_balance(spark, d):
     return train.groupBy(ML.TARGET).agg(F.count("*").alias("n"))
 
 
+def train_weighted(spark, d):
+    """The metrics with class weights in place of synthetic rows."""
+    return fitted(spark, d, balance="weight")[1]
+
+
 QUERIES["smote_balance"] = smote_balance
+QUERIES["train_weighted"] = train_weighted

@@ -36,6 +36,7 @@ FEATURE_COLS = [
     "TitleWordCount",
 ]
 TARGET = "Click"
+ROW_KEY = "_k"                  # row key of split and training rows
 
 STORED_COLS = [
     "UserID", "NewsID", "Click", "Category", "Title", "article_ctr",

@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -10,13 +13,28 @@ from engage.plans.catalog import featured
 def test_split_disjoint_covering_stratified(spark):
     ds = featured(spark, SF_SMALL, with_position=True)
     train, test = ML.stratified_split(ds)
-    n, a, b = ds.count(), train.count(), test.count()
-    assert a + b == n
+    assert train.count() + test.count() == ds.count()
     assert train.join(test, ML.KEY_COLS, "inner").count() == 0
-    r_all = ds.agg(F.avg("Click")).first()[0]
-    for part in (train, test):
-        assert abs(part.agg(F.avg("Click")).first()[0] - r_all) < 0.03
-    assert abs(b / n - 0.2) < 0.02
+    sides = [{r.Click: r["count"] for r in part.groupBy("Click").count().collect()} for part in (train, test)]
+    for c in sides[0]:
+        n = sides[0][c] + sides[1][c]
+        assert sides[1][c] == (2 * n + 5) // 10
+    with pytest.raises(ValueError, match="ImpID"):
+        ML.stratified_split(ds.drop("ImpID"))
+
+
+def test_split_cuts_are_the_order_statistic_of_each_class(spark):
+    rng = random.Random(4)
+    rows = [(c, "%032x" % rng.getrandbits(128)) for c, n in ((0, 700), (1, 133), (2, 2), (None, 40)) for _ in range(n)]
+    rows += [(3, "ab" * 12 + "%08x" % i) for i in range(300)] + [(4, "f" * 32)] * 7   # shared digits, equal keys
+    df = spark.createDataFrame(rows, f"Click int, {ML.ROW_KEY} string").repartition(5)
+    for tenths in (2, 5, 10, 0):
+        want = {}
+        for c in {c for c, _ in rows}:
+            keys = sorted(k for x, k in rows if x == c)
+            q = (len(keys) * tenths + 5) // 10
+            want[c] = keys[q - 1] if q else None
+        assert ML.split_cuts(df, tenths) == want
 
 
 def test_scaler_is_population_std(spark):
@@ -103,6 +121,41 @@ def test_linear_probability_equals_model_transform(spark):
     assert ML.linear_probability(rf) is None
 
 
+def test_smote_rows_lie_between_exact_neighbours(spark):
+    """Every synthetic row lies between its point and one of the 5 nearest
+    other minority rows (brute force over all of them, copies included)."""
+    from engage.operators import oversample as OS
+    rng = np.random.default_rng(6)
+    x = np.concatenate([np.round(rng.normal(size=(150, 8)), 1), np.zeros((9, 8)), np.ones((3, 8))])
+    data = [tuple(map(float, r)) + (1, f"b{i}") for i, r in enumerate(x)]
+    data += [tuple(map(float, r)) + (0, f"a{i}") for i, r in enumerate(rng.normal(size=(900, 8)))]
+    rows = spark.createDataFrame(data, ", ".join(f"{c} double" for c in ML.FEATURE_COLS) + f", Click int, {ML.ROW_KEY} string")
+    stats = ML.fit_scaler(rows)
+    out = OS.smote(rows, stats, block_size=16).filter(F.col(ML.ROW_KEY).startswith("smote-")).collect()
+    assert len(out) == 900 - len(x)
+    mean, sd = (np.array([stats[c][i] for c in ML.FEATURE_COLS]) for i in (0, 1))
+    z = (x - mean) / sd
+    points = {r.id: np.array([r[c] for c in ML.FEATURE_COLS]) for r in OS.minority_points(rows, stats, 1).collect()}
+    made = {}
+    for r in out:
+        p, v = points[int(r[ML.ROW_KEY].split("-")[1])], np.array([r[c] for c in ML.FEATURE_COLS])
+        i = next(i for i in range(len(x)) if (x[i] == p).all())
+        d = np.sqrt(((z - z[i]) ** 2).sum(1))
+        d[i] = np.inf
+        near = x[d <= np.sort(d)[4] + 1e-12]
+        ok = False
+        for q in near:
+            step = q - p
+            u = [(v - p)[j] / step[j] for j in range(8) if step[j] != 0]
+            ok |= (np.abs((v - p)[step == 0]) < 1e-12).all() and (not u or max(u) - min(u) < 1e-6 and -1e-9 <= min(u) <= 1)
+        assert ok
+        made[tuple(p)] = made.get(tuple(p), 0) + 1
+    # each row makes its share, whole draws apart
+    for i, p in enumerate(map(tuple, x)):
+        share = (900 - len(x)) * (x == x[i]).all(1).sum() / len(x)
+        assert abs(made.get(p, 0) - share) <= 1
+
+
 def test_smote_tiny_minority_spreads_and_repeats(spark, monkeypatch):
     """3 minority rows against 4,000 majority rows: exactly the gap is made,
     the synthetic rows come from several tasks (chunks are shuffled apart,

@@ -8,9 +8,9 @@ from engage.plans.oracle import SQL
 from engage.sources import fixtures as FX
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
-                "MapInPandas", "MapInArrow")
-# the one documented Python step: SMOTE's neighbour search in bounded blocks
-PYTHON_ALLOWED = {"smote_balance": ("FlatMapGroupsInPandas",)}
+                "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow", "MapInPandas", "MapInArrow")
+# the one documented Python step: SMOTE's neighbour search in bounded cells
+PYTHON_ALLOWED = {"smote_balance": ("FlatMapCoGroupsInArrow",)}
 PRODUCTS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
