@@ -133,9 +133,10 @@ def host_verdicts(feats: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFram
 
 
 def _with_verdict(rows: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Adds ``__host_bad``.  Only bad hosts are joined; a hot host is split by
-    the skew handling of the join."""
-    bad = hosts.filter("host_bad").select(F.col("source").alias("__host"), F.lit(True).alias("__bad"))
+    """Adds ``__host_bad``.  Only bad hosts are joined, one row each, written
+    first so that the join knows their size and whole texts stay in place."""
+    bad = staged(hosts.filter("host_bad").select(F.col("source").alias("__host"), F.lit(True).alias("__bad")),
+                 "quality-hosts")
     j = rows.join(bad, F.col("source").cast("string").eqNullSafe(F.col("__host")), "left")
     return (j.withColumn("__host_bad", F.coalesce(F.col("__bad"), F.lit(False)))
             .drop("__host", "__bad"))
