@@ -26,13 +26,18 @@ def overall_ctr(inter: DataFrame) -> DataFrame:
 
 
 def platform_stats(ds: DataFrame) -> DataFrame:
-    """Users, distinct articles seen, rows, clicks and CTR (half-even, 4)."""
-    return ds.agg(
-        F.countDistinct("UserID").alias("total_users"),
-        F.countDistinct("NewsID").alias("total_news"),
-        F.count("*").alias("total_interactions"),
-        F.sum("Click").alias("total_clicks"),
-        F.bround(F.avg("Click"), 4).alias("overall_ctr"))
+    """Users, distinct articles seen, rows, clicks and CTR (half-even, 4).
+
+    Users and articles are counted as the groups of one aggregation each: two
+    distinct counts in one aggregation would expand every row threefold.
+    """
+    users = ds.groupBy("UserID").agg(F.count("*").alias("n"), F.sum("Click").alias("c"),
+                                     F.count("Click").alias("flagged"))
+    n_news = ds.groupBy("NewsID").agg(F.count("*").alias("n")).select(F.count("NewsID")).scalar()
+    agg = users.agg(F.count("UserID").alias("total_users"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_interactions"),
+                    F.sum("c").alias("total_clicks"), F.sum("flagged").alias("flagged"))
+    return agg.select("total_users", n_news.alias("total_news"), "total_interactions", "total_clicks",
+                      F.bround(F.try_divide("total_clicks", "flagged"), 4).alias("overall_ctr"))
 
 
 def platform_stats_catalogue(ds: DataFrame, news: DataFrame) -> DataFrame:
@@ -83,13 +88,20 @@ def top_categories(ds: DataFrame, k: int = 10) -> DataFrame:
 
 
 def top_news(ds: DataFrame, k: int = 20) -> DataFrame:
-    """Most clicked articles with their category and title, clicks desc."""
+    """Most clicked articles with their category and title, clicks desc.
+
+    The counts are taken without the texts; category and title are fetched for
+    the ``k`` articles only (the smallest, where rows differ)."""
     _check_k(k, 100)
-    return (ds.groupBy("NewsID")
-              .agg(F.sum("Click").alias("clicks"), F.count("*").alias("impressions"),
-                   F.min("Category").alias("Category"), F.min("Title").alias("Title"))
-              .withColumn("CTR", X.ratio("clicks", "impressions", places=None))
-              .orderBy(F.col("clicks").desc(), F.col("NewsID")).limit(k))
+    top = (ds.groupBy("NewsID").agg(F.sum("Click").alias("clicks"), F.count("*").alias("impressions"))
+             .withColumn("CTR", X.ratio("clicks", "impressions", places=None))
+             .orderBy(F.col("clicks").desc(), F.col("NewsID")).limit(k))
+    texts = (ds.join(F.broadcast(top.select("NewsID")), "NewsID", "left_semi")     # k rows
+               .groupBy("NewsID", "Category", "Title").agg(F.count("*").alias("n"))
+               .groupBy("NewsID").agg(F.min("Category").alias("Category"), F.min("Title").alias("Title")))
+    return (top.join(texts, "NewsID", "left")
+            .select("NewsID", "clicks", "impressions", "Category", "Title", "CTR")
+            .orderBy(F.col("clicks").desc(), F.col("NewsID")).limit(k))
 
 
 def top_news_with_category(ds: DataFrame, k: int = 20) -> DataFrame:
@@ -134,28 +146,33 @@ def user_profile(ds: DataFrame, user: str | None = None) -> DataFrame:
     the API's half-even rounded clicks / max(rows, 1).
     """
     src = ds.filter(F.col("UserID") == user) if user is not None else ds
-    return (src.groupBy("UserID")
-               .agg(F.count("*").alias("total_impressions"),
-                    F.sum("Click").alias("total_clicks"),
-                    F.bround(F.avg("user_ctr"), 4).alias("avg_user_ctr"),
-                    F.min("preferred_category").alias("preferred_category"),
-                    F.max("top_category_affinity").alias("top_category_affinity"),
-                    F.max("activity_encoded").alias("activity_encoded"))
-               .withColumn("ctr", F.bround(X.safe_ratio("total_clicks",
-                                                        "total_impressions"), 4)))
+    # numbers by (user, category) first; the name is compared over these few rows
+    by_category = src.groupBy("UserID", "preferred_category").agg(
+        F.count("*").alias("n"), F.sum("Click").alias("clicks"), F.sum("user_ctr").alias("ctr_sum"),
+        F.count("user_ctr").alias("ctr_n"), F.max("top_category_affinity").alias("affinity"),
+        F.max("activity_encoded").alias("activity"))
+    return (by_category.groupBy("UserID")
+            .agg(F.sum("n").alias("total_impressions"), F.sum("clicks").alias("total_clicks"),
+                 F.bround(F.try_divide(F.sum("ctr_sum"), F.sum("ctr_n")), 4).alias("avg_user_ctr"),
+                 F.min("preferred_category").alias("preferred_category"),
+                 F.max("affinity").alias("top_category_affinity"),
+                 F.max("activity").alias("activity_encoded"))
+            .withColumn("ctr", F.bround(X.safe_ratio("total_clicks", "total_impressions"), 4)))
 
 
 def user_profile_mode(ds: DataFrame, user: str | None = None) -> DataFrame:
     """In-memory profile: clicked rows, rows, CTR and the most frequent
     clicked category (smallest on ties, nulls skipped; null if none)."""
     src = ds.filter(F.col("UserID") == user) if user is not None else ds
-    clicked_cat = F.when(F.col("Click") == 1, F.col("Category"))
-    return (src.groupBy("UserID")
-               .agg(F.count(F.when(F.col("Click") == 1, F.lit(1))).alias("total_clicks"),
-                    F.count("*").alias("total_impressions"),
-                    F.mode(clicked_cat, deterministic=True).alias("preferred_category"))
-               .withColumn("ctr", F.bround(X.ratio("total_clicks", "total_impressions",
-                                                   places=None), 4)))
+    clicked = F.when(F.col("Click") == 1, F.col("Category"))
+    by_category = src.groupBy("UserID", clicked.alias("clicked")).agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("Click") == 1, F.lit(1))).alias("clicks"))
+    # most clicks, then the smallest name: over (user, category) rows only
+    best = F.min(F.when(F.col("clicked").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("clicked").alias("name"))))
+    return (by_category.groupBy("UserID")
+            .agg(F.sum("clicks").alias("total_clicks"), F.sum("n").alias("total_impressions"),
+                 best["name"].alias("preferred_category"))
+            .withColumn("ctr", F.bround(X.ratio("total_clicks", "total_impressions", places=None), 4)))
 
 
 def activity_distribution(ds: DataFrame) -> DataFrame:

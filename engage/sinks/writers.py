@@ -1,13 +1,15 @@
 """Batch sinks: Parquet tables laid out for lookups, keyed replace of
 per-user rows, model results, CSV, JSON records.
 
-Nothing here collects rows to the driver: every write is a distributed
-Spark write, and replaces are staged so that a plan never reads and
-overwrites the same files.
+Every write is a distributed Spark write; only manifests, bucket numbers and
+the bounded key sample of a z-order come to the driver.  Replaces write new
+version folders and switch by a manifest, so a plan never reads and overwrites
+the same files and a crash leaves the old rows in place.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.ml.linalg import VectorUDT
@@ -15,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from engage.session import scratch_path
-from engage.sources.readers import exists
+from engage.session import scratch_path, staged
 
-BUCKET = "bucket"
+BUCKET, VERSION = "bucket", "version"
+MANIFESTS = "_manifests"
+SAMPLE = 100_000                # rows sampled for the bounds of a z-order
+ROW_GROUP_BYTES = 8 << 20       # small row groups: what a lookup reads at least
 
 
 def bucket_of(key, buckets: int):
@@ -40,6 +44,41 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     out.write.mode(mode).parquet(path)
 
 
+def _bounds(df: DataFrame, key: str, cuts: int) -> list:
+    """At most ``cuts`` keys that cut the rows into about equal parts, from a
+    sample of about ``SAMPLE`` rows (they shape the files, not the results)."""
+    n = df.count()
+    drawn = df.select(key).filter(F.col(key).isNotNull())
+    if n > SAMPLE:
+        drawn = drawn.sample(SAMPLE / n, 7)
+    keys = sorted(r[0] for r in drawn.limit(2 * SAMPLE).collect())
+    return sorted({keys[len(keys) * (i + 1) // (cuts + 1)] for i in range(cuts)}) if keys else []
+
+
+def _part(key: str, bounds: list):
+    """Number of bounds at or below the key."""
+    return sum(((F.col(key) >= b).cast("int") for b in bounds), F.lit(0))
+
+
+def write_zordered(df: DataFrame, path: str, keys: list[str], bits: int = 4, files: int | None = None,
+                   mode: str = "overwrite") -> None:
+    """Write Parquet so that a lookup by *any* of ``keys`` can skip files and
+    row groups: each key's range is cut into ``2 ** bits`` parts, the parts'
+    bits are interleaved, and rows are ranged and sorted by that number.  A row
+    group then spans few parts of every key, and its min/max statistics tell a
+    reader so."""
+    spark = df.sparkSession
+    src = staged(df, "zorder")                          # read by the samples and the write
+    places = {k: F.coalesce(_part(k, _bounds(src, k, (1 << bits) - 1)), F.lit(0)) for k in keys}
+    z = F.lit(0).cast("long")
+    for bit in reversed(range(bits)):
+        for place in places.values():
+            z = F.shiftleft(z, 1).bitwiseOR(F.shiftright(place, bit).bitwiseAND(F.lit(1)))
+    n = files or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    (src.withColumn("_z", z).repartitionByRange(n, "_z", *keys).sortWithinPartitions("_z", *keys).drop("_z")
+     .write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES).parquet(path))
+
+
 def save_featured(dataset: DataFrame, news_clean: DataFrame, out_path: str) -> None:
     """Featured rows and cleaned catalogue, overwritten (local or HDFS path)."""
     base = out_path.rstrip("/")
@@ -49,16 +88,57 @@ def save_featured(dataset: DataFrame, news_clean: DataFrame, out_path: str) -> N
 
 def save_interactions(projection: DataFrame, news_clean: DataFrame, base: str,
                       buckets: int | None = None) -> None:
-    """The serving tables: interactions clustered by (UserID, NewsID) and the
-    catalogue by NewsID."""
-    write_table(projection, f"{base.rstrip('/')}/interactions", sort_by=["UserID", "NewsID"],
-                buckets=buckets)
+    """The serving tables: interactions laid out for lookups by UserID and by
+    NewsID (z-order), and the catalogue by NewsID."""
+    write_zordered(projection, f"{base.rstrip('/')}/interactions", ["UserID", "NewsID"], files=buckets)
     write_table(news_clean, f"{base.rstrip('/')}/news", sort_by=["NewsID"], buckets=buckets)
 
 
-def _bucket_count(spark: SparkSession, path: str) -> int:
-    """The bucket count stored beside a keyed table."""
-    return spark.read.parquet(f"{path.rstrip('/')}_buckets").first()["buckets"]
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    """Manifest files of a keyed table, oldest first (empty: no table)."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{MANIFESTS}")
+    if not fs.exists(p):
+        return []
+    return sorted(str(f.getPath()) for f in fs.listStatus(p) if f.getPath().getName().endswith(".json"))
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """State of a keyed table: ``number``, ``buckets`` (their count), ``live``
+    (bucket -> version of its rows) and ``schema``; None where there is none."""
+    files = _manifests(spark, path)
+    if not files:
+        return None
+    state = json.loads(spark.read.text(files[-1], wholetext=True).first()[0])
+    return {**state, "live": {int(b): v for b, v in state["live"].items()}}
+
+
+def commit_manifest(spark: SparkSession, path: str, state: dict) -> None:
+    """Make ``state`` the table: one rename, which fails if another writer has
+    taken the number."""
+    name = f"{path.rstrip('/')}/{MANIFESTS}/{state['number']:012d}"
+    fs, tmp = _fs(spark, f"{name}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp)
+    out.write(bytearray(json.dumps(state).encode()))
+    out.close()
+    if not fs.rename(tmp, _fs(spark, f"{name}.json")[1]):
+        fs.delete(tmp, False)
+        raise RuntimeError(f"{path}: another writer has replaced the table")
+
+
+def read_keyed(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """The rows of a keyed table (or of some buckets), as its newest manifest
+    names them."""
+    state = read_manifest(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no keyed table at {path}")
+    base = path.rstrip("/")
+    live = {b: v for b, v in state["live"].items() if buckets is None or b in buckets}
+    folders = [f"{base}/{BUCKET}={b}/{VERSION}={v}" for b, v in sorted(live.items())]
+    schema = StructType.fromJson(state["schema"])
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("basePath", base).parquet(*folders)
+            .select(*[f.name for f in schema.fields]))
 
 
 def replace_keyed(new: DataFrame, path: str, key: str = "UserID", buckets: int = 64,
@@ -66,56 +146,87 @@ def replace_keyed(new: DataFrame, path: str, key: str = "UserID", buckets: int =
     """Replace all rows of the keys in ``keys`` (those of ``new`` by default)
     by the rows of ``new``; a key in ``keys`` without new rows is emptied.
 
-    The table is partitioned by ``bucket = pmod(xxhash64(key), buckets)``; the
-    count is stored with it and must not change.  The new rows are computed
-    once, into a staging folder; only touched buckets are read and rewritten,
-    and the staging folders are removed at the end.  Nothing to replace is not
-    an error.
+    A key's rows stand in bucket ``pmod(xxhash64(key), buckets)``.  A replace
+    writes the touched buckets anew, as folders of a new version, and then
+    switches to them by one manifest file; until that file is in place readers
+    (and a later run, should this one die) see the old rows whole.  Folders
+    that neither the present nor the last manifest names are removed by the
+    next replace, so a reader of the last state is not disturbed.  Nothing to
+    replace is not an error.
     """
     spark = new.sparkSession
+    base = path.rstrip("/")
+    state = read_manifest(spark, path)
+    if state is not None and state["buckets"] != buckets:
+        raise ValueError(f"{path} has {state['buckets']} buckets, not {buckets}")
     rows = new.withColumn("timestamp", F.current_timestamp()) if stamp else new
-    rows = rows.withColumn(BUCKET, bucket_of(key, buckets))
     stages = [scratch_path(spark, f"stage-{uuid.uuid4().hex}") for _ in range(2)]
     try:
         rows.write.parquet(stages[0])
         rows = spark.read.schema(rows.schema).parquet(stages[0])
         names = (keys.select(key) if keys is not None else rows.select(key)).distinct()
-        if not exists(spark, path):
-            spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(
-                f"{path.rstrip('/')}_buckets")
-            rows.repartition(buckets, BUCKET).write.partitionBy(BUCKET).parquet(path)
-            return
-        if _bucket_count(spark, path) != buckets:
-            raise ValueError(f"{path} has {_bucket_count(spark, path)} buckets, not {buckets}")
         # one row per bucket at most
-        touched = names.select(bucket_of(key, buckets).alias(BUCKET)).distinct()
-        old = spark.read.parquet(path)
-        existing = old.join(F.broadcast(touched), BUCKET, "left_semi")
-        merged = existing.join(names, key, "left_anti").unionByName(rows, allowMissingColumns=True)
+        touched = {r[0] for r in names.select(bucket_of(key, buckets)).distinct().collect()}
+        merged = rows
+        if state is not None:
+            old = read_keyed(spark, path, sorted(touched))
+            merged = old.join(names, key, "left_anti").unionByName(rows, allowMissingColumns=True)
+        version = uuid.uuid4().hex
+        merged = merged.withColumns({BUCKET: bucket_of(key, buckets), VERSION: F.lit(version)})
         merged.write.parquet(stages[1])
         merged = spark.read.schema(merged.schema).parquet(stages[1])
-        gone = {r[0] for r in touched.collect()} - {r[0] for r in merged.select(BUCKET).distinct().collect()}
-        (merged.repartition(buckets, BUCKET).write.mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-        for b in gone:                              # all rows of the bucket went
-            remove(spark, f"{path.rstrip('/')}/{BUCKET}={b}")
+        filled = {r[0] for r in merged.select(BUCKET).distinct().collect()}
+        merged.repartition(buckets, BUCKET).write.mode("append").partitionBy(BUCKET, VERSION).parquet(base)
+        live = {b: v for b, v in (state["live"] if state else {}).items() if b not in touched}
+        schema = merged.drop(BUCKET, VERSION).schema
+        commit_manifest(spark, path, {
+            "number": state["number"] + 1 if state else 0, "buckets": buckets,
+            "live": {**live, **{b: version for b in sorted(filled)}}, "schema": schema.jsonValue()})
+        vacuum_keyed(spark, path, state)
     finally:
         for s in stages:
             remove(spark, s)
 
 
+def vacuum_keyed(spark: SparkSession, path: str, last: dict | None = None) -> None:
+    """Remove version folders that neither the present manifest nor ``last``
+    names, and older manifests."""
+    state = read_manifest(spark, path)
+    if state is None:
+        return
+    base = path.rstrip("/")
+    kept = {(b, v) for s in (state, last) if s for b, v in s["live"].items()}
+    fs, p = _fs(spark, base)
+    for folder in fs.listStatus(p):
+        name = folder.getPath().getName()
+        if name.startswith(f"{BUCKET}="):
+            for version in fs.listStatus(folder.getPath()):
+                of = version.getPath().getName().removeprefix(f"{VERSION}=")
+                if (int(name.removeprefix(f"{BUCKET}=")), of) not in kept:
+                    fs.delete(version.getPath(), True)
+    for old in _manifests(spark, path)[:-2]:
+        remove(spark, old)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this module wrote."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def cached_recommendations(spark: SparkSession, path: str, user: str) -> DataFrame:
-    """A user's stored recommendations, most probable first.  The bucket
-    predicate, with the table's own bucket count, prunes to one folder."""
-    df = spark.read.parquet(path)
-    at = bucket_of(F.lit(user), _bucket_count(spark, path))
-    return (df.filter((F.col(BUCKET) == at) & (F.col("UserID") == user))
+    """A user's stored recommendations, most probable first; reads the folder
+    of the user's bucket only."""
+    state = read_manifest(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no keyed table at {path}")
+    at = spark.range(1).select(bucket_of(F.lit(user), state["buckets"])).first()[0]
+    return (read_keyed(spark, path, [at]).filter(F.col("UserID") == user)
               .orderBy(F.col("click_probability").desc(), F.col("NewsID")))
 
 

@@ -35,7 +35,7 @@ def test_feature_train_recommend_cluster(spark, tmp_path):
 
     recs = str(tmp_path / "recs")
     J.recommend_job(spark, out, models, recs, n=5)
-    stored = spark.read.parquet(recs)
+    stored = WR.read_keyed(spark, recs)
     assert stored.groupBy("UserID").count().agg(F.max("count")).first()[0] <= 5
     user = stored.select("UserID").first()[0]
     got = WR.cached_recommendations(spark, recs, user).collect()

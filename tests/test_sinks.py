@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ def test_replace_keyed(spark, tmp_path):
     WR.replace_keyed(_recs(spark, [("U1", "N1", 0.9), ("U1", "N2", 0.8), ("U2", "N3", 0.7)]),
                      path, buckets=4)
     WR.replace_keyed(_recs(spark, [("U1", "N9", 0.5)]), path, buckets=4)
-    got = rows(spark.read.parquet(path).select("UserID", "NewsID"))
+    got = rows(WR.read_keyed(spark, path).select("UserID", "NewsID"))
     assert got == [("U1", "N9"), ("U2", "N3")]
     one = WR.cached_recommendations(spark, path, "U2")
     assert [r.NewsID for r in one.collect()] == ["N3"]
@@ -63,9 +65,78 @@ def test_replace_keyed_handles_empty_merges_and_emptied_users(spark, tmp_path):
     WR.replace_keyed(_recs(spark, [("U1", "N1", 0.9), ("U2", "N2", 0.8)]), path, buckets=16)
     none = _recs(spark, [("U1", "N1", 0.9)]).limit(0)
     WR.replace_keyed(none, path, buckets=16)
-    assert spark.read.parquet(path).count() == 2
+    assert WR.read_keyed(spark, path).count() == 2
     WR.replace_keyed(none, path, buckets=16, keys=spark.createDataFrame([("U1",)], "UserID string"))
-    assert [r.UserID for r in spark.read.parquet(path).collect()] == ["U2"]
+    assert [r.UserID for r in WR.read_keyed(spark, path).collect()] == ["U2"]
     assert WR.cached_recommendations(spark, path, "U2").count() == 1
     with pytest.raises(ValueError):
         WR.replace_keyed(none, path, buckets=8)
+
+
+def test_a_replace_that_dies_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "recs")
+    WR.replace_keyed(_recs(spark, [(f"U{i}", "N1", 0.5) for i in range(40)]), path, buckets=4)
+    before = rows(WR.read_keyed(spark, path))
+    new = _recs(spark, [(f"U{i}", "N2", 0.9) for i in range(30)])
+
+    # the write of the new folders dies half way
+    real = WR.bucket_of
+    calls = []
+
+    def half(key, buckets):
+        calls.append(1)
+        b = real(key, buckets)
+        return F.when(b < 2, b).otherwise(F.raise_error(F.lit("disk gone")).cast("int")) if len(calls) == 2 else b
+    monkeypatch.setattr(WR, "bucket_of", half)
+    with pytest.raises(Exception, match="disk gone"):
+        WR.replace_keyed(new, path, buckets=4)
+    monkeypatch.setattr(WR, "bucket_of", real)
+    assert rows(WR.read_keyed(spark, path)) == before
+
+    # all folders are written, but the switch dies
+    def dies(*_):
+        raise OSError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(WR, "commit_manifest", dies)
+        with pytest.raises(OSError):
+            WR.replace_keyed(new, path, buckets=4)
+    assert rows(WR.read_keyed(spark, path)) == before
+    assert WR.cached_recommendations(spark, path, "U3").first().NewsID == "N1"
+
+    # the next replace works and what the dead ones left goes
+    WR.replace_keyed(new, path, buckets=4)
+    got = {r.UserID: r.NewsID for r in WR.read_keyed(spark, path).collect()}
+    assert got == {f"U{i}": "N2" if i < 30 else "N1" for i in range(40)}
+    WR.replace_keyed(new, path, buckets=4)
+    folders = [f for b in (tmp_path / "recs").glob("bucket=*") for f in b.glob("version=*")]
+    assert len(folders) <= 8 and len(list((tmp_path / "recs" / "_manifests").glob("*.json"))) == 2
+
+
+def test_two_writers_of_one_state_do_not_both_win(spark, tmp_path):
+    path = str(tmp_path / "recs")
+    WR.replace_keyed(_recs(spark, [("U1", "N1", 0.5)]), path, buckets=2)
+    state = WR.read_manifest(spark, path)
+    with pytest.raises(Exception):
+        WR.commit_manifest(spark, path, state)          # the number is taken
+    assert WR.read_keyed(spark, path).count() == 1
+
+
+def test_lookups_by_either_key_skip_row_groups(spark, tmp_path):
+    """Row groups whose statistics admit a key, from the files' own footers."""
+    import pyarrow.parquet as pq
+    rng = random.Random(2)
+    data = [(f"U{rng.randrange(900):03d}", f"N{rng.randrange(700):03d}", i) for i in range(60000)]
+    df = spark.createDataFrame(data, "UserID string, NewsID string, v long")
+    path = str(tmp_path / "z")
+    WR.write_zordered(df, path, ["UserID", "NewsID"], files=64)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == sorted(data)
+    groups = []
+    for f in (tmp_path / "z").glob("*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            stats = [meta.row_group(g).column(c).statistics for c in (0, 1)]
+            groups.append([(s.min, s.max) for s in stats])
+    assert len(groups) >= 32
+    for column, keys in ((0, [f"U{i:03d}" for i in range(0, 900, 37)]), (1, [f"N{i:03d}" for i in range(0, 700, 37)])):
+        read = [sum(lo <= k <= hi for lo, hi in (g[column] for g in groups)) for k in keys]
+        assert max(read) <= len(groups) / 2 and sum(read) / len(read) <= len(groups) / 4
