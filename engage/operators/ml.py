@@ -182,11 +182,12 @@ def build_pipeline(stats, estimator) -> Pipeline:
     return Pipeline(stages=[scaler_stage(stats), assembler, estimator])
 
 
-def prepare(ds: DataFrame, balance: str | None = "smote", seed: int = SPLIT_SEED):
+def prepare(ds: DataFrame, balance: str | None = "smote", seed: int = SPLIT_SEED,
+            key_cols: list[str] | None = None):
     """Split, fit the scaler on train and balance the training side.
 
     Returns (train, test, stats); ``train`` may carry ``weight``."""
-    train, test = stratified_split(ds, seed)
+    train, test = stratified_split(ds, seed, key_cols)
     train, test = assemble_rows(train, [ROW_KEY]), assemble_rows(test, [ROW_KEY])
     stats = fit_scaler(train)
     if balance == "weight":
@@ -214,6 +215,17 @@ def stable_layout(df: DataFrame, n: int | None = None) -> DataFrame:
     return df.repartition(n, spread).sortWithinPartitions(spread, *cols)
 
 
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without its training summary.  A fresh logistic regression
+    keeps a summary that holds the session, and a session that has ever
+    observed a DataFrame cannot be serialised into a scoring task."""
+    spark = SparkSession.getActiveSession()
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(spark._jvm.scala.Option.apply(None))
+    return model
+
+
 def train_models(train: DataFrame, stats, profile: str = "batch",
                  names: list[str] | None = None, parallelism: int = 1) -> dict[str, PipelineModel]:
     """Fit the selected models (default: all three) on ``train``.
@@ -233,7 +245,7 @@ def train_models(train: DataFrame, stats, profile: str = "batch",
 
         def fit(name):
             est = _estimator(name, PROFILES[profile][name], n, weighted)
-            return name, build_pipeline(stats, est).fit(train)
+            return name, without_summary(build_pipeline(stats, est).fit(train))
 
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(todo)))) as pool:
             out = dict(pool.map(fit, todo))

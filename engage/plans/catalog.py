@@ -114,8 +114,8 @@ def _run_dir(s, what):
 
 def _tsv_news(s, d):
     path = _run_dir(s, "news-tsv")
-    WR.write_tsv(FX.news(s, d), path)
-    return RD.read_news(s, path)
+    WR.write_tsv(FX.news(s, d), path, escaped=True)
+    return RD.read_news(s, path, escaped=True)
 
 
 def _tsv_behaviors(s, d):
@@ -130,6 +130,41 @@ def _serving(s, d):
     return base
 
 
+def _stored_news(s, d):
+    path = _run_dir(s, "news")
+    WR.write_table(news_clean(s, d), path, sort_by=["NewsID"])
+    return RD.read_table(s, path)
+
+
+# ---- entry points for one user, and the brands as a small catalogue
+def _most_active(s, d) -> str:
+    return AN.active_users(featured(s, d), 1).first()["UserID"]
+
+
+def _recommend_rule(s, d):
+    return RC.recommend_top_n(_pos(s, d), news_clean(s, d), ML.rule_order(), 10)
+
+
+def _cached_recommendations(s, d):
+    """Stored, replaced for one user, and read for that user."""
+    path, user, recs = _run_dir(s, "recommendations"), _most_active(s, d), _recommend_rule(s, d)
+    WR.replace_keyed(recs, path)
+    WR.replace_keyed(WR.read_keyed(s, path).filter(F.col("UserID") == user).drop("timestamp"), path)
+    return WR.cached_recommendations(s, path, user).drop("timestamp")
+
+
+def _brand_rows(s, d):
+    brands = _brands(s, d).select(F.col("NewsID").alias("SubCategory"))
+    return _pos(s, d).join(brands, "SubCategory", "left_semi").withColumn("NewsID", F.col("SubCategory"))
+
+
+def _brands(s, d):
+    """Every brand of the news table as an article (26 rows at most)."""
+    brand = FX.news(s, d).filter("SubCategory is not null").select(F.col("SubCategory").alias("NewsID")).distinct()
+    return brand.select("NewsID", F.col("NewsID").alias("Category"), F.col("NewsID").alias("Title"),
+                        F.lit(1).alias("TitleWordCount"))
+
+
 QUERIES: dict[str, Query] = {
     # ---- parse and features
     "parse_impressions": lambda s, d: interactions(s, d),
@@ -150,6 +185,8 @@ QUERIES: dict[str, Query] = {
         interactions(s, d, strict=True), FX.news(s, d)),
     "catalogue_semi_join": lambda s, d: catalogue_semi_join(interactions(s, d), FX.news(s, d)),
     "catalogue_duplicates": lambda s, d: FE.catalogue_duplicates(FX.news(s, d)),
+    "category_copies": lambda s, d: FE.catalogue_duplicates(
+        FX.news(s, d).withColumn("NewsID", F.col("Category"))),
     # ---- analytics
     "overall_ctr": lambda s, d: AN.overall_ctr(interactions(s, d)),
     "platform_stats": _ds(AN.platform_stats),
@@ -180,10 +217,16 @@ QUERIES: dict[str, Query] = {
     "latest_user_rows": lambda s, d: RC.latest_user_rows(_pos(s, d)),
     "popular_articles": lambda s, d: RC.popular_articles(featured(s, d), news_clean(s, d), 10),
     "cold_start": lambda s, d: RC.cold_start(
-        FX.customers_as_users(s, d), featured(s, d), news_clean(s, d), 10),
+        FX.requested_users(s, d), featured(s, d), news_clean(s, d), 10),
     "exhausted_users": lambda s, d: RC.exhausted_users(featured(s, d), news_clean(s, d)),
-    "recommend_rule": lambda s, d: RC.recommend_top_n(
-        _pos(s, d), news_clean(s, d), ML.rule_order(), 10),
+    "exhausted_brands": lambda s, d: RC.exhausted_users(_brand_rows(s, d), _brands(s, d)),
+    "unseen_brands": lambda s, d: RC.unseen_ranges(_brand_rows(s, d), RC.ranked_catalogue(_brands(s, d))),
+    "recommend_rule": _recommend_rule,
+    "cached_recommendations": _cached_recommendations,
+    "display_recommendations": lambda s, d: AN.display_titles(_recommend_rule(s, d)).select(
+        "UserID", "NewsID", "short_title", "card_title", "category_tag", "progress"),
+    "one_user_profile": lambda s, d: AN.user_profile(featured(s, d), _most_active(s, d)),
+    "one_user_mode": lambda s, d: AN.user_profile_mode(featured(s, d), _most_active(s, d)),
     # ---- ML data steps and metrics
     "split_counts": lambda s, d: ML.split_counts(_pos(s, d)),
     "scaler_fit": lambda s, d: ML.scaler_frame(_train_side(s, d)),
@@ -198,7 +241,7 @@ QUERIES: dict[str, Query] = {
     "tsv_news": _tsv_news,
     "tsv_behaviors": _tsv_behaviors,
     "stored_interactions": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/interactions"),
-    "stored_news": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/news"),
+    "stored_news": _stored_news,
 }
 
 # ---- model training, recommendation with a model, clustering (rows-only check)

@@ -9,7 +9,8 @@
                                           --checkpoint CKPT
 
 Each job is one Spark application: scan -> transform -> write, one action
-per output.  Row counts are read off the persisted tables.
+per output.  Row counts are observed during the writes.  ``--news`` and
+``--behaviors`` take several candidate paths; the first that exists is read.
 """
 
 from __future__ import annotations
@@ -18,36 +19,59 @@ import argparse
 import json
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from engage.operators import cluster as CL
 from engage.operators import features as FE
 from engage.operators import ml as ML
 from engage.operators import recommend as RC
 from engage.operators.interactions import parse_impressions
-from engage.schemas import STORED_COLS
+from engage.schemas import STORED_COLS, STORED_SCHEMA
 from engage.sinks import writers as WR
 from engage.sources import readers as RD
 from engage.streaming import events as ST
 
 
+def _alternatives(paths) -> list:
+    """Candidate sources in order: each element of ``paths`` is one source (a
+    path or a list of paths read together); the first that exists is used."""
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def stored_dataset(spark: SparkSession, data: str) -> DataFrame:
+    """The rows to train and cluster on: the featured dataset, else the stored
+    interactions, else their CSV export."""
+    base = data.rstrip("/")
+    return RD.first_available([
+        lambda: RD.read_table(spark, f"{base}/featured_dataset"),
+        lambda: RD.read_table(spark, f"{base}/serving/interactions"),
+        lambda: RD.read_csv(spark, f"{base}/interactions_csv", STORED_SCHEMA)])
+
+
+def split_keys(ds: DataFrame) -> list[str] | None:
+    """The columns that identify a row of a stored dataset: the usual ones, or
+    all 14 of the stored layout, which has neither impression nor time."""
+    return None if all(c in ds.columns for c in ML.KEY_COLS) else STORED_COLS
+
+
 def feature_job(spark: SparkSession, news_paths, behavior_paths, out: str,
                 ties: str = "all", limit: int | None = None) -> dict:
     """TSV logs -> interactions -> featured rows + catalogue (Parquet), and
     the serving tables (projection clustered by user, catalogue by id)."""
-    news = RD.read_news(spark, news_paths, limit)
-    beh = RD.read_behaviors(spark, behavior_paths, limit)
-    inter = parse_impressions(beh, with_position=True).persist(StorageLevel.MEMORY_AND_DISK)
+    news = RD.first_available([lambda p=p: RD.read_news(spark, p, limit) for p in _alternatives(news_paths)])
+    beh = RD.first_available([lambda p=p: RD.read_behaviors(spark, p, limit) for p in _alternatives(behavior_paths)])
+    # both counts are observed while the rows pass, without jobs of their own
+    parsed, featured = Observation(), Observation()
+    n = F.count(F.lit(1)).alias("n")
+    inter = parse_impressions(beh, with_position=True).observe(parsed, n).persist(StorageLevel.MEMORY_AND_DISK)
     ds = FE.featured_dataset(inter, news, ties=ties).persist(StorageLevel.MEMORY_AND_DISK)
     nc = FE.news_clean(news)
     base = out.rstrip("/")
-    # the row counts come from the persisted rows (no recomputation); an
-    # ``Observation`` on the writes made a later ``checkpoint`` in the same
-    # session fail to serialise its task on Spark 4.1.2, so it is not used.
-    n = ds.count()
-    WR.save_featured(ds, nc, base)
+    WR.save_featured(ds.observe(featured, n), nc, base)
     WR.save_interactions(ds.select(*STORED_COLS), nc, f"{base}/serving")
-    stats = {"featured_rows": n, "stored_rows": n, "interactions": inter.count()}
+    rows = featured.get["n"]
+    stats = {"featured_rows": rows, "stored_rows": rows, "interactions": parsed.get["n"]}
     ds.unpersist()
     inter.unpersist()
     return stats
@@ -56,8 +80,8 @@ def feature_job(spark: SparkSession, news_paths, behavior_paths, out: str,
 def train_job(spark: SparkSession, data: str, models: str, profile: str = "batch",
               balance: str | None = "smote") -> DataFrame:
     """Train the three models, save the best one, store and return metrics."""
-    ds = RD.read_table(spark, f"{data.rstrip('/')}/featured_dataset")
-    train, test, stats = ML.prepare(ds, balance)
+    ds = stored_dataset(spark, data)
+    train, test, stats = ML.prepare(ds, balance, key_cols=split_keys(ds))
     fitted = ML.train_models(train, stats, profile)
     metrics = ML.evaluate(fitted, test)
     name = ML.best_model(metrics).first()["model"]
@@ -78,17 +102,22 @@ def recommend_job(spark: SparkSession, data: str, models: str, recs: str, n: int
 
 
 def cluster_job(spark: SparkSession, data: str, out: str, level: str = "row") -> None:
-    ds = RD.read_table(spark, f"{data.rstrip('/')}/featured_dataset")
+    ds = stored_dataset(spark, data)
     clustered, _ = CL.cluster(ds, level=level)
     WR.write_csv(clustered, out)
 
 
 def stream_job(spark: SparkSession, source: str, options: dict, sink: str,
                checkpoint: str, path: str | None = None, source_path: str | None = None,
-               trigger: dict | None = None):
-    """Message stream -> parsed click events -> sink (append)."""
+               trigger: dict | None = None, parse: bool = True):
+    """Message stream -> parsed click events (or, ``parse=False``, the plain
+    message text) -> sink.  ``sink="once"`` appends Parquet batches exactly
+    once, also over restarts; other sinks are Spark's own in append mode."""
     df = ST.read_event_stream(spark, source, options, path=source_path)
-    return ST.write_stream(ST.parse_events(df), sink, checkpoint, path=path, trigger=trigger)
+    rows = ST.parse_events(df) if parse else ST.message_text(df)
+    if sink == "once":
+        return ST.append_once(rows, path, checkpoint, trigger)
+    return ST.write_stream(rows, sink, checkpoint, path=path, trigger=trigger)
 
 
 def main(argv=None) -> None:
@@ -111,6 +140,7 @@ def main(argv=None) -> None:
     r.add_argument("--models", required=True)
     r.add_argument("--recs", required=True)
     r.add_argument("--top-n", type=int, default=10)
+    r.add_argument("--users", help="text file with one requested user id a line")
     c = sub.add_parser("cluster")
     c.add_argument("--data", required=True)
     c.add_argument("--out", required=True)
@@ -122,11 +152,16 @@ def main(argv=None) -> None:
     s.add_argument("--sink", default="console")
     s.add_argument("--path")
     s.add_argument("--checkpoint", required=True)
+    s.add_argument("--raw", action="store_true", help="keep the message text as it is")
+    for job in (f, t, r, c, s):
+        job.add_argument("--checkpoint-dir", help="folder that all executors share (spark.checkpoint.dir)")
     a = ap.parse_args(argv)
 
     b = SparkSession.builder.appName(f"engage-{a.job}")
     for k, v in CLUSTER_CONF.items():
         b = b.config(k, v)
+    if a.checkpoint_dir:
+        b = b.config("spark.checkpoint.dir", a.checkpoint_dir)
     spark = b.getOrCreate()
     if a.job == "features":
         print(json.dumps(feature_job(spark, a.news, a.behaviors, a.out, a.ties)))
@@ -134,13 +169,14 @@ def main(argv=None) -> None:
         train_job(spark, a.data, a.models, a.profile,
                   None if a.balance == "none" else a.balance).show(truncate=False)
     elif a.job == "recommend":
-        recommend_job(spark, a.data, a.models, a.recs, a.top_n)
+        users = spark.read.text(a.users).select(F.col("value").alias("UserID")) if a.users else None
+        recommend_job(spark, a.data, a.models, a.recs, a.top_n, users)
     elif a.job == "cluster":
         cluster_job(spark, a.data, a.out, a.level)
     elif a.job == "stream":
         opts = dict(o.split("=", 1) for o in a.option)
         stream_job(spark, a.source, opts, a.sink, a.checkpoint, a.path,
-                   a.source_path).awaitTermination()
+                   a.source_path, parse=not a.raw).awaitTermination()
 
 
 if __name__ == "__main__":

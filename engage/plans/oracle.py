@@ -14,10 +14,11 @@ NEWS = """
 news AS (
   SELECT 'N' || CAST(p.p_partkey AS VARCHAR) AS NewsID, p.p_type AS Category,
          p.p_brand AS SubCategory,
-         split_part(d.text, chr(10), 1) AS Title
+         split_part(d.text, chr(10), 1) AS Title,
+         CASE WHEN strpos(d.text, chr(10)) > 0 THEN substr(d.text, strpos(d.text, chr(10)) + 1) END AS Abstract
   FROM part p LEFT JOIN documents d ON d.doc_id = p.p_partkey
   UNION ALL
-  SELECT 'S' || CAST(s_suppkey AS VARCHAR), NULL, NULL, NULL FROM supplier
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR), NULL, NULL, NULL, NULL FROM supplier
 )"""
 
 BEHAVIORS = """
@@ -425,7 +426,8 @@ GROUP BY UserID, exhausted, pos - r"""),
     "popular_articles": _q(FEATURED + (POP,), "SELECT * FROM pop"),
     "cold_start": _q(FEATURED + (POP,), """
 SELECT u.UserID, p.NewsID, p.Title, p.Category, p.click_probability, p.rank
-FROM (SELECT DISTINCT 'U' || CAST(c_custkey AS VARCHAR) AS UserID FROM customer) u
+FROM (SELECT DISTINCT 'U' || CAST(c_custkey AS VARCHAR) AS UserID FROM customer
+      UNION ALL SELECT DISTINCT 'V' || CAST(s_suppkey AS VARCHAR) FROM supplier) u
 CROSS JOIN pop p
 WHERE u.UserID NOT IN (SELECT UserID FROM ds)"""),
     "exhausted_users": _q(FEATURED, """
@@ -483,7 +485,7 @@ SQL.update({
 
 SQL.update({
     "tsv_news": _q((NEWS,), """
-SELECT NewsID, Category, SubCategory, Title, CAST(NULL AS VARCHAR) AS Abstract,
+SELECT NewsID, Category, SubCategory, Title, Abstract,
        CAST(NULL AS VARCHAR) AS URL, CAST(NULL AS VARCHAR) AS TitleEnt,
        CAST(NULL AS VARCHAR) AS AbsEnt
 FROM news"""),
@@ -562,9 +564,38 @@ SQL["catalogue_duplicates"] = _q((NEWS,), """
 SELECT NewsID, count(*) AS copies FROM news GROUP BY NewsID HAVING count(*) > 1""")
 
 
-SQL["recommend_rule"] = _q(FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEATURES), """
-SELECT UserID, NewsID, Title, Category, round_even(p, 4) AS click_probability,
-       CAST(rank AS INTEGER) AS rank
-FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY p DESC, pos) AS rank
-      FROM (SELECT *, (article_ctr + user_ctr + top_category_affinity) / 3.0 AS p FROM cf))
-WHERE rank <= 10""")
+RECOMMENDED = FEATURED_POS + (CAT, CANDS, LATEST, AMEANS, CAND_FEATURES, """
+recs AS (
+  SELECT UserID, NewsID, Title, Category, round_even(p, 4) AS click_probability, CAST(rank AS INTEGER) AS rank
+  FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY p DESC, pos) AS rank
+        FROM (SELECT *, (article_ctr + user_ctr + top_category_affinity) / 3.0 AS p FROM cf))
+  WHERE rank <= 10
+)""")
+MOST_ACTIVE = "(SELECT UserID FROM ds GROUP BY UserID ORDER BY count(*) DESC, UserID LIMIT 1)"
+SQL["recommend_rule"] = _q(RECOMMENDED, "SELECT * FROM recs")
+SQL["cached_recommendations"] = _q(RECOMMENDED, f"SELECT * FROM recs WHERE UserID = {MOST_ACTIVE}")
+SQL["display_recommendations"] = _q(RECOMMENDED, """
+SELECT UserID, NewsID, substring(Title, 1, 40) || '...' AS short_title, substring(Title, 1, 80) AS card_title,
+       upper(Category) AS category_tag, least(click_probability, 1.0) AS progress FROM recs""")
+for _one, _all in (("one_user_profile", "user_profile"), ("one_user_mode", "user_profile_mode")):
+    _body = SQL[_all].removeprefix(_q(FEATURED, ""))
+    SQL[_one] = _q(FEATURED, f"SELECT * FROM ({_body}) WHERE UserID = {MOST_ACTIVE}")
+SQL["category_copies"] = _q((NEWS,), """
+SELECT Category AS NewsID, count(*) AS copies FROM news GROUP BY Category HAVING count(*) > 1""")
+BRANDS = ("""
+brands AS (SELECT DISTINCT SubCategory AS NewsID FROM news WHERE SubCategory IS NOT NULL)""", """
+brand_seen AS (SELECT DISTINCT UserID, SubCategory AS NewsID FROM ds WHERE SubCategory IN (SELECT NewsID FROM brands))""")
+SQL["exhausted_brands"] = _q(FEATURED + BRANDS, """
+SELECT UserID, count(*) AS seen_articles FROM brand_seen GROUP BY UserID
+HAVING count(*) >= (SELECT count(*) FROM brands)""")
+SQL["unseen_brands"] = _q(FEATURED + BRANDS, """
+SELECT UserID, exhausted, min(pos) AS first_pos, max(pos) AS last_pos, min(r) - 1 AS before
+FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY pos) AS r FROM (
+        SELECT u.UserID, b.pos, x.UserID IS NOT NULL AS exhausted
+        FROM (SELECT DISTINCT UserID FROM brand_seen) u
+        CROSS JOIN (SELECT NewsID, row_number() OVER (ORDER BY NewsID) AS pos FROM brands) b
+        LEFT JOIN (SELECT UserID FROM brand_seen GROUP BY UserID
+                   HAVING count(*) = (SELECT count(*) FROM brands)) x ON x.UserID = u.UserID
+        WHERE x.UserID IS NOT NULL OR NOT EXISTS (
+          SELECT 1 FROM brand_seen s WHERE s.UserID = u.UserID AND s.NewsID = b.NewsID)))
+GROUP BY UserID, exhausted, pos - r""")

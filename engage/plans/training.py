@@ -77,7 +77,7 @@ def recommend(spark, d):
 def recommend_requested(spark, d):
     ds = featured_pos(spark, d)
     return RC.recommend_top_n(ds, news_clean(spark, d), _best_model(spark, d), 10,
-                              users=FX.customers_as_users(spark, d))
+                              users=FX.requested_users(spark, d))
 
 
 def cluster_rows(spark, d):

@@ -15,8 +15,9 @@ import uuid
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
+from engage.schemas import EMPTY, ESCAPES
 from engage.session import scratch_path, staged
 
 BUCKET, VERSION = "bucket", "version"
@@ -246,9 +247,21 @@ def write_csv(df: DataFrame, path: str) -> None:
     flat_columns(df).write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated, no header (the log layout read by ``read_tsv``)."""
-    (df.write.mode("overwrite").option("sep", "\t").option("header", "false")
+def write_tsv(df: DataFrame, path: str, escaped: bool = False) -> None:
+    """Tab-separated, no header (the log layout read by ``read_tsv``).  With
+    ``escaped`` line feeds, carriage returns, tabs and backslashes in texts are
+    written as ``\\n``, ``\\r``, ``\\t`` and ``\\\\`` and an empty text as ``\\e``, so that each row stays one
+    line and whole texts come back (``read_tsv(..., escaped=True)``)."""
+    if escaped:
+        for f in df.schema.fields:
+            if isinstance(f.dataType, StringType):
+                c = F.col(f.name)
+                for plain, code in ESCAPES:
+                    c = F.replace(c, F.lit(plain), F.lit(code))
+                c = F.when(F.col(f.name) == "", EMPTY).otherwise(c)
+                df = df.withColumn(f.name, c)
+    w = df.write.option("escape", '"') if escaped else df.write
+    (w.mode("overwrite").option("sep", "\t").option("header", "false")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
        .csv(path))
 

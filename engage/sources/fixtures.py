@@ -28,15 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def news_from_tables(part: DataFrame, documents: DataFrame, supplier: DataFrame) -> DataFrame:
     """News catalogue in the 8-column news layout: every part, with the first
-    line of its document as title, and every supplier's page, which has neither
-    category nor title."""
+    line of its document as title and all other lines as abstract, and every
+    supplier's page, which has neither category nor texts."""
     null = F.lit(None).cast("string")
-    texts = documents.select("doc_id", F.substring_index(F.col("text"), "\n", 1).alias("Title"))
+    texts = documents.select("doc_id", F.substring_index(F.col("text"), "\n", 1).alias("Title"),
+                             F.expr(r"CASE WHEN instr(text, '\n') > 0 THEN substring(text, instr(text, '\n') + 1) END")
+                              .alias("Abstract"))
     joined = part.join(texts, part.p_partkey == texts.doc_id, "left")
     articles = joined.select(
         F.concat(F.lit("N"), F.col("p_partkey").cast("string")).alias("NewsID"),
         F.col("p_type").alias("Category"), F.col("p_brand").alias("SubCategory"), "Title",
-        null.alias("Abstract"), null.alias("URL"), null.alias("TitleEnt"), null.alias("AbsEnt"))
+        "Abstract", null.alias("URL"), null.alias("TitleEnt"), null.alias("AbsEnt"))
     pages = supplier.select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("NewsID"),
         *[null.alias(c) for c in articles.columns[1:]])
@@ -106,7 +108,10 @@ def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_values_from_tables(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
 
 
-def customers_as_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customer ids as requested users (some never ordered: cold start)."""
-    return table(spark, sf_dir, "customer").select(
+def requested_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customer ids as requested users, and a visitor for every supplier,
+    whom no log knows (cold start)."""
+    customers = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("UserID"))
+    return customers.unionByName(table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("V"), F.col("s_suppkey").cast("string")).alias("UserID")))

@@ -11,25 +11,39 @@ from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from engage.schemas import BEH_SCHEMA, NEWS_SCHEMA
+from engage.schemas import BEH_SCHEMA, EMPTY, ESCAPES, NEWS_SCHEMA
 
 
 def read_tsv(spark: SparkSession, paths, schema: StructType, limit: int | None = None,
-             quote: str = '"') -> DataFrame:
+             quote: str = '"', escaped: bool = False) -> DataFrame:
     """Tab-separated, no header, fixed schema.  The default quote character
     is kept (a field that begins with ``"`` may then span tabs); pass
-    ``quote=""`` to read quotes literally."""
-    df = (spark.read.schema(schema).option("sep", "\t").option("header", "false")
-               .option("quote", quote if quote else "\u0000").csv(paths))
+    ``quote=""`` to read quotes literally.  ``escaped`` reads what
+    ``write_tsv(..., escaped=True)`` wrote."""
+    r = (spark.read.schema(schema).option("sep", "\t").option("header", "false")
+              .option("quote", quote if quote else "\u0000"))
+    df = (r.option("escape", '"') if escaped else r).csv(paths)
+    if escaped:
+        def plain(part):
+            for char, code in ESCAPES[1:]:
+                part = F.replace(part, F.lit(code), F.lit(char))
+            return part
+        def whole(name):
+            text = F.array_join(F.transform(F.split(name, r"\\\\"), plain), "\\")
+            return F.when(F.col(name) == EMPTY, "").otherwise(text).alias(name)
+        # a double backslash is cut out first, so that no code starts inside one
+        df = df.select(*[whole(f.name) if isinstance(f.dataType, StringType) else f.name for f in schema.fields])
     return df.limit(limit) if limit is not None else df
 
 
-def read_news(spark: SparkSession, paths, limit: int | None = None, quote: str = '"') -> DataFrame:
+def read_news(spark: SparkSession, paths, limit: int | None = None, quote: str = '"',
+              escaped: bool = False) -> DataFrame:
     """News catalogue: NewsID, Category, SubCategory, Title, Abstract, URL,
     TitleEnt, AbsEnt (all nullable strings)."""
-    return read_tsv(spark, paths, NEWS_SCHEMA, limit, quote)
+    return read_tsv(spark, paths, NEWS_SCHEMA, limit, quote, escaped)
 
 
 def read_behaviors(spark: SparkSession, paths, limit: int | None = None,

@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from engage.schemas import EVENT_SCHEMA
 
+BATCH = "batch"
 VALUE_SCHEMA = StructType([StructField("value", StringType(), True)])
 
 
@@ -78,11 +79,43 @@ def write_stream(df: DataFrame, fmt: str, checkpoint: str, path: str | None = No
     return w.start(path) if path is not None else w.start()
 
 
-def stream_table_events(spark: SparkSession, sf_dir: str, out_dir: str,
-                        fmt: str = "parquet") -> DataFrame:
+def _write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+
+def append_once(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                query_name: str | None = None) -> StreamingQuery:
+    """Append every micro-batch exactly once: a batch is one folder, keyed by
+    its id, and a batch that is run again after a crash (its rows are fixed by
+    the checkpoint's offset log) overwrites its own folder.  Read it with
+    ``read_batches``.  For output formats without a transactional file sink
+    the same key makes any keyed write idempotent."""
+    base = path.rstrip("/")
+    w = (df.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, batch_id, base))
+           .option("checkpointLocation", checkpoint))
+    if query_name:
+        w = w.queryName(query_name)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of all whole batches (those with Spark's success mark) that
+    ``append_once`` has written; ``schema`` is that of the rows (default:
+    parsed events)."""
+    base = path.rstrip("/")
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{BATCH}=*/_SUCCESS")
+    marks = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    schema = schema or EVENT_SCHEMA
+    folders = sorted(str(m.getPath().getParent()) for m in marks)
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def stream_table_events(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFrame:
     """End-to-end stream over the ``events`` table: a file-source stream of
     event rows is turned into JSON messages (stream-static join with the
-    part table for the category), parsed back, and appended to ``out_dir``
+    part table for the category), parsed back, and appended once to ``out_dir``
     with ``availableNow`` (every file present is processed, then the query
     stops).  Returns the batch read of the sink."""
     from engage.sources import fixtures as FX
@@ -93,7 +126,6 @@ def stream_table_events(spark: SparkSession, sf_dir: str, out_dir: str,
                 .parquet(base))
     msgs = FX.event_values_from_tables(src, FX.table(spark, base, "part"))
     run = f"{out_dir.rstrip('/')}/{uuid.uuid4().hex}"
-    q = write_stream(parse_events(msgs), fmt, checkpoint=f"{run}/_checkpoint",
-                     path=f"{run}/data", trigger={"availableNow": True})
+    q = append_once(parse_events(msgs), f"{run}/data", f"{run}/_checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
-    return spark.read.format(fmt).load(f"{run}/data")
+    return read_batches(spark, f"{run}/data")

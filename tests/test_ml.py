@@ -179,3 +179,17 @@ def test_smote_tiny_minority_spreads_and_repeats(spark, monkeypatch):
     assert all(lo[j] <= got[j] and got[len(cols) + j] <= hi[j] for j in range(len(cols)))
     again = OS.smote(rows, stats, block_size=64).filter(F.col("_k").startswith("smote-"))
     assert synth.exceptAll(again).count() == 0 and again.exceptAll(synth).count() == 0
+
+
+def test_a_fresh_model_scores_in_a_session_that_has_observed(spark):
+    """The minimal case of a failure: after any observation a just fitted
+    logistic regression could not be sent to a task."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 5}
+    ds = featured(spark, SF_SMALL, with_position=True)
+    train, test, stats = ML.prepare(ds, None)
+    model = ML.train_models(train, stats, names=["Logistic Regression"])["Logistic Regression"]
+    assert not model.stages[-1].hasSummary
+    assert ML.model_metrics(ML.score(model, test)).first().auc > 0.5

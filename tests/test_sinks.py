@@ -42,6 +42,17 @@ def test_tsv_quote_option(spark, tmp_path):
     assert literal.Title == '"quoted'
 
 
+def test_escaped_tsv_brings_whole_texts_back(spark, tmp_path):
+    texts = ["plain", "", None, "two\nlines\n", "\r\n\ttab", "back\\slash \\n not a feed", '"quoted" "', "\\", "\\\\n\n",
+             " spaced ", '\\"', "ünï 日本 😀"]
+    data = [(f"N{i}", None, t, t, t, None, None, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(data, RD.NEWS_SCHEMA)
+    WR.write_tsv(df, str(tmp_path / "n"), escaped=True)
+    assert rows(RD.read_news(spark, str(tmp_path / "n"), escaped=True)) == rows(df)
+    assert spark.read.text(str(tmp_path / "n")).count() == len(texts)
+    assert RD.read_news(spark, str(tmp_path / "n"), limit=3).count() == 3
+
+
 def test_first_available(spark, tmp_path):
     good = str(tmp_path / "t")
     spark.range(3).write.parquet(good)
