@@ -215,11 +215,10 @@ def stable_layout(df: DataFrame, n: int | None = None) -> DataFrame:
     return df.repartition(n, spread).sortWithinPartitions(spread, *cols)
 
 
-def without_summary(model: PipelineModel) -> PipelineModel:
+def without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
     """The model without its training summary.  A fresh logistic regression
     keeps a summary that holds the session, and a session that has ever
     observed a DataFrame cannot be serialised into a scoring task."""
-    spark = SparkSession.getActiveSession()
     for stage in model.stages:
         if getattr(stage, "hasSummary", False):
             stage._java_obj.setSummary(spark._jvm.scala.Option.apply(None))
@@ -245,7 +244,7 @@ def train_models(train: DataFrame, stats, profile: str = "batch",
 
         def fit(name):
             est = _estimator(name, PROFILES[profile][name], n, weighted)
-            return name, without_summary(build_pipeline(stats, est).fit(train))
+            return name, without_summary(build_pipeline(stats, est).fit(train), train.sparkSession)
 
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(todo)))) as pool:
             out = dict(pool.map(fit, todo))
