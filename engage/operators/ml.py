@@ -350,8 +350,26 @@ def rule_score(ds: DataFrame) -> DataFrame:
     """A fixed, model-free click score for checking the metric code: the mean
     of the article's rate, the user's rate and the user's category affinity,
     a click from 0.4 on."""
-    p = (F.col("article_ctr") + F.col("user_ctr") + F.col("top_category_affinity")) / 3.0
-    return ds.withColumn("p", p).withColumn("pred", (F.col("p") > 0.4).cast("int"))
+    return ds.withColumn("p", RULES["Mean Rule"]()).withColumn("pred", (F.col("p") > 0.4).cast("int"))
+
+
+# Fixed, model-free scores by name: the metric and selection code can be
+# checked on them against any SQL engine.
+RULES = {
+    "Mean Rule": lambda: (F.col("article_ctr") + F.col("user_ctr") + F.col("top_category_affinity")) / 3.0,
+    "Article Rule": lambda: F.col("article_ctr"),
+    "User Rule": lambda: F.col("user_ctr"),
+}
+
+
+def rule_metrics(test: DataFrame) -> DataFrame:
+    """One metrics row per rule, in the layout of ``evaluate``."""
+    out = None
+    for i, (name, p) in enumerate(RULES.items()):
+        scored = test.withColumn("p", p()).withColumn("pred", (F.col("p") > 0.4).cast("int"))
+        row = model_metrics(scored).select(F.lit(name).alias("model"), F.lit(i).alias("position"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def rule_order() -> LinearOrder:

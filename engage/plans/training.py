@@ -9,7 +9,7 @@ no data does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from engage.operators import cluster as CL
@@ -119,3 +119,51 @@ def train_weighted(spark, d):
 
 QUERIES["smote_balance"] = smote_balance
 QUERIES["train_weighted"] = train_weighted
+
+
+# ---- properties that any right model must have, comparable with SQL
+def model_properties(spark, d):
+    """Per model: better than chance, measures within [0, 1], and whether the
+    selection takes the highest AUC."""
+    metrics = fitted(spark, d)[1]
+    top = metrics.agg(F.max("auc").alias("top"))
+    measures = ["accuracy", "auc", "f1", "precision", "recall"]
+    best_auc = ML.best_model(metrics).select("auc").scalar()
+    return metrics.select("model", "position", (F.col("auc") > 0.5).alias("beats_chance"),
+                          F.array_min(F.array(*measures)).between(0, 1).alias("low_in_range"),
+                          F.array_max(F.array(*measures)).between(0, 1).alias("high_in_range"),
+                          (best_auc == top.scalar()).alias("best_has_top_auc"))
+
+
+def importance_properties(spark, d):
+    """Features of the forest, each with a share, all shares adding up to one."""
+    imp = importance(spark, d)
+    return imp.agg(F.count("*").alias("n"), F.countDistinct("feature").alias("n_features"),
+                   F.round(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("none_negative"))
+
+
+def recommend_properties(spark, d):
+    """Counts over the best model's recommendations: users, rows, rows that the
+    user has seen, articles outside the catalogue, ranks out of order."""
+    recs = recommend(spark, d)
+    seen = featured_rows(spark, d).select("UserID", "NewsID").distinct().withColumn("seen", F.lit(1))
+    ids = news_clean(spark, d).select("NewsID").distinct().withColumn("known", F.lit(1))
+    after = F.lag("click_probability").over(Window.partitionBy("UserID").orderBy("rank"))
+    rows = (recs.withColumn("rises", (F.col("click_probability") > after).cast("int"))
+            .join(seen, ["UserID", "NewsID"], "left").join(ids, "NewsID", "left"))
+    return rows.agg(F.countDistinct("UserID").alias("users"), F.count("*").alias("n"), F.count("seen").alias("n_seen"),
+                    (F.count("*") - F.count("known")).alias("n_unknown"),
+                    F.coalesce(F.sum("rises"), F.lit(0)).alias("n_rising"), F.max("rank").alias("last_rank"))
+
+
+def cluster_properties(spark, d):
+    """Rows, clusters and segments of the clustered rows and of their sizes."""
+    clustered = cluster_rows(spark, d)
+    sizes = cluster_sizes(spark, d)
+    n = sizes.agg(F.sum("count")).scalar()
+    return clustered.agg(F.count("*").alias("n"), F.countDistinct("prediction").alias("n_clusters"),
+                         F.countDistinct("segment").alias("n_segments")).withColumn("sizes_add_up", F.col("n") == n)
+
+
+QUERIES.update({"model_properties": model_properties, "importance_properties": importance_properties,
+                "recommend_properties": recommend_properties, "cluster_properties": cluster_properties})

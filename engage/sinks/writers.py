@@ -243,8 +243,10 @@ def flat_columns(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, after dropping non-flat columns."""
-    flat_columns(df).write.mode("overwrite").option("header", "true").csv(path)
+    """CSV with a header, after dropping non-flat columns; quotes are doubled
+    and outer blanks kept, so that texts come back as they are."""
+    (flat_columns(df).write.mode("overwrite").option("header", "true").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def write_tsv(df: DataFrame, path: str, escaped: bool = False) -> None:

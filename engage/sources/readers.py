@@ -62,8 +62,9 @@ def read_table(spark: SparkSession, path: str, limit: int | None = None,
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header line and an explicit schema."""
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    """CSV with a header line and an explicit schema (an empty field is null:
+    CSV does not tell an empty text from a missing one)."""
+    return spark.read.schema(schema).option("header", "true").option("escape", '"').csv(path)
 
 
 def read_model_results(spark: SparkSession, path: str) -> DataFrame:
