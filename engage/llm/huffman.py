@@ -149,24 +149,34 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` with the end id after each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        end = np.array([END_ID], enc.dtype).tobytes()
         for b in batches:
-            texts = [t.decode("utf-8", "replace") for t in b.column("text").to_pylist()]
-            ids = [x + end for x in enc.encode_batch(texts)]
-            n = pa.array([len(x) // enc.dtype.itemsize for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), n, pa.array(ids, pa.binary())],
-                                             names=["doc_id", "n_tokens", "ids"])
+            first = 0
+            for ids, ends in enc.encode(b.column("text")):
+                # the end id goes behind each text
+                ids = np.insert(ids, ends, END_ID)
+                bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+                packed = pa.Array.from_buffers(pa.binary(), len(ends), [
+                    None, pa.py_buffer((bounds * enc.dtype.itemsize).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(first, len(ends)), pa.array(np.diff(bounds)), packed],
+                    names=["doc_id", "n_tokens", "ids"])
+                first += len(ends)
     return id_and_bytes(docs).mapInArrow(run, ENCODED)
 
 
+def _values(column: pa.Array, dtype: np.dtype) -> np.ndarray:
+    """All bytes of a binary column (no nulls) as one array of ``dtype``."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0]:at[-1]].view(dtype)
+
+
 def id_counts(encoded: DataFrame, dtype: np.dtype, size: int) -> np.ndarray:
     """How often each id occurs in all documents; summed per task before the
     shuffle, and bounded by the vocabulary at the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for b in batches:
-            ids = np.frombuffer(b"".join(b.column("ids").to_pylist()), dtype)
-            total += np.bincount(ids, minlength=size)
+            total += np.bincount(_values(b.column("ids"), dtype), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
     rows = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))

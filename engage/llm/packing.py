@@ -97,8 +97,7 @@ def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            ids = enc.encode_batch([t.decode("utf-8", "replace") for t in b.column("text").to_pylist()])
-            n = pa.array([len(x) // enc.dtype.itemsize + 1 for x in ids], pa.int64())
+            n = pa.array(enc.lengths(b.column("text")) + 1, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), n], names=["doc_id", "n_tokens"])
     return id_and_bytes(docs).mapInArrow(run, "doc_id long, n_tokens long")
 

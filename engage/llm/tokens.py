@@ -3,30 +3,59 @@
 A byte-level BPE cuts a text into pre-tokens and encodes each on its own.  A
 plain space between two characters that are not white space always starts a
 pre-token, and a line feed between two such characters is one, so a text cut
-before them into chunks encodes to the chunks' ids one after the other.  (A
-text with other runs of white space at a cut is cut at its plain spaces only.)
+before them into chunks encodes to the chunks' ids one after the other.  The
+cuts of a whole slice of texts are found on its bytes by numpy (next to bytes
+that may belong to other white space no cut is made), Arrow tells the distinct
+chunks, only chunks not met before go to the tokenizer, and the ids of all
+texts are gathered from those of the distinct chunks by offsets.  Chunks met
+are kept in two generations of bounded size.
+
 Special tokens in a text (as ``<|endoftext|>``) become their ids, as the
 library does by default; they hold no white space, so no cut goes through one.
-The chunks' ids are kept in a bounded table per worker, and only new chunks go
-to the tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE = 500_000                 # chunks of a generation; a worker keeps two
-SLICE = 2_000_000               # characters cut into chunks at a time
-CUT = re.compile(r" (?=\S)(?<=\S )")
+SLICE = 1 << 22                 # bytes of text cut into chunks at a time
 END_ID = 0
 
 
-def whole(chunk: str) -> bool:
-    """Whether a chunk was cut from its neighbours where a text may be cut."""
-    return chunk != "" and not chunk[-1].isspace() and not chunk[chunk[0] == "\n"].isspace()
+def _flags(*values: int) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(values)] = True
+    return table
+
+
+#: ASCII bytes that are white space, and first bytes of the
+#: UTF-8 forms of all other white space.
+ASCII_SPACE = _flags(*range(0x09, 0x0E), *range(0x1C, 0x21))
+SPACE_LEAD = _flags(0xC2, 0xE1, 0xE2, 0xE3)
+CUTTERS = _flags(0x0A, 0x20)
+
+
+#: a space and Latin letters, which are one pre-token, and a mark behind them
+WORD = re.compile(rb"( (?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)[.,;:!?]?").fullmatch
+
+
+def _alphabet() -> dict[int, str]:
+    """The byte alphabet of byte-level tokenizers: printable Latin-1 bytes
+    stand for themselves, the others, in order, for U+0100 and following."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (chr(0x100 + i) for i in range(256))
+    return {b: chr(b) if b in own else next(others) for b in range(256)}
+
+
+ALPHABET = _alphabet()
 
 
 def default_tokenizer() -> str:
@@ -34,6 +63,68 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def chunk_starts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Offsets where a chunk starts: those of the texts (``starts``) and the
+    spaces and line feeds that surely stand between other characters."""
+    at = np.flatnonzero(CUTTERS[raw])
+    at = at[(at > 0) & (at < len(raw) - 1)]
+    last, after = raw[at - 1], raw[at + 1]
+    ok = ~(ASCII_SPACE[last] | ASCII_SPACE[after] | SPACE_LEAD[after])
+    at, last = at[ok], last[ok]
+    # the character before: its lead is one to three bytes further ahead
+    wide = np.flatnonzero(last >= 0x80)
+    two, three = raw[np.maximum(at[wide] - 2, 0)], raw[np.maximum(at[wide] - 3, 0)]
+    unsure = SPACE_LEAD[two] | ((two >= 0x80) & (two < 0xC0) & SPACE_LEAD[three])
+    at = np.delete(at, wide[unsure])
+    # (before a space that ends its text a cut is right as well)
+    inner = np.zeros(len(raw), bool)
+    inner[at] = True
+    inner[starts] = True
+    return np.flatnonzero(inner)
+
+
+class Table:
+    """What is kept of the chunks met (``value`` of their encoding), in two
+    generations of bounded size."""
+
+    def __init__(self, tok, bare, value: Callable):
+        self.tok, self.bare, self.value = tok, bare, value
+        self.known: dict[bytes, object] = {}
+        self.older: dict[bytes, object] = {}
+
+    def look_up(self, chunks: list[bytes]) -> list:
+        """Values of distinct chunks."""
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known         # what is not met again goes
+        known, older = self.known, self.older
+        new = [c for c in chunks if c not in known]
+        known.update([(c, older[c]) for c in new if c in older])
+        words, ended, mixed = set(), [], []
+        for c in new:
+            if c in older:
+                continue
+            m = WORD(c)
+            if m is None:
+                mixed.append(c)
+            elif m.end(1) == len(c):
+                words.add(c)
+            else:                                   # the mark after a word is a pre-token of its own
+                ended.append(c)
+                words.add(c[:-1])
+        asked = [w for w in words if w not in known]
+        if asked:
+            texts = b"\n".join(asked).decode("latin-1").translate(ALPHABET).split(ALPHABET[0x0A])
+            known.update(zip(asked, map(self.value, self.bare.encode_batch_fast(texts, add_special_tokens=False)),
+                             strict=True))
+        mixed += sorted({c[-1:] for c in ended}.difference(known))
+        if mixed:
+            texts = [c.decode("utf-8", "replace") for c in mixed]
+            known.update(zip(mixed, map(self.value, self.tok.encode_batch_fast(texts, add_special_tokens=False)),
+                             strict=True))
+        known.update([(c, known[c[:-1]] + known[c[-1:]]) for c in ended])
+        return list(map(known.__getitem__, chunks))
+
+
 class Encoder:
     """Ids of texts; equal to encoding each whole text by the tokenizer."""
 
@@ -41,58 +132,64 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        #: for a space and ASCII letters, which are one pre-token as they stand
-        self.bare = Tokenizer.from_file(path)
-        self.bare.pre_tokenizer = None
-        self.size = self.tok.get_vocab_size()
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         if any(c.isspace() for t in special for c in t):
             raise ValueError("a special token with white space could be cut")
+        # for words, which are one pre-token, in the byte alphabet
+        bare = Tokenizer.from_file(path)
+        bare.pre_tokenizer = None
+        self.size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}       # chunks by their text, without a space before it
-        self.older: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str], tok=None) -> list[bytes]:
-        got = (tok or self.tok).encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in got]
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian integers of ``dtype``."""
-        out, first, chars = [], 0, 0
-        for i, t in enumerate(texts):
-            chars += len(t)
-            if chars >= SLICE:
-                out += self._encode_slice(texts[first:i + 1])
-                first, chars = i + 1, 0
-        return out + self._encode_slice(texts[first:])
-
-    def _encode_slice(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " \n").split(" ") for t in texts]
-        rest = set().union(*cut)
-        if len(self.known) > CACHE:
-            self.known, self.older = {}, self.known     # what is not met again goes
-        new = rest.difference(self.known)
-        broken = {x for x in new if not whole(x)}
-        if broken:
-            for i, t in enumerate(texts):
-                if not broken.isdisjoint(cut[i]):
-                    cut[i] = c = CUT.split(t)
-                    if len(c) > 1 and not whole(c[-1]):
-                        c[-2:] = [f"{c[-2]} {c[-1]}"]   # a chunk that ends its text is kept apart by its space
-                    new.update(c[1:])
-            new = new.difference(broken, self.known)
-        again = new.intersection(self.older)
-        self.known.update((x, self.older[x]) for x in again)
-        new -= again
-        plain = [x for x in new if x.isascii() and x.isalpha()]
-        mixed = [x for x in new if not (x.isascii() and x.isalpha())]
-        starts = [x if x[0] == "\n" else " " + x for x in mixed]
-        # "\u0120" is the byte alphabet's letter for a space
-        self.known.update(zip(plain, self._encode(["\u0120" + x for x in plain], self.bare), strict=True))
-        self.known.update(zip(mixed, self._encode(starts), strict=True))
-        heads = self._encode([c[0] for c in cut])
-        look = self.known.__getitem__
-        return [h + b"".join(map(look, c[1:])) for h, c in zip(heads, cut, strict=True)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        self.ids = Table(self.tok, bare, lambda e: array(code, e.ids).tobytes())
+        self.counts = Table(self.tok, bare, len)
+
+    def _slices(self, texts: pa.Array) -> Iterator[pa.Array]:
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < len(texts):
+            before = int(ends[first - 1]) if first else 0
+            stop = max(first + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+            yield texts.slice(first, stop - first)
+            first = stop
+
+    def _chunks(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(the distinct chunks, all chunks by number, first chunk of each text
+        and their count at the end)."""
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + n + 1].astype(np.int64)
+        body = texts.buffers()[2]
+        raw = np.frombuffer(body, np.uint8)[offsets[0]:offsets[-1]] if body else np.zeros(0, np.uint8)
+        offsets -= offsets[0]
+        starts = chunk_starts(raw, np.unique(offsets[:-1][offsets[:-1] < len(raw)]))
+        bounds = pa.py_buffer(np.append(starts, len(raw)).astype(np.int32))
+        chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(raw)])
+        coded = chunks.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        return coded.dictionary.to_pylist(), codes, np.searchsorted(starts, offsets)
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """Number of ids of each text of a binary array (no nulls)."""
+        out = [np.zeros(0, np.int64)]
+        for part in self._slices(texts):
+            chunks, codes, first = self._chunks(part)
+            n = np.fromiter(self.counts.look_up(chunks), np.int64, len(chunks))
+            total = np.concatenate([[0], np.cumsum(n[codes])])
+            out.append(np.diff(total[first]))
+        return np.concatenate(out)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids of some texts one after the other, ends of the texts in them)
+        for all texts of a binary array (no nulls), slice by slice."""
+        for part in self._slices(texts):
+            chunks, codes, first = self._chunks(part)
+            ids = self.ids.look_up(chunks)
+            n = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+            flat = np.frombuffer(b"".join(ids), self.dtype)
+            of = n[codes]
+            total = np.concatenate([[0], np.cumsum(of)])
+            place = np.repeat((np.cumsum(n) - n)[codes] - total[:-1], of) + np.arange(int(total[-1]))
+            yield flat[place], total[first[1:]]
 
 
 _ENCODERS: dict[str, Encoder] = {}

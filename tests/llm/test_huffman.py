@@ -3,13 +3,15 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import llm_cases as cases
 from engage.llm import huffman as H
 from engage.llm.common import new_path
-from engage.llm.tokens import Encoder, default_tokenizer
+from engage.llm import tokens
+from engage.llm.tokens import default_tokenizer
 
 
 def brute(rows):
@@ -86,13 +88,23 @@ def test_codes_are_a_prefix_code_and_pack_unpacks():
         assert (coder.unpack(bits, offsets, n) == ids).all()
 
 
-def test_chunks_encode_like_whole_texts():
+def test_chunks_encode_like_whole_texts(monkeypatch):
     parts = ["a", "b", "Z", " ", "  ", "\n", "\n\n", "\t", "\u2003", "\x1f", "'s", "é", "1", ".", "<|endoftext|>",
-             "\r", "word", " x y ", "\u3000"]
+             "\r", "word", " x y ", "\u3000", "\x85", "\xa0", "’", " été,", " Ïle.", " a×b", "word;", " naïve!?", " ÿ",
+             " x÷", " the.", " the", "日本", " 😀", "\x1c", " »"]
     draw = random.Random(1)
     texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(20_000)]
-    enc = Encoder(default_tokenizer())
-    got = [ids for i in range(0, len(texts), 500) for ids in enc.encode_batch(texts[i:i + 500])]
     plain = Tokenizer.from_file(default_tokenizer())
-    want = [plain.encode(t, add_special_tokens=False) for t in texts]
-    assert got == [np.array(e.ids, enc.dtype).tobytes() for e in want]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    array = pa.array([t.encode() for t in texts], pa.binary())
+    for size, kept in ((1 << 22, 500_000), (700, 50)):      # many slices, generations that pass often
+        monkeypatch.setattr(tokens, "SLICE", size)
+        monkeypatch.setattr(tokens, "CACHE", kept)
+        enc = tokens.Encoder(default_tokenizer())
+        got = []
+        for ids, ends in enc.encode(array.slice(3)):
+            got += [ids[s:e].tolist() for s, e in zip([0, *ends[:-1]], ends)]
+        assert got == want[3:]
+        assert enc.lengths(array).tolist() == [len(w) for w in want]
+    assert enc.lengths(pa.array([], pa.binary())).tolist() == []
+    assert enc.lengths(pa.array([b"", b""], pa.binary())).tolist() == [0, 0]
