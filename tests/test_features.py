@@ -4,6 +4,7 @@ from conftest import SF_SMALL, rows
 from engage.functions import expressions as X
 from engage.operators import features as FE
 from engage.plans.catalog import featured, interactions
+from engage.session import staged
 from engage.sources import fixtures as FX
 
 
@@ -95,3 +96,40 @@ def test_dashboard_variant_edges(spark):
     assert got["N1"].Category == "" and got["N1"].preferred_category == ""
     assert got["N2"].TitleWordCount == 3 and got["N2"].title_len_encoded == 0
     assert got["N1"].category_match == 1 and got["N2"].category_match == 0
+
+
+def test_hot_article_and_hot_user_are_split_without_broadcasts(spark):
+    """A third of all rows on one article and a third on one user: with
+    broadcasts off the skew rule splits both joins, and the rows are those of
+    the default plan."""
+    n = 30000
+    inter = spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 1, F.lit("U0")).otherwise(F.concat(F.lit("U"), (F.col("id") % 977).cast("string")))
+         .alias("UserID"),
+        F.when(F.col("id") % 3 == 0, F.lit("N0")).otherwise(F.concat(F.lit("N"), (F.col("id") % 1483).cast("string")))
+         .alias("NewsID"),
+        (F.col("id") % 4 == 0).cast("int").alias("Click"), F.lit("2024-01-01").alias("Time"),
+        F.col("id").cast("string").alias("ImpID"), F.lit(0).alias("ImpPos"))
+    news = spark.range(1483).select(
+        F.concat(F.lit("N"), F.col("id").cast("string")).alias("NewsID"),
+        F.concat(F.lit("c"), (F.col("id") % 7).cast("string")).alias("Category"), F.lit("s").alias("SubCategory"),
+        F.concat(F.lit("title of "), F.col("id").cast("string")).alias("Title"))
+    # written, so that both plans read the same rows in the same files
+    inter, news = staged(inter, "hot-inter"), staged(news, "hot-news")
+    want = rows(FE.featured_dataset(inter, news))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = FE.featured_dataset(inter, news)
+        assert rows(hot) == want
+        plan = hot._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "BroadcastHashJoin" not in plan
+    assert plan.count("skew=true") >= 2, plan
