@@ -13,6 +13,9 @@ most one character past a pre-token's end.  So pre-tokens that end ``REACH``
 characters before an edit stay, and once a new cut meets an old cut in the
 unchanged rest, all later ones are the same.
 
+``build_trees`` keeps the leaves of all documents in a table, and
+``apply_edits`` applies a table of edits to it, round after round.
+
 Defined cases: null and empty texts have no tokens; an edit past the end is
 cut to the text; a very long pre-token is one leaf entry; rows are counted
 each, repeated or not; an empty table gives an empty result.
@@ -26,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from engage.llm.common import id_and_bytes
+from engage.llm.common import id_and_bytes, map_batches, staged
 from engage.llm.tokens import default_tokenizer, encoder
 
 #: The pre-token pattern of the byte-level tokenizers, a fixed value.
@@ -83,6 +87,16 @@ class DocTree:
                 a[half // 2:half] = a[half:2 * half:2] + a[half + 1:2 * half:2]
             half //= 2
 
+    @classmethod
+    def stored(cls, text: str, lengths: np.ndarray, tokens: np.ndarray, counts: PieceCounts) -> DocTree:
+        """The tree of a text whose pre-tokens' characters and tokens are known:
+        nothing is cut or encoded."""
+        tree = cls.__new__(cls)
+        tree.counts, tree.reencoded = counts, 0
+        ends = np.cumsum(lengths).tolist()
+        tree._build([text[a:b] for a, b in zip([0, *ends], ends, strict=False)], tokens.tolist())
+        return tree
+
     def total(self) -> int:
         return int(self.sums[1])
 
@@ -209,3 +223,76 @@ def count_edited(docs: DataFrame, edits=redactions, tokenizer: str | None = None
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *cols],
                                              names=[f.split()[0] for f in COUNTED.split(", ")])
     return id_and_bytes(docs).mapInArrow(run, COUNTED)
+
+
+# ---- kept trees
+TREES = "doc_id long, text string, lengths binary, tokens binary, n_reencoded long"
+
+
+def _tree_row(doc_id: int | None, tree: DocTree) -> dict:
+    lengths = np.array([len(p) for x in tree.leaves for p in x], "<u4")
+    tokens = np.array([n for x in tree.tokens for n in x], "<u4")
+    return {"doc_id": doc_id, "text": tree.text(), "lengths": lengths.tobytes(), "tokens": tokens.tobytes(),
+            "n_reencoded": tree.reencoded}
+
+
+def _tree_batch(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=pa.schema([
+        ("doc_id", pa.int64()), ("text", pa.string()), ("lengths", pa.binary()), ("tokens", pa.binary()),
+        ("n_reencoded", pa.int64())]))
+
+
+def build_trees(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """The leaves of every document's tree as a staged table: the text with the
+    characters and tokens of its pre-tokens."""
+    path = tokenizer or default_tokenizer()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _COUNTS.setdefault(path, PieceCounts(path))
+        for b in batches:
+            texts = zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)
+            yield _tree_batch([_tree_row(d, DocTree(t.decode("utf-8", "replace"), counts)) for d, t in texts])
+    return staged(id_and_bytes(docs).mapInArrow(run, TREES), "token-trees")
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """The trees after a round of edits, staged.
+
+    ``edits`` has ``doc_id, seq, start, end, text``: characters ``start`` to
+    ``end`` of the document's present text become ``text`` (null: empty), in the
+    order of ``seq``.  Only the regions that edits touch are cut and encoded
+    (``n_reencoded`` of the round); a document without edits passes as it is.
+    A document's edits are one list.  Every row with the id is edited; edits
+    with a null id or of unknown documents do nothing.
+    """
+    path = tokenizer or default_tokenizer()
+    edit = F.struct(*[F.col(c).cast("long").alias(c) for c in ("seq", "start", "end")],
+                    F.coalesce(F.col("text").cast("string"), F.lit("")).alias("new"))
+    lists = edits.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.sort_array(F.collect_list(edit)).alias("edits"))
+    rows = trees.join(lists, F.col("doc_id") == F.col("__id"), "left").drop("__id", "n_reencoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _COUNTS.setdefault(path, PieceCounts(path))
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                made = r.pop("edits")
+                if made:
+                    tree = DocTree.stored(r["text"], np.frombuffer(r["lengths"], "<u4").astype(np.int64),
+                                          np.frombuffer(r["tokens"], "<u4").astype(np.int64), counts)
+                    for e in made:
+                        tree.edit(e["start"], e["end"], e["new"])
+                    r = _tree_row(r["doc_id"], tree)
+                out.append({"n_reencoded": 0, **r})
+            yield _tree_batch(out)
+    return staged(rows.mapInArrow(run, TREES), "token-trees")
+
+
+def tree_counts(trees: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens, n_chars, n_reencoded`` of kept trees."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = [int(np.frombuffer(t, "<u4").sum()) for t in batch.column("tokens").to_pylist()]
+        c = [int(np.frombuffer(t, "<u4").sum()) for t in batch.column("lengths").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(c, pa.int64()),
+                                           batch.column("n_reencoded")], names=["doc_id", "n_tokens", "n_chars", "n_reencoded"])
+    return map_batches(trees, run, "doc_id long, n_tokens long, n_chars long, n_reencoded long")

@@ -55,5 +55,36 @@ def test_table_equals_counting_anew(spark):
         assert any(w[2] for w in want)
 
 
+def test_kept_trees_follow_rounds_of_edits(spark):
+    rng = random.Random(3)
+    docs = cases.documents(spark)
+    now = [(d, t) for d, t in ((r.doc_id, r.text or "") for r in docs.collect())]
+    trees = C.build_trees(docs)
+    for _ in range(3):
+        edits = []
+        for d in (1, 2, 5, 12, 13, 14, 77, None):
+            for seq in range(rng.randrange(4)):
+                a = rng.randrange(200)
+                edits.append((d, seq, a, a + rng.randrange(9), rng.choice([None, "", "new words", "'s", " 12 "])))
+        frame = spark.createDataFrame(edits, "doc_id long, seq int, start long, end long, text string")
+        trees = C.apply_edits(trees, frame.repartition(3))
+        after = []
+        for d, t in now:
+            for _, seq, a, b, new in sorted((e for e in edits if e[0] == d and d is not None), key=lambda e: e[1]):
+                a, b = min(a, len(t)), min(b, len(t))
+                t = t[:a] + (new or "") + t[b:]
+            after.append((d, t))
+        now = after
+        got = C.tree_counts(trees).collect()
+        assert sorted((str(r.doc_id), r.n_tokens, r.n_chars) for r in got) == sorted((str(d), tokens(t), len(t)) for d, t in now)
+        assert sorted((str(r.doc_id), r.text) for r in trees.collect()) == sorted((str(d), t) for d, t in now)
+    # long documents are not encoded anew: an edit costs its region
+    one = spark.createDataFrame([(14, 0, 5, 6, "y"), (13, 0, 1000, 1001, "z")], frame.schema)
+    cost = {r.doc_id: r.n_reencoded for r in C.apply_edits(trees, one).collect()}
+    assert 0 < cost[13] < 20 and cost[1] == 0
+
+
 def test_empty_table(spark):
+    none = spark.createDataFrame([], "doc_id long, seq int, start long, end long, text string")
+    assert C.tree_counts(C.apply_edits(C.build_trees(cases.no_documents(spark)), none)).collect() == []
     assert C.count_edited(cases.no_documents(spark)).collect() == []
