@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from engage.llm.common import id_and_bytes, map_batches, staged
 
@@ -79,30 +80,34 @@ def _measure_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
                                       names=["doc_id", "source", *MEASURES])
 
 
-def base_failed():
-    n = F.col("n_words")
-    return (n < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n * MAX_REPEAT_PCT)
+def base_failed(col=F.col):
+    n = col("n_words")
+    return (n < MIN_WORDS) | (col("n_repeat_words") * 100 > n * MAX_REPEAT_PCT)
 
 
-def rules() -> dict:
-    """Document rules by name; true means that the document fails."""
-    n, chars = F.col("n_words"), F.col("word_chars")
+def rules(col=F.col) -> dict:
+    """Document rules by name; true means that the document fails.  ``col``
+    gives the column of a measure."""
+    n, chars = col("n_words"), col("word_chars")
     return {
         "short": n < MIN_WORDS,
-        "repetitive": F.col("n_repeat_words") * 100 > n * MAX_REPEAT_PCT,
-        "symbols": F.col("n_symbols") * 100 > n * MAX_SYMBOLS_PER_100_WORDS,
-        "dup_lines": F.col("n_dup_lines") * 100 > F.col("n_lines") * MAX_DUP_LINE_PCT,
+        "repetitive": col("n_repeat_words") * 100 > n * MAX_REPEAT_PCT,
+        "symbols": col("n_symbols") * 100 > n * MAX_SYMBOLS_PER_100_WORDS,
+        "dup_lines": col("n_dup_lines") * 100 > col("n_lines") * MAX_DUP_LINE_PCT,
         "word_length": (chars < n * WORD_CHARS[0]) | (chars > n * WORD_CHARS[1]),
     }
 
 
+def n_failed(col=F.col):
+    return sum((r.cast("int") for r in rules(col).values()), F.lit(0)).cast("long")
+
+
 def features(docs: DataFrame) -> DataFrame:
     """Measures, base verdict and number of failed rules of each document."""
     src = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select("doc_id", "text", src.alias("source"))
     f = map_batches(id_and_bytes(rows, "source"), _measure_batch, FEATURES)
-    failed = sum((r.cast("int") for r in rules().values()), F.lit(0))
-    return f.withColumn("base_failed", base_failed()).withColumn("n_failed", failed.cast("long"))
+    return f.withColumn("base_failed", base_failed()).withColumn("n_failed", n_failed())
 
 
 def beta_prior(mean: float, var: float) -> tuple[float, float]:
@@ -132,12 +137,12 @@ def host_verdicts(feats: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFram
     return hosts.withColumn("host_rate", shrunk).withColumn("host_bad", shrunk > max_rate)
 
 
-def _with_verdict(rows: DataFrame, hosts: DataFrame) -> DataFrame:
+def _with_verdict(rows: DataFrame, hosts: DataFrame, host: str = "source") -> DataFrame:
     """Adds ``__host_bad``.  Only bad hosts are joined, one row each, written
     first so that the join knows their size and whole texts stay in place."""
     bad = staged(hosts.filter("host_bad").select(F.col("source").alias("__host"), F.lit(True).alias("__bad")),
                  "quality-hosts")
-    j = rows.join(bad, F.col("source").cast("string").eqNullSafe(F.col("__host")), "left")
+    j = rows.join(bad, F.col(host).eqNullSafe(F.col("__host")), "left")
     return (j.withColumn("__host_bad", F.coalesce(F.col("__bad"), F.lit(False)))
             .drop("__host", "__bad"))
 
@@ -151,27 +156,28 @@ def quality(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     return j.withColumn("host_bad", F.col("__host_bad")).withColumn("kept", kept).drop("__host_bad")
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """``docs`` with the measures (``__q_`` before their names), staged: texts
+    are measured once."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        cols = zip(*(measure(t or b"") for t in texts), strict=True)
+        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in cols)],
+                                          names=[*batch.schema.names, *(f"__q_{m}" for m in MEASURES)])
+    schema = StructType([*docs.schema.fields, *(StructField(f"__q_{m}", LongType()) for m in MEASURES)])
+    return staged(map_batches(docs, run, schema), "quality-rows")
+
+
 def filter_documents(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The kept documents with all their columns.
 
-    The verdict on a row needs only its text and its host, so rows are never
-    matched by id (ids may repeat or be null): the host verdict is joined and
-    the measures are taken again in the filtering pass.
+    Rows are never matched by id (ids may repeat or be null): the measures
+    stand beside the row, and the host's verdict is joined to it.
     """
-    feats = staged(features(docs), "quality")
-    marked = _with_verdict(docs, host_verdicts(feats, max_rate))
-
-    def kept_row(text: str | None, bad_host: bool) -> bool:
-        n, chars, symbols, lines, dup, rep = measure((text or "").encode())
-        if n < MIN_WORDS or 100 * rep > n * MAX_REPEAT_PCT:
-            return False
-        return not (bad_host and (100 * symbols > n * MAX_SYMBOLS_PER_100_WORDS
-                                  or 100 * dup > lines * MAX_DUP_LINE_PCT
-                                  or not n * WORD_CHARS[0] <= chars <= n * WORD_CHARS[1]))
-
-    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        mask = [kept_row(t, b) for t, b in zip(batch.column("text").to_pylist(),
-                                               batch.column("__host_bad").to_pylist(), strict=True)]
-        return batch.filter(pa.array(mask, pa.bool_()))
-
-    return map_batches(marked, keep, marked.schema).drop("__host_bad")
+    def col(name):
+        return F.col(f"__q_{name}")
+    host = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
+    rows = _measured(docs).withColumn("__q_failed", n_failed(col)).withColumn("__q_host", host)
+    hosts = host_verdicts(rows.select(F.col("__q_host").alias("source"), F.col("__q_failed").alias("n_failed")), max_rate)
+    marked = _with_verdict(rows, hosts, "__q_host")
+    return marked.filter(~base_failed(col) & ~(F.col("__host_bad") & (F.col("__q_failed") > 0))).select(*docs.columns)
