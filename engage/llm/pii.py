@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +51,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HIDDEN_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}"
                           r"(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]{1,63}){1,4}", re.I)
 LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z-])")
-SECRET = re.compile(r"(?<![A-Za-z0-9_-])(?:[0-9a-f]{24,128}|[A-Z]{2,5}[0-9A-Z]{14,40}|"
-                    r"(?:sk|pk|ghp|key)[-_][0-9A-Za-z_-]{12,80})(?![A-Za-z0-9_-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9_-])(?:[0-9a-f]{24,}+|[A-Z]{2,5}[0-9A-Z]{14,}+|"
+                    r"(?:sk|pk|ghp|key)[-_][0-9A-Za-z_-]{12,}+)(?![A-Za-z0-9_-])")
 
 # ---- gazetteers and cues, fixed values
 DOMAIN_ENDS = ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "info", "biz")
@@ -118,10 +120,11 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     found += [(3, *m.span()) for m in LOCAL_PHONE.finditer(text)]
     found += [(4, *m.span()) for m in SECRET.finditer(text)]
     taken = sorted((s, e) for _, s, e in base)
+    starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
     out = []
     for k, s, e in sorted(found, key=lambda x: (x[1], -x[2], x[0])):
-        i = np.searchsorted([t[0] for t in taken], e) if taken else 0
-        if i and max(t[1] for t in taken[:i]) > s:
+        i = bisect_left(starts, e)
+        if i and reach[i - 1] > s:
             continue
         if out and out[-1][2] > s:
             continue

@@ -90,3 +90,27 @@ def test_votes_tell_plain_at_from_prose(spark):
 
 def test_empty_table(spark):
     assert P.pii(cases.no_documents(spark)).collect() == []
+
+
+def test_candidates_equal_a_plain_overlap_test():
+    rng = random.Random(4)
+    parts = ["call 555-123-4567", "mail joe at home dot com", "a@b.co", "10.0.0.1", "+1 555 123 4567", "x", "4111111111111111",
+             "key_abcdefghijklmnop12", "deadbeef" * 4, "deadbeef" * 40, " ", ", "]
+    for _ in range(300):
+        text = " ".join(rng.choices(parts, k=rng.randint(0, 12)))
+        base = P.base_spans(text)
+        got = P.candidates(text, base)
+        assert all(e <= s2 or e2 <= s for _, s, e in got for _, s2, e2 in base)
+        assert all(a[2] <= b[1] for a, b in zip(got, got[1:]))
+    assert (4, 6, 6 + 320) in P.candidates("token=" + "deadbeef" * 40, [])
+
+
+def test_very_long_texts_take_time_in_proportion():
+    import time
+    part = "call (555) 123-4567 or mail joe at home dot com, 10.0.0.1 a@b.co deadbeefdeadbeefdeadbeef01 "
+    took = []
+    for n in (2_000, 20_000):
+        t0 = time.process_time()
+        P.judge(part * n)
+        took.append(time.process_time() - t0)
+    assert took[1] < 25 * took[0] + 2
