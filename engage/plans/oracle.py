@@ -646,10 +646,10 @@ SELECT model, metric, value, value = max(value) OVER (PARTITION BY metric) AS is
     "model_properties": """
 SELECT model, position, true AS beats_chance, true AS low_in_range, true AS high_in_range, true AS best_has_top_auc
 FROM (VALUES ('Logistic Regression', 0), ('Random Forest', 1), ('Gradient Boosting', 2)) m(model, position)""",
-    "importance_properties": "SELECT 8 AS n, 8 AS n_features, 1.0::DOUBLE AS total, true AS none_negative",
+    "importance_properties": "SELECT 8::BIGINT AS n, 8::BIGINT AS n_features, 1.0::DOUBLE AS total, true AS none_negative",
     "recommend_properties": _q(FEATURED, """
-SELECT count(DISTINCT UserID) AS users, 10 * count(DISTINCT UserID) AS n, 0 AS n_seen, 0 AS n_unknown, 0 AS n_rising,
+SELECT count(DISTINCT UserID) AS users, 10 * count(DISTINCT UserID) AS n, 0::BIGINT AS n_seen, 0::BIGINT AS n_unknown, 0::BIGINT AS n_rising,
        10 AS last_rank FROM ds"""),
     "cluster_properties": _q(FEATURED, """
-SELECT count(*) AS n, 3 AS n_clusters, 3 AS n_segments, true AS sizes_add_up FROM ds"""),
+SELECT count(*) AS n, 3::BIGINT AS n_clusters, 3::BIGINT AS n_segments, true AS sizes_add_up FROM ds"""),
 })
