@@ -157,27 +157,27 @@ def quality(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
 
 
 def _measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with the measures (``__q_`` before their names), staged: texts
-    are measured once."""
+    """``docs`` with the measures (``__q_`` before their names)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         cols = zip(*(measure(t or b"") for t in texts), strict=True)
         return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in cols)],
                                           names=[*batch.schema.names, *(f"__q_{m}" for m in MEASURES)])
     schema = StructType([*docs.schema.fields, *(StructField(f"__q_{m}", LongType()) for m in MEASURES)])
-    return staged(map_batches(docs, run, schema), "quality-rows")
+    return map_batches(docs, run, schema)
 
 
 def filter_documents(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The kept documents with all their columns.
 
-    Rows are never matched by id (ids may repeat or be null): the measures
-    stand beside the row, and the host's verdict is joined to it.
+    Rows are never matched by id (ids may repeat or be null): the verdict on a
+    row needs only its text and its host, so the host's verdict is joined and
+    the measures are taken again in the filtering pass; texts are not staged.
     """
     def col(name):
         return F.col(f"__q_{name}")
+    hosts = host_verdicts(staged(features(docs), "quality"), max_rate)
     host = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
-    rows = _measured(docs).withColumn("__q_failed", n_failed(col)).withColumn("__q_host", host)
-    hosts = host_verdicts(rows.select(F.col("__q_host").alias("source"), F.col("__q_failed").alias("n_failed")), max_rate)
-    marked = _with_verdict(rows, hosts, "__q_host")
-    return marked.filter(~base_failed(col) & ~(F.col("__host_bad") & (F.col("__q_failed") > 0))).select(*docs.columns)
+    marked = _with_verdict(_measured(docs).withColumn("__q_host", host), hosts, "__q_host")
+    failed = n_failed(col) > 0
+    return marked.filter(~base_failed(col) & ~(F.col("__host_bad") & failed)).select(*docs.columns)
