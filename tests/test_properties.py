@@ -71,7 +71,7 @@ def test_prefix_sums(spark, rows, parts):
     assert got == want
 
 
-# ---- candidate positions (gap generator) against plain Python
+# ---- unseen positions (ranges and the first of them) against plain Python
 seen_sets = st.dictionaries(st.sampled_from(["U1", "U2", "U3", "U4"]),
                             st.lists(st.integers(1, 14), max_size=14), min_size=1)
 
@@ -79,15 +79,18 @@ seen_sets = st.dictionaries(st.sampled_from(["U1", "U2", "U3", "U4"]),
 @SETTINGS
 @given(seen=seen_sets, m=st.one_of(st.none(), st.integers(0, 16)),
        mode=st.sampled_from(["catalogue", "empty"]))
-def test_candidate_positions_match_brute_force(spark, seen, m, mode):
+def test_unseen_positions_match_brute_force(spark, seen, m, mode):
     from engage.operators import recommend as RC
     n = 12  # catalogue positions 1..12; ids 13, 14 are not in the catalogue
-    cat = spark.createDataFrame([(f"N{i}", i) for i in range(1, n + 1)],
-                                "NewsID string, pos long")
+    cat = spark.createDataFrame([(f"N{i}", i, "c") for i in range(1, n + 1)],
+                                "NewsID string, pos long, Category string")
     ds = spark.createDataFrame([(u, f"N{i}") for u, ids in seen.items() for i in ids] +
                                [(u, "N99") for u in seen], "UserID string, NewsID string")
-    keep, _ = RC.candidate_positions(ds, cat, m, exhausted=mode)
-    got = sorted((r.UserID, r.pos, r.exhausted) for r in keep.collect())
+    if m is None:
+        got = [(r.UserID, p, r.exhausted) for r in RC.unseen_ranges(ds, cat, exhausted=mode).collect()
+               for p in range(r.first_pos, r.last_pos + 1)]
+    else:
+        got = [(r.UserID, r.pos, r.exhausted) for r in RC.first_unseen(ds, cat, m, exhausted=mode).collect()]
     want = []
     for u, ids in seen.items():
         seen_pos = {i for i in ids if i <= n}
@@ -97,4 +100,4 @@ def test_candidate_positions_match_brute_force(spark, seen, m, mode):
         else:
             want += [(u, p, False) for p in [p for p in range(1, n + 1)
                                               if p not in seen_pos][:limit]]
-    assert got == sorted(want)
+    assert sorted(got) == sorted(want)
