@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -253,8 +254,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, block_chars: int = BL
         out = staged(out, "clean") if n else out
 
         def run(batch: pa.RecordBatch, find=find) -> pa.RecordBatch:
-            text = pa.RecordBatch.from_arrays([batch.column("__text")], names=["text"])
-            return batch.filter(pa.array([not m for m in find(text)], pa.bool_()))
-        marked = out.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-        out = map_batches(marked, run, marked.schema).drop("__text")
+            text = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
+            found = find(pa.RecordBatch.from_arrays([text], names=["text"]))
+            return batch.filter(pa.array([not m for m in found], pa.bool_()))
+        out = map_batches(out, run, out.schema)
     return out
