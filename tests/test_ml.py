@@ -193,3 +193,28 @@ def test_a_fresh_model_scores_in_a_session_that_has_observed(spark):
     model = ML.train_models(train, stats, names=["Logistic Regression"])["Logistic Regression"]
     assert not model.stages[-1].hasSummary
     assert ML.model_metrics(ML.score(model, test)).first().auc > 0.5
+
+
+def test_training_partitions_follow_the_rows(spark, monkeypatch):
+    rows = spark.range(400).select(*[(F.col("id") % (i + 2)).cast("double").alias(c) for i, c in enumerate(ML.FEATURE_COLS)],
+                                   (F.col("id") % 2).cast("int").alias(ML.TARGET))
+    used = []
+    fit = ML.Pipeline.fit
+    monkeypatch.setattr(ML.Pipeline, "fit", lambda self, df: used.append(df.rdd.getNumPartitions()) or fit(self, df))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for rows_each, want in ((250_000, 8), (20, 20), (1, 40)):
+            monkeypatch.setattr(ML, "PART_ROWS", rows_each)
+            ML.train_models(rows, ML.fit_scaler(rows), names=["Logistic Regression"])
+            assert used.pop() == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_few_keys_settle_the_cut_at_once(spark, monkeypatch):
+    data = spark.range(3000).select((F.col("id") % 3 == 0).cast("int").alias(ML.TARGET), F.md5(F.col("id").cast("string")).alias("_k"))
+    want = {c: sorted(r["_k"] for r in data.collect() if r[ML.TARGET] == c)[n - 1] for c, n in ((1, 200), (0, 400))}
+    assert ML.split_cuts(data) == want
+    monkeypatch.setattr(ML, "FEW", 0)
+    assert ML.split_cuts(data) == want
