@@ -60,7 +60,7 @@ def stages(spark, d: str, times: dict[str, float]) -> dict:
 
     # 1. derive + parse + features (persisted for the later stages)
     run("parse_impressions", lambda: Q["parse_impressions"](spark, d))
-    run("features", lambda: C.featured(spark, d, with_position=True))
+    run("features", lambda: C.featured_rows(spark, d))
     # 2. analytics over the stored featured rows
     for q in ("category_ctr", "platform_stats", "top_news", "top_users", "user_profile",
               "user_profile_mode", "activity_distribution", "user_ctr_histogram",
@@ -72,14 +72,14 @@ def stages(spark, d: str, times: dict[str, float]) -> dict:
     holder = {}
 
     def train():
-        train_df, test_df, stats = ML.prepare(C.featured(spark, d, with_position=True))
+        train_df, test_df, stats = ML.prepare(C.featured_rows(spark, d))
         holder["model"] = ML.train_models(train_df, stats,
                                           names=["Logistic Regression"])["Logistic Regression"]
         holder["metrics"] = ML.model_metrics(ML.score(holder["model"], test_df)).first()
 
     run("train_evaluate_lr", train)
     run("recommend_top_n", lambda: RC.recommend_top_n(
-        C.featured(spark, d, with_position=True), C.news_clean(spark, d), holder["model"], 10))
+        C.featured_rows(spark, d), C.news_clean(spark, d), holder["model"], 10))
     # 5. stream and clustering
     run("stream_events", lambda: Q["stream_events"](spark, d))
     run("cluster_rows", lambda: TR.cluster_rows(spark, d))

@@ -40,3 +40,21 @@ def test_scans_are_pruned(spark):
     assert "o_totalprice" not in plan
     news = _plan(FX.news(spark, SF_SMALL))
     assert "p_retailprice" not in news and "n_chars" not in news
+
+
+def test_texts_are_not_shuffled_with_the_interactions(spark):
+    """Of the featured rows a query takes the columns it names, and titles only
+    come in with the article side."""
+    from engage.plans import catalog as C
+    C.release(spark)
+    plan = C.QUERIES["article_means"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Title" not in plan.split("InMemoryRelation")[0]
+    whole = C.featured(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in whole if "Join LeftOuter" in line]
+    assert "NewsID" in joins[0] and "UserID" in joins[1]
+
+
+def test_brands_are_broadcast(spark):
+    from engage.plans import catalog as C
+    plan = C._brand_rows(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "strategy=broadcast" in plan
