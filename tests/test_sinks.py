@@ -151,3 +151,15 @@ def test_lookups_by_either_key_skip_row_groups(spark, tmp_path):
     for column, keys in ((0, [f"U{i:03d}" for i in range(0, 900, 37)]), (1, [f"N{i:03d}" for i in range(0, 700, 37)])):
         read = [sum(lo <= k <= hi for lo, hi in (g[column] for g in groups)) for k in keys]
         assert max(read) <= len(groups) / 2 and sum(read) / len(read) <= len(groups) / 4
+
+
+def test_a_zorder_sorts_a_bounded_number_of_rows_in_a_task(spark, tmp_path, monkeypatch):
+    """More rows make more files, not larger sorts, whatever the number of
+    shuffle partitions."""
+    monkeypatch.setattr(WR, "FILE_ROWS", 500)
+    df = spark.range(20000).select(F.concat(F.lit("U"), F.col("id") % 97).alias("UserID"),
+                                   F.concat(F.lit("N"), F.col("id") % 89).alias("NewsID"), "id")
+    path = str(tmp_path / "z")
+    WR.write_zordered(df, path, ["UserID", "NewsID"])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(20000))
+    assert len(list((tmp_path / "z").glob("*.parquet"))) > 20
