@@ -163,3 +163,12 @@ def test_a_zorder_sorts_a_bounded_number_of_rows_in_a_task(spark, tmp_path, monk
     WR.write_zordered(df, path, ["UserID", "NewsID"])
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(20000))
     assert len(list((tmp_path / "z").glob("*.parquet"))) > 20
+
+
+def test_packed_csv_comes_back(spark, tmp_path):
+    data = [("U1", ' "a",\tb ', 1), ("U2", None, 2)]
+    df = spark.createDataFrame(data, "UserID string, Title string, n int")
+    WR.write_csv(df, str(tmp_path / "c"), compression="gzip")
+    assert list((tmp_path / "c").glob("*.csv.gz")) and not list((tmp_path / "c").glob("*.csv"))
+    from engage.sources.readers import read_csv
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "c"), df.schema).collect())) == data
