@@ -133,3 +133,15 @@ def test_hot_article_and_hot_user_are_split_without_broadcasts(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "BroadcastHashJoin" not in plan
     assert plan.count("skew=true") >= 2, plan
+
+
+def test_interactions_are_sorted_for_one_join_only(spark):
+    """The first side is hashed; the last join sorts, as texts are written next."""
+    inter = _inter(spark, [("U1", "N1", 1, "t"), ("U2", "N2", 0, "t")])
+    news = spark.createDataFrame([("N1", "a", "s", "x y"), ("N2", "b", "s", None)],
+                                 "NewsID string, Category string, SubCategory string, Title string")
+    plan = FE.featured_dataset(inter, news)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert "shuffle_hash" not in joins[0] and "shuffle_hash" in joins[1]
+    kept = FE.featured_dataset(inter, news, hashed=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shuffle_hash" not in kept
