@@ -15,9 +15,9 @@ each step reading one id per lane from a table of ``2 ** limit`` entries.
 Shards are ranges of ``doc_id``.  The folder is written by Spark, so any store
 Spark can write to will do, and a failed task leaves no half of a file.
 
-Memory: a task holds one block and one batch of texts; a document larger than
-a block makes a block of its own.  To the driver go the id counts (bounded by
-the vocabulary) and one row per shard.
+Memory: a task holds one block (``AT_ONCE`` ids of them where it decodes) and
+one batch of texts; a document larger than a block makes a block of its own.
+To the driver go the id counts (bounded by the vocabulary) and one row per shard.
 
 Defined cases: null and empty texts hold the end id alone; rows with one
 ``doc_id`` follow each other by their ids; null ``doc_id`` comes first; an
@@ -41,6 +41,7 @@ from engage.llm.tokens import END_ID, default_tokenizer, encoder
 LIMIT = 18
 STRIDE = 128
 BLOCK_IDS = 1 << 16
+AT_ONCE = 1 << 20               # ids decoded at once
 U64 = np.uint64
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
@@ -130,18 +131,27 @@ class Coder:
         return at[::STRIDE].astype("<u8").tobytes(), words.astype("<u8").tobytes()
 
     def unpack(self, bits: bytes, offsets: bytes, n: int) -> np.ndarray:
-        """All ``n`` ids of a block, one lane per bit offset."""
-        words = np.frombuffer(bits, "<u8")
-        at = np.frombuffer(offsets, "<u8").astype(U64)
-        out = np.empty((len(at), STRIDE), np.uint32)
-        last, shift = U64(len(words) - 2), U64(64 - self.width)
+        """All ``n`` ids of a block."""
+        return self.unpack_blocks([(bits, offsets, n)])[0]
+
+    def unpack_blocks(self, blocks: list[tuple[bytes, bytes, int]]) -> list[np.ndarray]:
+        """All ids of each block, one lane per bit offset of all of them."""
+        parts = [np.frombuffer(bits, "<u8") for bits, _, _ in blocks]
+        words = np.concatenate(parts)
+        before = np.cumsum([0, *map(len, parts)]) * 64
+        at = [np.frombuffer(offsets, "<u8") + U64(b) for (_, offsets, _), b in zip(blocks, before)]
+        ends = np.cumsum([0, *map(len, at)])
+        at = np.concatenate(at).astype(U64)
+        out = np.empty((STRIDE, len(at)), "<u4")
+        last, shift = len(words) - 2, U64(64 - self.width)
         for j in range(STRIDE):
-            word, s = np.minimum(at >> U64(6), last), at & U64(63)
-            view = (words[word] << s) | ((words[word + U64(1)] >> U64(1)) >> (U64(63) - s))
-            view >>= shift
-            out[:, j] = self.symbol[view]
+            # (a block's last lane may read on behind its end; that is cut off)
+            word, s = np.minimum((at >> U64(6)).view(np.int64), last), at & U64(63)
+            view = (words[word] << s) | ((words[word + 1] >> U64(1)) >> (U64(63) - s))
+            view = (view >> shift).view(np.int64)
+            out[j] = self.symbol[view]
             at += self.step[view]
-        return out.reshape(-1)[:n]
+        return [out[:, a:b].T.ravel()[:n] for a, b, (_, _, n) in zip(ends, ends[1:], blocks)]
 
 
 # ---- Spark jobs
@@ -244,6 +254,20 @@ def encode_table(docs: DataFrame, path: str, tokenizer: str | None = None,
     _blocks(ordered, lengths, enc.dtype).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
+def _groups(blocks: pa.RecordBatch) -> Iterator[list[dict]]:
+    """Rows of a batch, some at a time, of ``AT_ONCE`` ids or one block."""
+    some, held = [], 0
+    for i in range(blocks.num_rows):
+        row = blocks.slice(i, 1).to_pylist()[0]
+        if some and held + row["n_ids"] > AT_ONCE:
+            yield some
+            some, held = [], 0
+        some.append(row)
+        held += row["n_ids"]
+    if some:
+        yield some
+
+
 def decode_table(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from the files under ``path``."""
     codes = spark.read.schema("id int, n_bits int").parquet(f"{path}/codes").toPandas()
@@ -256,12 +280,12 @@ def decode_table(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(np.frombuffer(packed_lengths, np.uint8))
-        for b in batches:
-            for row in b.to_pylist():
-                ids = coder.unpack(row["bits"], row["offsets"], row["n_ids"]).astype("<u4")
+        for some in (g for b in batches for g in _groups(b)):
+            got = coder.unpack_blocks([(r["bits"], r["offsets"], r["n_ids"]) for r in some])
+            for row, ids in zip(some, got, strict=True):
                 ends = np.cumsum(np.array(row["doc_tokens"], np.int64))
                 starts = ends - np.array(row["doc_tokens"], np.int64)
-                crc = [zlib.crc32(ids[s:e].tobytes()) for s, e in zip(starts, ends, strict=True)]
+                crc = [zlib.crc32(ids[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["before"] + base[row["shard"]]),
                      pa.array(ends - starts), pa.array(crc, pa.int64())],

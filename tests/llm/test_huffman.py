@@ -88,6 +88,40 @@ def test_codes_are_a_prefix_code_and_pack_unpacks():
         assert (coder.unpack(bits, offsets, n) == ids).all()
 
 
+def test_blocks_unpack_at_once():
+    rng = np.random.default_rng(3)
+    lengths = H.code_lengths(rng.zipf(1.3, 700).clip(1, 10**6))
+    coder = H.Coder(lengths)
+    blocks = [rng.choice(700, n) for n in (1, 128, 5000, 127, 129, 3000)]
+    packed = [(*reversed(coder.pack(ids)), len(ids)) for ids in blocks]
+    got = coder.unpack_blocks(packed)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(got, blocks, strict=True))
+
+
+def test_chunks_end_where_the_kind_changes():
+    """So that few chunks are new, and few of these need the regular expression."""
+    enc = tokens.Encoder(default_tokenizer())
+    texts = ["Ab12.5, don't\nwell-known été. x×y", "a<|endoftext|>b"]
+    chunks, plain, codes, first = enc._chunks(pa.array([t.encode() for t in texts], pa.binary()))
+    found = [chunks[i].decode() for i in codes]
+    assert found == ["Ab", "12", ".", "5", ",", " don't", "\n", "well", "-", "known", " été", ".", " x×y",
+                     "a", "<|endoftext|>", "b"]
+    assert [c for c, p in zip(map(bytes.decode, chunks), plain) if not p] == [" don't", "\n", " x×y", "<|endoftext|>"]
+    assert first.tolist() == [0, 13, 16]
+
+
+def test_changes_of_kind_encode_like_whole_texts():
+    parts = ["'", "s", "re", "A", "z", "é", "É", "×", "÷", "0", "42", ".", "-", "<", "|", ">", "endoftext", "<|endoftext|>",
+             " ", "  ", "\n", "\t", "\u0301", "²", "½", "ß", "日", "\xa0", "_", "@", "\u200b", "\x00", "\x7f", "ª", "е", '"']
+    draw = random.Random(3)
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 25))) for _ in range(20_000)]
+    want = Tokenizer.from_file(default_tokenizer()).encode_batch(texts, add_special_tokens=False)
+    got = []
+    for ids, ends in tokens.Encoder(default_tokenizer()).encode(pa.array([t.encode() for t in texts], pa.binary())):
+        got += [ids[s:e].tolist() for s, e in zip([0, *ends[:-1]], ends)]
+    assert got == [e.ids for e in want]
+
+
 def test_chunks_encode_like_whole_texts(monkeypatch):
     parts = ["a", "b", "Z", " ", "  ", "\n", "\n\n", "\t", "\u2003", "\x1f", "'s", "é", "1", ".", "<|endoftext|>",
              "\r", "word", " x y ", "\u3000", "\x85", "\xa0", "’", " été,", " Ïle.", " a×b", "word;", " naïve!?", " ÿ",
