@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engage.llm.common import staged
+from engage.llm.common import discard, new_path, staged
 
 NUM, DEN = 4, 5                 # similarity of 0.8
 MIN_TOKENS = 1
@@ -124,10 +124,13 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
-def _token_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column) -> DataFrame:
+def _token_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Column, work: str,
+                few: bool = False) -> DataFrame:
     """``id, toks`` of the given classes, read from the texts once more."""
     places = ids.join(classes.select(F.col("id").alias("c_id"), "p"), F.col("id") == F.col("c_id")).select("id", "p.*")
     wanted = places.groupBy("d", "t").agg(F.collect_list(F.struct("line", "id")).alias("lines"))
+    if few:     # written first: its size is known then, and the texts stay where they are if it is small
+        wanted = staged(wanted, "wanted", work)
     text = F.split(F.col("text").cast("string"), "\n")
     keyed = _keyed(docs.select("doc_id", "text"))
     cut = (keyed.join(wanted, (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t")))
@@ -135,7 +138,7 @@ def _token_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, ranks: Colu
     lines = cut.select("d", "t", F.explode(F.transform("lines", lambda x: F.struct(
         x["line"].alias("line"), x["id"].alias("id"), F.get("all", x["line"]).alias("s")))).alias("x"))
     toks = lines.select("x.id", _tokens(F.col("x.s"), ranks).alias("toks"))
-    return staged(toks.groupBy("id").agg(F.first("toks").alias("toks")), "lines-tokens")
+    return staged(toks.groupBy("id").agg(F.first("toks").alias("toks")), "tokens", work)
 
 
 def _holding(pairs: DataFrame, toks: DataFrame) -> DataFrame:
@@ -148,53 +151,59 @@ def _holding(pairs: DataFrame, toks: DataFrame) -> DataFrame:
     return joined.filter(holds).select(F.col("b").alias("id")).distinct()
 
 
-def _verified(pairs: DataFrame, toks: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, toks: DataFrame, work: str) -> DataFrame:
     """``id``: classes with an earlier match.  One is enough, so each class is
     held against its closest candidate first, and against the others only if
     that one fails."""
     best = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select("m.a", "b")
-    found = staged(_holding(best, toks), "lines-closest")
+    found = staged(_holding(best, toks), "closest", work)
     others = pairs.join(found, F.col("b") == F.col("id"), "left_anti")
-    return staged(found.unionByName(_holding(others, toks)), "lines-found")
+    return staged(found.unionByName(_holding(others, toks)), "found", work)
 
 
 def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DENSE) -> DataFrame:
-    """``d, t, lines``: the removed lines of each document that loses any."""
+    """``d, t, gone``: the removed lines of each document that loses any.
+
+    What is staged on the way goes when the result is written, so it does not
+    take disk beside later work."""
+    work = new_path(docs.sparkSession, "lines")
     ranks = rarity(docs)
-    lines = staged(_lines(docs, ranks, min_tokens), "lines-all")
+    lines = staged(_lines(docs, ranks, min_tokens), "all", work)
     classes = lines.groupBy("k1", "k2").agg(
         F.min("p").alias("p"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
         F.first("sig").alias("sig"), F.first("sig2").alias("sig2"), F.first("prefix").alias("prefix"))
     # numbered by place, once, and written; the numbers stand for the classes
     classes = classes.repartitionByRange("p").sortWithinPartitions("p")
-    classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "lines-classes")
+    classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "classes", work)
     joined = classes.filter(F.col("n") * (DEN - NUM) >= NUM)
     posted = joined.select("id", "n", "sig", "sig2", F.posexplode("prefix").alias("i", "tok"))
     hot = staged(joined.select(F.explode("prefix").alias("h_tok")).groupBy("h_tok").agg(
-        F.count(F.lit(1)).alias("m")).filter(F.col("m") > dense).select("h_tok"), "lines-hot")
+        F.count(F.lit(1)).alias("m")).filter(F.col("m") > dense).select("h_tok"), "hot", work)
     few = posted.join(hot, F.col("tok") == F.col("h_tok"), "left_anti")
     many = joined.select("id", "n", "sig", "sig2", "copies", F.posexplode("prefix").alias("i", "tok"))
-    many = staged(many.join(hot, F.col("tok") == F.col("h_tok"), "left_semi"), "lines-many")
+    many = staged(many.join(hot, F.col("tok") == F.col("h_tok"), "left_semi"), "many", work)
     entry = F.struct("id", "n", "sig", "sig2", "i")
     heads = many.groupBy("tok").agg(F.max_by(entry, "copies").alias("hub"), F.min(entry).alias("first"))
     heads = heads.select("tok", F.explode(F.array_distinct(F.array("hub", "first"))).alias("e")).select("tok", "e.*")
-    pairs = staged(_pairs(few, few).unionByName(_pairs(heads, many)).distinct(), "lines-pairs")
-    toks = _token_sets(_ends(pairs), classes, docs, ranks)
-    found = _verified(pairs, toks)
+    pairs = staged(_pairs(few, few).unionByName(_pairs(heads, many)).distinct(), "pairs", work)
+    toks = _token_sets(_ends(pairs), classes, docs, ranks, work)
+    found = _verified(pairs, toks, work)
     rest = many.join(found.withColumnRenamed("id", "f_id"), F.col("id") == F.col("f_id"), "left_anti")
-    pairs = staged(_pairs(many, rest), "lines-rest")
+    pairs = staged(_pairs(many, rest), "rest", work)
     later = found.limit(0)
     if not pairs.isEmpty():
         new = _ends(pairs).join(toks.select(F.col("id").alias("t_id")), F.col("id") == F.col("t_id"), "left_anti")
-        later = _verified(pairs, toks.unionByName(_token_sets(new, classes, docs, ranks)))
+        later = _verified(pairs, toks.unionByName(_token_sets(new, classes, docs, ranks, work, few=True)), work)
     matched = found.unionByName(later).distinct()
     matched = matched.select(F.col("id").alias("m_id"))
     copied = classes.join(matched, F.col("id") == F.col("m_id"), "left").filter("copies > 1 or m_id is not null")
     copied = staged(copied.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("p").alias("first"),
-                                  F.col("m_id").isNotNull().alias("hit")), "lines-copied")
+                                  F.col("m_id").isNotNull().alias("hit")), "copied", work)
     gone = (lines.select("p", "k1", "k2").join(copied, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")))
             .filter(F.col("hit") | (F.col("p") > F.col("first"))))
-    return gone.select("p.*").groupBy("d", "t").agg(F.collect_set("line").alias("gone"))
+    gone = staged(gone.select("p.*").groupBy("d", "t").agg(F.collect_set("line").alias("gone")), "lines-gone")
+    discard(docs.sparkSession, work)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DENSE) -> DataFrame:
@@ -202,7 +211,8 @@ def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, dense: int = DENS
     ``n_removed`` beside it."""
     gone = removed_lines(docs, min_tokens, dense).select(
         F.col("d").alias("__gd"), F.col("t").alias("__gt"), F.col("gone").alias("__gone"))
-    j = _keyed(docs).join(gone, (F.col("__d") == F.col("__gd")) & (F.col("__t") == F.col("__gt")), "left")
+    # the packed size of the removed lines says little of what a broadcast would hold
+    j = _keyed(docs).join(gone.hint("merge"), (F.col("__d") == F.col("__gd")) & (F.col("__t") == F.col("__gt")), "left")
     parts = F.split(F.col("text").cast("string"), "\n")
     left = F.filter(parts, lambda x, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))

@@ -4,6 +4,7 @@ import re
 import pytest
 
 import llm_cases as cases
+from engage.llm import common
 from engage.llm import line_dedup as L
 
 
@@ -119,3 +120,17 @@ def test_plan_has_no_python(spark):
 def test_empty_table(spark):
     assert L.dedup_lines(cases.no_documents(spark)).collect() == []
     assert L.dedup_documents(cases.no_documents(spark)).collect() == []
+
+
+def test_staged_tables_go_when_the_removed_lines_are_written(spark, monkeypatch):
+    """They would take disk beside all later stages of a pipeline."""
+    folders = []
+    monkeypatch.setattr(L, "discard", lambda s, folder: folders.append(folder) or common.discard(s, folder))
+    docs = spark.createDataFrame([(i, f"one two three four five {i % 3}\nsix seven eight nine ten") for i in range(9)],
+                                 "doc_id long, text string")
+    gone = L.removed_lines(docs)
+    assert len(folders) == 1
+    path = spark._jvm.org.apache.hadoop.fs.Path(folders[0])
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    assert not any(f.startswith(folders[0]) for f in gone.inputFiles())
+    assert sorted((r.d, sorted(r.gone)) for r in gone.collect()) == [(i, [1] if i < 3 else [0, 1]) for i in range(1, 9)]
