@@ -61,25 +61,26 @@ def _words(line: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Rarity rank of every word bucket, as one constant array of fixed size."""
+    """Rarity rank of every word bucket, in a token's high bits, as one constant
+    array of fixed size."""
     size = 1 << RANK_BITS
-    lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("s"))
-    words = lines.select(F.explode(_words(F.col("s"))).alias("w"))
+    one = F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" "))      # words do not reach over lines
+    words = docs.select(F.explode(_words(one)).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(size - 1)).cast("int")
     n = dict(map(tuple, words.groupBy(bucket.alias("b")).count().collect()))
     rank = [0] * size
     for place, b in enumerate(sorted(range(size), key=lambda b: (n.get(b, 0), b))):
-        rank[b] = place
+        rank[b] = place << (63 - RANK_BITS)
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<bigint>")
 
 
 def _tokens(line: Column, ranks: Column) -> Column:
     """Sorted distinct tokens of a line, the rarest first."""
-    def token(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def token(h: Column) -> Column:
         rank = F.get(ranks, h.bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int"))
-        return F.shiftleft(rank, 63 - RANK_BITS).bitwiseOR(F.shiftrightunsigned(h, RANK_BITS + 1))
-    return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
+        return rank.bitwiseOR(F.shiftrightunsigned(h, RANK_BITS + 1))
+    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))     # once for each word
+    return F.sort_array(F.array_distinct(F.transform(hashes, token)))
 
 
 def _signature(toks: Column, half: int) -> Column:

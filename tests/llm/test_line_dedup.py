@@ -134,3 +134,33 @@ def test_staged_tables_go_when_the_removed_lines_are_written(spark, monkeypatch)
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     assert not any(f.startswith(folders[0]) for f in gone.inputFiles())
     assert sorted((r.d, sorted(r.gone)) for r in gone.collect()) == [(i, [1] if i < 3 else [0, 1]) for i in range(1, 9)]
+
+
+def test_shuffle_files_go_with_the_staged_write(tmp_path):
+    """They would take disk beside all later steps (own process: a context has
+    one local folder)."""
+    import os
+    import subprocess
+    import sys
+    code = """
+import os, sys, time
+from pathlib import Path
+from pyspark.sql import functions as F
+from engage.llm import common
+from engage.session import local_session
+here = sys.argv[1]
+spark = local_session(2, 4, extra={"spark.local.dir": here})
+before = spark.conf.get(common.CLEANUP, None)
+df = spark.range(20000).groupBy(F.xxhash64("id").alias("k")).count()
+out = common.staged(df, "t")
+left = lambda: sum(p.stat().st_size for p in Path(here).rglob("shuffle_*.data"))
+for _ in range(50):
+    if not left():
+        break
+    time.sleep(0.2)
+print("left", left(), "rows", out.count(), "same", spark.conf.get(common.CLEANUP, None) == before)
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(L.__file__ + "/..")))
+    run = subprocess.run([sys.executable, "-c", code, str(tmp_path)], capture_output=True, text=True, timeout=120,
+                         env={**os.environ, "PYTHONPATH": repo})
+    assert "left 0 rows 20000 same True" in run.stdout, run.stdout + run.stderr[-2000:]
