@@ -218,3 +218,19 @@ def test_few_keys_settle_the_cut_at_once(spark, monkeypatch):
     assert ML.split_cuts(data) == want
     monkeypatch.setattr(ML, "FEW", 0)
     assert ML.split_cuts(data) == want
+
+
+def test_clusters_are_fitted_once_and_counted_by_cluster(spark, monkeypatch):
+    from engage.operators import cluster as CL
+    from engage.plans import training as TR
+    rows = [(float(i % 10) / 10, float(i % 7), float(i % 5) / 5, f"U{i % 9}", f"N{i % 13}") for i in range(300)]
+    ds = spark.createDataFrame(rows, "article_ctr double, popularity_score double, user_ctr double, UserID string, NewsID string")
+    fits, fit = [], CL.KMeans.fit
+    monkeypatch.setattr(TR, "featured_rows", lambda s, d: ds)
+    monkeypatch.setattr(CL.KMeans, "fit", lambda self, df: fits.append(1) or fit(self, df))
+    monkeypatch.setattr(TR, "_FITTED", {})
+    out = TR.cluster_properties(spark, "made-up")
+    assert [tuple(r) for r in out.collect()] == [(300, 3, 3, True)] and len(fits) == 1
+    want = CL.cluster(ds)[0].select("UserID", "NewsID", *CL.CLUSTER_COLS, "prediction", "segment")
+    got = TR.cluster_rows(spark, "made-up")
+    assert got.exceptAll(want).count() == 0 and got.count() == 300
